@@ -108,8 +108,10 @@ def row_rules(table: str, lengths: bool = False, columns: Sequence[str] | None =
 def check_constraints(frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``rule, violations``: rows of ``frame`` that break each rule, counted in one pass."""
     counted = frame.agg(*[F.count_if(bad).alias(f"r{i}") for i, (_, bad) in enumerate(rules)])
-    pairs = F.array(*[F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").alias("violations")) for i, (name, _) in enumerate(rules)])
-    return counted.select(F.inline(pairs))
+    pairs = [
+        F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").alias("violations")) for i, (name, _) in enumerate(rules)
+    ]
+    return counted.select(F.inline(F.array(*pairs)))
 
 
 def violating_rows(frame: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -72,7 +72,12 @@ def write_slotted(frame: DataFrame, path: str, only: str | None = None) -> Slott
     return Slotted(rows, spark.createDataFrame(offsets, "_task bigint, _offset bigint"), total, to_number, only)
 
 
-def order_for_keys(frame: DataFrame, key: str, first: str | None = None) -> DataFrame:
-    """Range-partition and sort by a unique key, so slots follow its order."""
+def order_for_keys(frame: DataFrame, key: str, first: str | None = None, small: bool = False) -> DataFrame:
+    """Range-partition and sort by a unique key, so slots follow its order.
+
+    Range partitioning samples its input first; rows the caller has found to be
+    few are sorted in one task instead.
+    """
+    parts = frame.coalesce(1) if small else frame.repartitionByRange(F.col(key))
     sort = [F.desc(first), F.asc(key)] if first else [F.asc(key)]
-    return frame.repartitionByRange(F.col(key)).sortWithinPartitions(*sort)
+    return parts.sortWithinPartitions(*sort)

@@ -17,7 +17,7 @@ from eventmart.functions.enrichment import enrich
 from eventmart.functions.rules import Rule, event_rules, validate, warehouse_rules
 from eventmart.mart import Commit, Mart
 from eventmart.operators import keys, merge
-from eventmart.operators.constraints import check_constraints, row_rules
+from eventmart.operators.constraints import row_rules
 from eventmart.operators.dedup import first_per_key, last_per_key, not_seen
 from eventmart.operators.resolve import resolve_keys
 
@@ -114,11 +114,13 @@ class _Load:
         if not valid and not rejected:
             mart.clear_staging(self.load)
             return LoadResult(None)
-        if rejected:
-            self._append_dead_letters(staged.filter(~F.col("is_valid")))
         result = LoadResult(self.load, valid, rejected)
-        if valid:
-            result = self._load_valid(staged.filter("is_valid"), result)
+        with ThreadPoolExecutor(1) as side:
+            quarantined = side.submit(self._append_dead_letters, staged.filter(~F.col("is_valid"))) if rejected else None
+            if valid:
+                result = self._load_valid(staged.filter("is_valid"), result)
+            if quarantined:
+                quarantined.result()
         mart.publish(
             Commit(
                 self.load, self.snapshots, self.max_keys,
@@ -157,23 +159,24 @@ class _Load:
     def _load_valid(self, events: DataFrame, result: LoadResult) -> LoadResult:
         unique = first_per_key(events.drop("raw_json", "kafka_key", "ingestion_timestamp", "reject_reason", "is_valid"))
         slotted = keys.write_slotted(enrich(unique), self.mart.staging(self.load, "valid"))
-        rows = slotted.rows
-        id_bytes = rows.agg(F.sum(F.octet_length("event_id"))).first()[0]
-        small = slotted.count <= SMALL_ROWS and id_bytes <= SMALL_BYTES
-        self._check(rows, "fact_sales", result)
-        dimensions = self._merge_dimensions(rows, small)
+        small = self._check(slotted)
+        dimensions = self._merge_dimensions(slotted.rows, small)
         inserted, missing_key = self._append_facts(slotted, dimensions, small)
         skipped = slotted.count - inserted - missing_key
         return replace(result, inserted=inserted, skipped=skipped, missing_key=missing_key)
 
-    def _check(self, rows: DataFrame, table: str, result: LoadResult) -> None:
-        """Fail on rows the stored tables do not accept."""
-        rules = row_rules(table, self.options.check_lengths, rows.columns)
-        for dim in (merge.STORE, merge.CHANNEL, merge.CUSTOMER, merge.PRODUCT):
-            rules += row_rules(dim.table, self.options.check_lengths, rows.columns)
-        broken = check_constraints(rows, rules).filter("violations > 0").collect()
+    def _check(self, slotted: keys.Slotted) -> bool:
+        """Fail on rows the stored tables do not accept; tell whether the batch is small."""
+        rows, rules = slotted.rows, []
+        for table in ("fact_sales", "dim_customer", "dim_product", "dim_store", "dim_channel"):
+            rules += row_rules(table, self.options.check_lengths, rows.columns)
+        counts = rows.agg(
+            F.sum(F.octet_length("event_id")), *[F.count_if(bad) for _, bad in rules]
+        ).first()
+        broken = [f"{name}: {n} rows" for (name, _), n in zip(rules, counts[1:]) if n]
         if broken:
-            raise ConstraintError("; ".join(f"{r['rule']}: {r['violations']} rows" for r in broken))
+            raise ConstraintError("; ".join(broken))
+        return slotted.count <= SMALL_ROWS and counts[0] <= SMALL_BYTES
 
     def _merge_dimensions(self, rows: DataFrame, small: bool) -> dict[str, DataFrame]:
         """Merge the dimensions side by side; each is a few small jobs."""
@@ -187,7 +190,7 @@ class _Load:
         incoming = incoming_members(rows, dim, options.keep_known)
         classified = merge.classify(incoming, current, dim, options.always_update, options.keep_known, small)
         touched = merge.resolved_rows(classified, dim, self.now, options.keep_known)
-        ordered = keys.order_for_keys(touched, dim.id, first="is_new")
+        ordered = keys.order_for_keys(touched, dim.id, first="is_new", small=small)
         slotted = keys.write_slotted(ordered, mart.staging(self.load, dim.table), only="is_new")
         if not slotted.count:
             return current

@@ -27,23 +27,29 @@ FAULTS = (
 )
 
 
-def _pick(values: tuple[str, ...], number: Column) -> Column:
+def pick(values: tuple[str, ...], number: Column) -> Column:
     """The value at ``number`` modulo the number of values."""
     return F.element_at(F.array(*map(F.lit, values)), (number % len(values) + 1).cast("int"))
 
 
-def _unless(fault: str, value: Column, damaged: Column | None = None) -> Column:
+def unless(fault: str, value: Column, damaged: Column | None = None) -> Column:
     hit = F.col("fault") == FAULTS.index(fault)
     return F.when(hit, F.lit(None) if damaged is None else damaged).otherwise(value)
 
 
-def _event_type(share: Column) -> Column:
+def event_type_of(share: Column) -> Column:
     return (
         F.when(share < 43, "product_view").when(share < 64, "add_to_cart").when(share < 75, "checkout")
         .when(share < 89, "purchase").when(share < 93, "return").otherwise("review")
     )
 
 
+def _spread(scan: DataFrame) -> DataFrame:
+    """Split a scan over all cores where its files have fewer splits than there are cores."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def _joined(spark: SparkSession, folder: str) -> DataFrame:
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -58,7 +64,7 @@ def _joined(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     return (
-        read("lineitem")
+        _spread(read("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount"))
         .join(read("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -82,7 +88,7 @@ def raw_events(spark: SparkSession, folder: str, copies: bool = False) -> DataFr
     changed = (F.col("copy") == 1) & (h % 50 == 25)
 
     typed = rows.withColumns(
-        {"fault": F.when((h * 13) % 1009 < 80, h % 11).otherwise(-1), "kind": _event_type(h % 100)}
+        {"fault": F.when((h * 13) % 1009 < 80, h % 11).otherwise(-1), "kind": event_type_of(h % 100)}
     )
     kind = F.col("kind")
     moment = F.timestamp_seconds(F.lit(FIRST_SECOND) + (h * 7919) % SECONDS)
@@ -92,19 +98,19 @@ def raw_events(spark: SparkSession, folder: str, copies: bool = False) -> DataFr
     discount = F.when(kind.isin("purchase", "checkout"), F.col("l_discount").cast("decimal(5,2)")).otherwise(0)
     columns = {
         "event_id": F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
-        "event_timestamp": _unless("broken timestamp", iso, F.lit("2026-99-99T99:99:99")),
-        "customer_id": _unless("no customer id", F.concat(F.lit("CUST-"), "c_custkey")),
-        "customer_name": _unless("no customer name", F.col("c_name")),
-        "customer_age": _unless("impossible age", F.lit(16) + F.col("c_custkey") % 65, F.lit(130)).cast("int"),
-        "customer_gender": _pick(GENDERS, F.col("c_custkey")),
+        "event_timestamp": unless("broken timestamp", iso, F.lit("2026-99-99T99:99:99")),
+        "customer_id": unless("no customer id", F.concat(F.lit("CUST-"), "c_custkey")),
+        "customer_name": unless("no customer name", F.col("c_name")),
+        "customer_age": unless("impossible age", F.lit(16) + F.col("c_custkey") % 65, F.lit(130)).cast("int"),
+        "customer_gender": pick(GENDERS, F.col("c_custkey")),
         "customer_country": F.col("customer_country"),
         "customer_city": F.col("customer_city"),
-        "product_id": _unless("no product id", F.concat(F.lit("PROD-"), "l_partkey")),
-        "product_name": _unless(
+        "product_id": unless("no product id", F.concat(F.lit("PROD-"), "l_partkey")),
+        "product_name": unless(
             "no product name", F.when(changed, F.concat("p_name", F.lit(" (resent)"))).otherwise(F.col("p_name"))
         ),
-        "product_category": _unless(
-            "no category", _unless("unknown category", _pick(CATEGORIES, F.col("l_partkey")), F.lit("INVALID_CATEGORY"))
+        "product_category": unless(
+            "no category", unless("unknown category", pick(CATEGORIES, F.col("l_partkey")), F.lit("INVALID_CATEGORY"))
         ),
         "brand": F.col("p_brand"),
         "supplier": F.col("s_name"),
@@ -112,17 +118,17 @@ def raw_events(spark: SparkSession, folder: str, copies: bool = False) -> DataFr
         "store_name": F.col("s_name"),
         "store_country": F.col("store_country"),
         "store_city": F.col("store_city"),
-        "price": _unless("negative price", price, -price).cast("double"),
+        "price": unless("negative price", price, -price).cast("double"),
         "discount": discount.cast("double"),
-        "quantity": _unless("bad quantity", F.when(changed, quantity + 1).otherwise(quantity), F.lit(-3)),
-        "payment_method": F.when(kind.isin("checkout", "purchase", "return"), _pick(PAYMENT_METHODS, h)),
-        "event_type": _unless("no event type", kind),
+        "quantity": unless("bad quantity", F.when(changed, quantity + 1).otherwise(quantity), F.lit(-3)),
+        "payment_method": F.when(kind.isin("checkout", "purchase", "return"), pick(PAYMENT_METHODS, h)),
+        "event_type": unless("no event type", kind),
         "rating": F.when(kind == "review", h % 5 + 1).cast("int"),
         "review_text": F.when(kind == "review", F.concat(F.lit("Review "), h)),
-        "device_type": _pick(DEVICES, h),
-        "browser": _pick(BROWSERS, h),
+        "device_type": pick(DEVICES, h),
+        "browser": pick(BROWSERS, h),
         "session_id": F.concat(F.lit("SES-"), h % 1_000_003),
-        "marketing_channel": _pick(CHANNELS, F.col("l_linenumber")),
+        "marketing_channel": pick(CHANNELS, F.col("l_linenumber")),
         "arrival": F.timestamp_seconds(F.lit(FIRST_ARRIVAL) + (h * 37) % 1_000_000 + F.col("copy") * 3600),
     }
     return typed.select("h", "copy", *[value.alias(name) for name, value in columns.items()])

@@ -1,0 +1,207 @@
+"""Synthetic shop events, as a Spark job.
+
+Every event is a function of a number and a seed, so any number of tasks can
+make any part of the events, and a lost task makes the same ones again. Picks
+come from an MD5 digest of seed and number, eight hex digits each.
+"""
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from eventmart.domain import CATEGORIES, CHANNELS, RAW_EVENT_FIELDS, VALID_YEARS
+from eventmart.sources.envelope import message_key
+from eventmart.sources.line_items import BROWSERS, DEVICES, FAULTS, GENDERS, PAYMENT_METHODS, event_type_of, pick, unless
+
+# --- fixed values ------------------------------------------------------------
+CITIES = {
+    "United States": ("New York", "Chicago", "Austin", "Seattle"),
+    "Egypt": ("Cairo", "Alexandria", "Giza", "Mansoura"),
+    "Germany": ("Berlin", "Munich", "Hamburg", "Frankfurt"),
+    "United Kingdom": ("London", "Manchester", "Bristol", "Leeds"),
+    "United Arab Emirates": ("Dubai", "Abu Dhabi", "Sharjah", "Ajman"),
+    "Saudi Arabia": ("Riyadh", "Jeddah", "Dammam", "Medina"),
+}
+BRANDS = ("Aster", "Nexa", "UrbanPeak", "Velora", "OmniGoods", "BrightBox")
+SUPPLIERS = ("Global Trade Co", "Northwind Supply", "Delta Wholesale", "Prime Source")
+DISCOUNTS = (0.0, 0.05, 0.1, 0.15, 0.2)
+FAULT_RATE = 0.08
+COPY_RATE = 0.02
+CUSTOMERS, PRODUCTS, STORES = 1500, 350, 40
+
+# Invented texts; any will do.
+FIRST_NAMES = ("Amina", "Ben", "Clara", "Daniel", "Eva", "Farid", "Grace", "Hugo", "Iris", "Jonas")
+LAST_NAMES = ("Adler", "Baker", "Castillo", "Diaz", "Eriksen", "Fischer", "Ghanem", "Hughes", "Ito", "Jensen")
+WORDS = ("amber", "basic", "clever", "daily", "easy", "fine", "golden", "handy", "ideal", "joyful", "keen", "light")
+
+
+def draws(frame: DataFrame, number: str, seed: str, names: Sequence[str]) -> DataFrame:
+    """Add one pseudo-random whole number below 2**32 per name."""
+    blocks = (len(names) + 3) // 4
+    digests = {f"_digest{b}": F.md5(F.concat_ws(":", F.lit(seed), F.lit(b), number)) for b in range(blocks)}
+    values = {
+        name: F.conv(F.substring(f"_digest{i // 4}", 8 * (i % 4) + 1, 8), 16, 10).cast("bigint")
+        for i, name in enumerate(names)
+    }
+    return frame.withColumns(digests).withColumns(values).drop(*digests)
+
+
+def uuid_of(seed: str, number: str) -> Column:
+    """A text in UUID form from a digest."""
+    digest = F.md5(F.concat_ws(":", F.lit(seed), number))
+    parts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return F.concat_ws("-", *[F.substring(digest, start, length) for start, length in parts])
+
+
+def _place(country: Column, city: Column) -> tuple[Column, Column]:
+    """Country and city for two draws."""
+    names = tuple(CITIES)
+    cities = F.array(*[F.array(*map(F.lit, CITIES[name])) for name in names])
+    index = (country % len(names) + 1).cast("int")
+    return pick(names, country), F.element_at(F.element_at(cities, index), (city % 4 + 1).cast("int"))
+
+
+def customer_pool(spark: SparkSession, count: int = CUSTOMERS, seed: str = "s") -> DataFrame:
+    names = ("first", "last", "age", "gender", "country", "city")
+    drawn = draws(spark.range(1, count + 1).withColumnRenamed("id", "customer_no"), "customer_no", f"{seed}:customer", names)
+    country, city = _place(F.col("country"), F.col("city"))
+    return drawn.select(
+        "customer_no",
+        F.concat(F.lit("CUST-"), F.lpad(F.col("customer_no").cast("string"), 6, "0")).alias("customer_id"),
+        F.concat_ws(" ", pick(FIRST_NAMES, F.col("first")), pick(LAST_NAMES, F.col("last"))).alias("customer_name"),
+        (F.col("age") % 65 + 16).cast("int").alias("customer_age"),
+        pick(GENDERS, F.col("gender")).alias("customer_gender"),
+        country.alias("customer_country"),
+        city.alias("customer_city"),
+    )
+
+
+def product_pool(spark: SparkSession, count: int = PRODUCTS, seed: str = "s") -> DataFrame:
+    names = ("word", "category", "brand_no", "supplier_no", "cents")
+    drawn = draws(spark.range(1, count + 1).withColumnRenamed("id", "product_no"), "product_no", f"{seed}:product", names)
+    category = pick(CATEGORIES, F.col("category"))
+    return drawn.select(
+        "product_no",
+        F.concat(F.lit("PROD-"), F.lpad(F.col("product_no").cast("string"), 5, "0")).alias("product_id"),
+        F.concat_ws(" ", F.initcap(pick(WORDS, F.col("word"))), F.regexp_replace(category, "s$", "")).alias("product_name"),
+        category.alias("product_category"),
+        pick(BRANDS, F.col("brand_no")).alias("brand"),
+        pick(SUPPLIERS, F.col("supplier_no")).alias("supplier"),
+        ((F.col("cents") % 149_501 + 500) / 100.0).cast("double").alias("price"),
+    )
+
+
+def store_pool(spark: SparkSession, count: int = STORES, seed: str = "s") -> DataFrame:
+    drawn = draws(
+        spark.range(1, count + 1).withColumnRenamed("id", "store_no"), "store_no", f"{seed}:store", ("country", "city")
+    )
+    country, city = _place(F.col("country"), F.col("city"))
+    return drawn.select(
+        "store_no",
+        F.concat(F.lit("STORE-"), F.lpad(F.col("store_no").cast("string"), 4, "0")).alias("store_id"),
+        F.concat_ws(" ", city, F.lit("Retail Hub"), "store_no").alias("store_name"),
+        country.alias("store_country"),
+        city.alias("store_city"),
+    )
+
+
+def _review(number: str, seed: str) -> Column:
+    """A sentence of twelve words."""
+    digest = F.sha2(F.concat_ws(":", F.lit(seed), F.lit("review"), number), 256)
+    words = [
+        pick(WORDS, F.conv(F.substring(digest, 4 * i + 1, 4), 16, 10).cast("bigint")) for i in range(12)
+    ]
+    return F.concat(F.initcap(words[0]), F.lit(" "), F.concat_ws(" ", *words[1:]), F.lit("."))
+
+
+def synthesize(
+    numbers: DataFrame, seed: str = "s", fault_rate: float = FAULT_RATE, copy_rate: float = COPY_RATE,
+    customers: int = CUSTOMERS, products: int = PRODUCTS, stores: int = STORES,
+) -> DataFrame:
+    """One event per ``number`` (a bigint column), some damaged, some sent twice.
+
+    Besides the raw event it has ``number``, ``copy`` (1 for a repeat) and
+    ``malformed_payload`` (text outside the event schema, for damaged messages).
+    ``copy_rate`` is the share of repeats among all events.
+    """
+    spark = numbers.sparkSession
+    names = (
+        "customer_no", "product_no", "store_no", "kind_no",
+        "amount_no", "discount_no", "rating_no", "payment_no",
+        "device_no", "browser_no", "channel_no", "year_no",
+        "second_no", "damage_no", "fault_no", "choice_no", "copy_no",
+    )
+    drawn = draws(numbers.select("number"), "number", f"{seed}:event", names).withColumns(
+        {
+            "customer_no": F.col("customer_no") % customers + 1,
+            "product_no": F.col("product_no") % products + 1,
+            "store_no": F.col("store_no") % stores + 1,
+        }
+    )
+    pools = (
+        (customer_pool(spark, customers, seed), "customer_no"),
+        (product_pool(spark, products, seed), "product_no"),
+        (store_pool(spark, stores, seed), "store_no"),
+    )
+    rows = reduce(lambda left, pool: left.join(*pool), pools, drawn)
+
+    per_fresh = round(copy_rate / (1 - copy_rate) * 10_000) if copy_rate < 1 else 10_000
+    repeats = F.when(F.col("copy_no") % 10_000 < per_fresh, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    damaged = F.col("damage_no") % 10_000 < round(fault_rate * 10_000)
+    rows = rows.withColumns(
+        {
+            "kind": event_type_of(F.col("kind_no") % 100),
+            "fault": F.when(damaged, F.col("fault_no") % len(FAULTS)).otherwise(-1),
+            "copy": F.explode(repeats),
+        }
+    )
+    kind, year = F.col("kind"), F.lit(VALID_YEARS[0]) + F.col("year_no") % len(VALID_YEARS)
+    new_year = F.unix_date(F.make_date(year.cast("int"), F.lit(1), F.lit(1))).cast("bigint")
+    next_year = F.unix_date(F.make_date((year + 1).cast("int"), F.lit(1), F.lit(1))).cast("bigint")
+    second = new_year * 86_400 + F.col("second_no") % ((next_year - new_year) * 86_400)
+    iso = F.concat(F.date_format(F.timestamp_seconds(second), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
+    quantity = F.when(kind.isin("product_view", "review"), 1).otherwise(F.col("amount_no") % 6 + 1)
+    choice = F.col("choice_no")
+    bad_quantity = F.when(choice % 3 == 0, 0).when(choice % 3 == 1, -3)
+    columns = {
+        "event_id": uuid_of(f"{seed}:id", "number"),
+        "event_timestamp": unless("broken timestamp", iso, F.lit("2026-99-99T99:99:99")),
+        "customer_id": unless("no customer id", F.col("customer_id")),
+        "customer_name": unless("no customer name", F.col("customer_name")),
+        "customer_age": unless("impossible age", F.col("customer_age"), F.when(choice % 2 == 0, -5).otherwise(130)),
+        "product_id": unless("no product id", F.col("product_id")),
+        "product_name": unless("no product name", F.col("product_name")),
+        "product_category": unless(
+            "no category", unless("unknown category", F.col("product_category"), F.lit("INVALID_CATEGORY"))
+        ),
+        "price": unless("negative price", F.col("price"), -F.col("price")),
+        "discount": F.when(kind.isin("purchase", "checkout"), pick(DISCOUNTS, F.col("discount_no"))).otherwise(0.0),
+        "quantity": unless("bad quantity", quantity, bad_quantity).cast("int"),
+        "payment_method": F.when(kind.isin("checkout", "purchase", "return"), pick(PAYMENT_METHODS, F.col("payment_no"))),
+        "event_type": unless("no event type", kind),
+        "rating": F.when(kind == "review", F.col("rating_no") % 5 + 1).cast("int"),
+        "review_text": F.when(kind == "review", _review("number", seed)),
+        "device_type": pick(DEVICES, F.col("device_no")),
+        "browser": pick(BROWSERS, F.col("browser_no")),
+        "session_id": F.concat(F.lit("SES-"), uuid_of(f"{seed}:session", "number")),
+        "marketing_channel": pick(CHANNELS, F.col("channel_no")),
+    }
+    fields = [columns.get(name, F.col(name)).alias(name) for name in RAW_EVENT_FIELDS]
+    junk = F.when(F.col("fault") == FAULTS.index("no event type"), F.lit("{not valid business event"))
+    return rows.select("number", "copy", *fields, junk.alias("malformed_payload"))
+
+
+def generate(spark: SparkSession, count: int, **settings) -> DataFrame:
+    """``count`` events, and their repeats."""
+    return synthesize(spark.range(count).withColumnRenamed("id", "number"), **settings)
+
+
+def to_damaged_messages(events: DataFrame) -> DataFrame:
+    """``key, value`` messages; a malformed one lacks its type and carries an unknown field."""
+    as_json = {"ignoreNullFields": "false"}
+    whole = F.to_json(F.struct(*RAW_EVENT_FIELDS), as_json)
+    broken = F.to_json(F.struct(*[c for c in RAW_EVENT_FIELDS if c != "event_type"], "malformed_payload"), as_json)
+    value = F.when(F.col("malformed_payload").isNull(), whole).otherwise(broken)
+    return events.select(message_key().alias("key"), value.alias("value"))
