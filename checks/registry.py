@@ -210,16 +210,14 @@ def highest_keys(spark, folder):
 
 def constraint_violations(spark, folder):
     """How often the stored tables' constraints would break if nothing were rejected."""
-    rows = _normalized(spark, folder)
-    parts = []
+    rows, rules = _normalized(spark, folder), []
     for table in ("dim_customer", "dim_product", "dim_store", "dim_channel", "fact_sales"):
-        rules = row_rules(table, lengths=True, columns=rows.columns)
-        counted = check_constraints(rows, [r for r in rules if "event_timestamp" not in r[0]])
-        parts.append(counted.select(F.lit(table).alias("table_name"), "rule", "violations"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result.filter("violations > 0")
+        of_table = row_rules(table, lengths=True, columns=rows.columns)
+        rules += [(f"{table}/{name}", bad) for name, bad in of_table if "event_timestamp" not in name]
+    counted = check_constraints(rows, rules).filter("violations > 0")
+    return counted.select(
+        F.substring_index("rule", "/", 1).alias("table_name"), F.substring_index("rule", "/", -1).alias("rule"), "violations"
+    )
 
 
 def repeated_ids(spark, folder):

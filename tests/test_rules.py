@@ -1,0 +1,126 @@
+"""Rule goldens: one change to a base event, the exact reject reason and derived values."""
+
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventmart.functions.cleaning import nan_to_null, normalize
+from eventmart.functions.enrichment import enrich
+from eventmart.functions.rules import event_rules, reject_reason, rejected, valid, validate
+from tests.conftest import payload
+
+TEN = (
+    "missing event_id; bad timestamp; missing customer_id; missing product_id; missing store_id; invalid event_type; "
+    "invalid product_category; invalid customer_age; invalid price; invalid quantity"
+)
+BASE = {
+    "final_price": Decimal("16.99"), "revenue": Decimal("50.97"), "profit_estimate": Decimal("14.27"),
+    "week_number": 10, "is_weekend": True, "date_key": 20250308, "quarter": 1, "month_name": "March",
+    "day_name": "Saturday", "event_hour": 23, "event_date": date(2025, 3, 8), "full_date": date(2025, 3, 8),
+    "event_month": 3, "event_year": 2025, "day_of_month": 8,
+}
+ZERO = {"revenue": Decimal("0.00"), "profit_estimate": Decimal("0.00")}
+
+CASES = [
+    (payload(), "", BASE),
+    (payload(customer_name=None), "", {"customer_name": "Unknown Customer"}),
+    (payload(product_name=None), "", {"product_name": "Unknown Product"}),
+    (payload(brand=None, supplier=None, payment_method=None), "",
+     {"brand": "Unknown Brand", "supplier": "Unknown Supplier", "payment_method": "not_applicable"}),
+    (payload(product_category=None), "invalid product_category", {}),
+    (payload(product_category="INVALID_CATEGORY"), "invalid product_category", {}),
+    (payload(price=-19.99), "", {"final_price": Decimal("16.99")}),
+    (payload(event_type=..., malformed_payload="{not"), "invalid event_type", {}),
+    (payload(customer_id=None), "missing customer_id", {}),
+    (payload(product_id=None), "missing product_id", {}),
+    (payload(store_id=None), "missing store_id", {}),
+    (payload(customer_id=""), "", {"customer_id": ""}),
+    (payload(event_timestamp="2026-99-99T99:99:99"), "bad timestamp", {}),
+    (payload(customer_age=-5), "invalid customer_age", {}),
+    (payload(customer_age=130), "invalid customer_age", {}),
+    (payload(customer_age=13), "", {}),
+    (payload(customer_age=100), "", {}),
+    (payload(quantity=0), "invalid quantity", {}),
+    (payload(quantity=-3), "invalid quantity", {}),
+    (payload(quantity=None), "invalid quantity", {}),
+    (payload(price=0), "invalid price", {}),
+    (payload(event_timestamp="2022-12-31T23:59:59+00:00"), "event year outside supported range", {}),
+    (payload(event_timestamp="2022-12-31T23:30:00-01:00"), "",
+     {"date_key": 20230101, "week_number": 52, "day_name": "Sunday", "event_hour": 0}),
+    (payload(event_timestamp="2024-12-30T00:00:00+00:00"), "", {"week_number": 1, "is_weekend": False, "quarter": 4}),
+    (payload(discount=1.0), "invalid discount", {}),
+    (payload(discount=-0.1), "invalid discount", {}),
+    (payload(discount=None), "",
+     {"final_price": Decimal("19.99"), "revenue": Decimal("59.97"), "profit_estimate": Decimal("16.79")}),
+    (payload(discount=0.125, price=1.0), "", {"final_price": Decimal("0.88")}),
+    (payload(event_type="review", rating=6), "invalid review rating", {}),
+    (payload(event_type="review", rating=None), "", ZERO),
+    (payload(event_type="  PURCHASE "), "", BASE),
+    (payload(product_category="books"), "invalid product_category", {}),
+    (payload(product_category=" Books "), "", {"product_category": "Books"}),
+    (payload(customer_name="  "), "", {"customer_name": ""}),
+    (payload(event_type="return", discount=0), "", {"revenue": Decimal("-59.97"), "profit_estimate": Decimal("-16.79")}),
+    (payload(event_type="checkout"), "", ZERO),
+    (payload(customer_id=None, quantity=0), "missing customer_id; invalid quantity", {}),
+    ("not json", TEN, {}),
+    ("", TEN, {}),
+    (None, TEN, {}),
+    (payload(price="19.99"), "invalid price", {}),
+    (payload().replace('"quantity": 3', '"quantity": 3.0'), "invalid quantity", {}),
+    (payload().replace("19.99", "NaN"), "invalid price", {}),
+    (payload().replace("0.15", "NaN"), "invalid discount", {}),
+    (payload(price=1e12), "invalid price", {}),
+    (payload(price=9999999999.5), "", {"final_price": Decimal("8499999999.58")}),
+    (payload(price=0.004), "", {"final_price": Decimal("0.00")}),
+]
+
+
+@pytest.fixture(scope="module")
+def outcomes(spark):
+    from eventmart.sources.envelope import parse_events
+
+    rows = [("k", text, i) for i, (text, _, _) in enumerate(CASES)]
+    frame = spark.createDataFrame(rows, "key string, value string, n bigint")
+    events = parse_events(frame.selectExpr("key", "value", "timestamp_seconds(n) AS timestamp"))
+    checked = validate(normalize(events)).withColumn("n", F.unix_timestamp("kafka_timestamp"))
+    reasons = {r["n"]: r for r in checked.select("n", "reject_reason", "is_valid").collect()}
+    derived = {r["n"]: r.asDict() for r in enrich(valid(checked)).collect()}
+    return reasons, derived
+
+
+@pytest.mark.parametrize("n", range(len(CASES)))
+def test_golden(outcomes, n):
+    reasons, derived = outcomes
+    _, reason, expected = CASES[n]
+    assert reasons[n]["reject_reason"] == reason
+    assert reasons[n]["is_valid"] == (reason == "")
+    assert (n in derived) == (reason == "")
+    assert {k: derived[n][k] for k in expected} == expected
+
+
+def test_split_is_complete(events):
+    checked = validate(normalize(events(payload(), payload(price=0), "x")))
+    assert valid(checked).count() == 1
+    assert rejected(checked).count() == 2
+
+
+def test_rules_are_data(spark, events):
+    rules = [*event_rules(categories=("Books",), years=(2025,)), ("too many", F.col("quantity") > 2)]
+    reasons = validate(normalize(events(payload(), payload(product_category="Toys", quantity=1))), rules)
+    assert [r[0] for r in reasons.orderBy("kafka_timestamp").select("reject_reason").collect()] == [
+        "too many", "invalid product_category",
+    ]
+    assert spark.range(1).select(reject_reason([("a", F.lit(False))])).first()[0] == ""
+
+
+def test_nan_to_null(spark):
+    frame = spark.createDataFrame([(float("nan"), 1), (2.0, 2), (None, 3)], "x double, n int")
+    assert [tuple(r) for r in nan_to_null(frame).orderBy("n").collect()] == [(None, 1), (2.0, 2), (None, 3)]
+    assert nan_to_null(frame.select("n")).columns == ["n"]
+
+
+def test_unknown_fields_and_repeated_fields(events):
+    text = '{"event_id": "a", "event_id": "b", "EVENT_ID": "c", "other": 1}'
+    assert events(text).first()["event_id"] == "b"
