@@ -10,14 +10,20 @@ DEFAULT_TOPIC = "retail_events"
 
 
 def source_options(
-    servers: str, topic: str = DEFAULT_TOPIC, starting_offsets: str = "latest", fail_on_data_loss: bool = False
+    servers: str,
+    topic: str = DEFAULT_TOPIC,
+    starting_offsets: str = "latest",
+    fail_on_data_loss: bool = False,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
-    return {
+    """``min_partitions`` splits a topic with few partitions over more tasks."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    return {**options, "minPartitions": str(min_partitions)} if min_partitions else options
 
 
 def sink_options(servers: str, topic: str = DEFAULT_TOPIC) -> dict[str, str]:
