@@ -7,6 +7,7 @@ task are counted, and their running sum turns every slot into a dense position.
 Only those counts, one per task, reach the driver.
 """
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,42 +35,52 @@ class Slotted:
     """Rows on disk with slots; ``offsets`` holds one row per task that wrote any."""
 
     rows: DataFrame
-    offsets: DataFrame
+    offsets: list[tuple[int, int]]
     count: int
     to_number: int
     only: str | None
+    totals: dict[str, int]
 
     def numbered(self, column: str, base: int, type_name: str = "bigint") -> DataFrame:
         """Replace slots by keys from ``base + 1`` up, without gaps.
 
         Rows that ``only`` leaves out keep the key they have.
         """
-        key = (F.lit(base) + F.col("_offset") + _position() + 1).cast(type_name)
+        first_keys = [(task, base + offset + 1) for task, offset in self.offsets]
+        per_task = self.rows.sparkSession.createDataFrame(first_keys, "_task bigint, _first_key bigint")
+        key = (F.col("_first_key") + _position()).cast(type_name)
         if self.only:
             key = F.when(F.col(self.only), key).otherwise(F.col(column))
-        joined = self.rows.withColumn("_task", _task()).join(F.broadcast(self.offsets), "_task")
-        return joined.withColumn(column, key).drop(SLOT, "_task", "_offset")
+        joined = self.rows.withColumn("_task", _task()).join(F.broadcast(per_task), "_task")
+        return joined.withColumn(column, key).drop(SLOT, "_task", "_first_key")
 
 
-def write_slotted(frame: DataFrame, path: str, only: str | None = None) -> Slotted:
+def write_slotted(
+    frame: DataFrame, path: str, only: str | None = None, totals: Mapping[str, Column] | None = None
+) -> Slotted:
     """Write ``frame`` with slots and count the rows per task.
 
     Rows get slots in the order the tasks produce them. ``only`` names a boolean
     column; where it is given, only its rows are to be numbered, and they must
-    come first in every partition (see :func:`order_for_keys`).
+    come first in every partition (see :func:`order_for_keys`). ``totals`` are
+    further whole-number sums to take in the pass that counts.
     """
-    spark = frame.sparkSession
+    spark, totals = frame.sparkSession, dict(totals or {})
     slotted = frame.withColumn(SLOT, F.monotonically_increasing_id())
     slotted.write.mode("overwrite").parquet(path)
     rows = spark.read.schema(slotted.schema).parquet(path)
     wanted = F.count_if(only) if only else F.count("*")
-    counts = rows.groupBy(_task().alias("task")).agg(F.count("*").alias("rows"), wanted.alias("wanted"))
-    offsets, total, to_number = [], 0, 0
-    for task, n, n_wanted in sorted((r["task"], r["rows"], r["wanted"]) for r in counts.collect()):
-        offsets.append((task, to_number))
-        total += n
-        to_number += n_wanted
-    return Slotted(rows, spark.createDataFrame(offsets, "_task bigint, _offset bigint"), total, to_number, only)
+    counts = rows.groupBy(_task().alias("task")).agg(
+        F.count("*").alias("rows"), wanted.alias("wanted"), *[F.sum(c).alias(name) for name, c in totals.items()]
+    )
+    offsets, total, to_number, sums = [], 0, 0, dict.fromkeys(totals, 0)
+    for row in sorted(counts.collect(), key=lambda r: r["task"]):
+        offsets.append((row["task"], to_number))
+        total += row["rows"]
+        to_number += row["wanted"]
+        for name in sums:
+            sums[name] += row[name] or 0
+    return Slotted(rows, offsets, total, to_number, only, sums)
 
 
 def order_for_keys(frame: DataFrame, key: str, first: str | None = None, small: bool = False) -> DataFrame:

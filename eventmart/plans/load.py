@@ -158,25 +158,25 @@ class _Load:
 
     def _load_valid(self, events: DataFrame, result: LoadResult) -> LoadResult:
         unique = first_per_key(events.drop("raw_json", "kafka_key", "ingestion_timestamp", "reject_reason", "is_valid"))
-        slotted = keys.write_slotted(enrich(unique), self.mart.staging(self.load, "valid"))
-        small = self._check(slotted)
+        enriched = enrich(unique)
+        rules = self._row_rules(enriched)
+        totals = {name: F.when(bad, 1) for name, bad in rules}
+        totals["id_bytes"] = F.octet_length("event_id")
+        slotted = keys.write_slotted(enriched, self.mart.staging(self.load, "valid"), totals=totals)
+        broken = [f"{name}: {slotted.totals[name]} rows" for name, _ in rules if slotted.totals[name]]
+        if broken:
+            raise ConstraintError("; ".join(broken))
+        small = slotted.count <= SMALL_ROWS and slotted.totals["id_bytes"] <= SMALL_BYTES
         dimensions = self._merge_dimensions(slotted.rows, small)
         inserted, missing_key = self._append_facts(slotted, dimensions, small)
         skipped = slotted.count - inserted - missing_key
         return replace(result, inserted=inserted, skipped=skipped, missing_key=missing_key)
 
-    def _check(self, slotted: keys.Slotted) -> bool:
-        """Fail on rows the stored tables do not accept; tell whether the batch is small."""
-        rows, rules = slotted.rows, []
-        for table in ("fact_sales", "dim_customer", "dim_product", "dim_store", "dim_channel"):
-            rules += row_rules(table, self.options.check_lengths, rows.columns)
-        counts = rows.agg(
-            F.sum(F.octet_length("event_id")), *[F.count_if(bad) for _, bad in rules]
-        ).first()
-        broken = [f"{name}: {n} rows" for (name, _), n in zip(rules, counts[1:]) if n]
-        if broken:
-            raise ConstraintError("; ".join(broken))
-        return slotted.count <= SMALL_ROWS and counts[0] <= SMALL_BYTES
+    def _row_rules(self, events: DataFrame) -> list[Rule]:
+        """Constraints the stored tables put on the events of a batch."""
+        tables = ("fact_sales", "dim_customer", "dim_product", "dim_store", "dim_channel")
+        rules = [r for table in tables for r in row_rules(table, self.options.check_lengths, events.columns)]
+        return list(dict(rules).items())
 
     def _merge_dimensions(self, rows: DataFrame, small: bool) -> dict[str, DataFrame]:
         """Merge the dimensions side by side; each is a few small jobs."""

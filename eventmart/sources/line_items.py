@@ -129,7 +129,9 @@ def raw_events(spark: SparkSession, folder: str, copies: bool = False) -> DataFr
         "browser": pick(BROWSERS, h),
         "session_id": F.concat(F.lit("SES-"), h % 1_000_003),
         "marketing_channel": pick(CHANNELS, F.col("l_linenumber")),
-        "arrival": F.timestamp_seconds(F.lit(FIRST_ARRIVAL) + (h * 37) % 1_000_000 + F.col("copy") * 3600),
+        "arrival": F.timestamp_seconds(
+            F.lit(FIRST_ARRIVAL) + (h * 37) % 1_000_000 + F.col("l_quantity").cast("bigint") + F.col("copy") * 3600
+        ),
     }
     return typed.select("h", "copy", *[value.alias(name) for name, value in columns.items()])
 
