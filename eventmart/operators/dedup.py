@@ -18,24 +18,41 @@ def first_per_key(events: DataFrame, key: str = "event_id", order: Sequence[Colu
     return events.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_first")).select(key, "_first.*")
 
 
+def first_of_repeated(events: DataFrame, repeated: DataFrame, key: str = "event_id") -> DataFrame:
+    """:func:`first_per_key` where the few keys that occur more than once are known.
+
+    ``repeated`` is broadcast; its size must have been checked. All other rows
+    stay where they are, so only copies are shuffled.
+    """
+    repeated = F.broadcast(repeated.select(key))
+    once = events.join(repeated, key, "left_anti")
+    return once.unionByName(first_per_key(events.join(repeated, key, "left_semi")))
+
+
 def last_per_key(
-    events: DataFrame, key: str, attributes: Sequence[str], order: Sequence[str],
+    events: DataFrame, key: str, attributes: Sequence[str], at: str = "event_timestamp",
     defaults: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """The attributes of the last row of every ``key`` by ``order``; collapses before the shuffle.
+    """The attributes of every ``key`` at its latest time; ties go to the larger attributes.
+
+    Rows collapse in two steps. The first keeps the latest time of every distinct
+    version of a member. It groups by plain columns, so it is a hash aggregate,
+    and it runs before the shuffle. The second picks one of the few versions.
 
     An attribute with an entry in ``defaults`` takes its last value other than
     the default, and the default only where there is no other.
     """
     if not attributes:
         return events.select(key).distinct()
-    order = F.struct(*order)
+    versions = events.groupBy(key, *attributes).agg(F.max(at).alias("_at"))
     known = {a: text for a, text in (defaults or {}).items() if a in attributes}
-    last = F.max_by(F.struct(*[a for a in attributes if a not in known]), order)
-    others = {a: F.when(F.col(a) != text, F.col(a)) for a, text in known.items()}
-    last_known = [F.max_by(v, F.when(v.isNotNull(), order)).alias(a) for a, v in others.items()]
-    grouped = events.groupBy(key).agg(last.alias("_last"), *last_known).select(key, "_last.*", *known)
-    filled = grouped.withColumns({a: F.coalesce(a, F.lit(text)) for a, text in known.items()})
+    others = [a for a in attributes if a not in known]
+    picks = [F.max_by(F.struct(*others), F.struct("_at", *attributes)).alias("_last")]
+    for attribute, text in known.items():
+        value = F.when(F.col(attribute) != text, F.col(attribute))
+        picks.append(F.max_by(value, F.when(value.isNotNull(), F.struct("_at", *attributes))).alias(attribute))
+    last = versions.groupBy(key).agg(*picks).select(key, "_last.*", *known)
+    filled = last.withColumns({a: F.coalesce(a, F.lit(text)) for a, text in known.items()}) if known else last
     return filled.select(key, *attributes)
 
 

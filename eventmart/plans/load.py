@@ -17,8 +17,8 @@ from eventmart.functions.enrichment import enrich
 from eventmart.functions.rules import Rule, event_rules, validate, warehouse_rules
 from eventmart.mart import Commit, Mart
 from eventmart.operators import keys, merge
-from eventmart.operators.constraints import row_rules
-from eventmart.operators.dedup import first_per_key, last_per_key, not_seen
+from eventmart.operators.constraints import duplicate_keys, row_rules
+from eventmart.operators.dedup import first_of_repeated, first_per_key, last_per_key, not_seen
 from eventmart.operators.resolve import resolve_keys
 
 log = logging.getLogger(__name__)
@@ -28,8 +28,9 @@ log = logging.getLogger(__name__)
 SMALL_ROWS = 1_000_000
 SMALL_BYTES = 64 * 1024 * 1024
 
-# "Later" within a batch, for the row that a dimension keeps.
-LAST_ORDER = ("event_timestamp", "event_id")
+# Columns no stored table takes anything from.
+UNUSED = ("kafka_key", "ingestion_timestamp", "event_timestamp", "device_type", "browser")
+DERIVED_ONLY = ("event_timestamp_ts", "event_date", "kafka_timestamp")
 
 FACT_FIELDS = [c.split()[0] for c in re.split(r",\s+", TABLE_DDL["fact_sales"].strip())]
 
@@ -77,10 +78,10 @@ def dead_letters(rejects: DataFrame, batch_id: int, now: datetime) -> DataFrame:
 
 
 def incoming_members(events: DataFrame, dim: merge.Dimension, keep_known: bool = False) -> DataFrame:
-    """One row per member in a batch: the last event's attributes."""
+    """One row per member in a batch, with the attributes of its latest event."""
     renamed = events.withColumnsRenamed(dict(dim.renamed))
     defaults = merge.TEXT_DEFAULTS if keep_known and dim.tracked else None
-    return last_per_key(renamed, dim.id, dim.attributes, LAST_ORDER, defaults)
+    return last_per_key(renamed, dim.id, dim.attributes, defaults=defaults)
 
 
 def fact_rows(resolved: DataFrame, now: datetime) -> DataFrame:
@@ -142,7 +143,7 @@ class _Load:
         leaves the stream's own session, where adaptive execution is off.
         """
         checked = validate(normalize(events), self._rules())
-        checked = checked.withColumn("raw_json", F.when(~F.col("is_valid"), F.col("raw_json")))
+        checked = checked.withColumn("raw_json", F.when(~F.col("is_valid"), F.col("raw_json"))).drop(*UNUSED)
         path = self.mart.staging(self.load, "events")
         checked.write.mode("overwrite").partitionBy("is_valid").parquet(path)
         return self.mart.spark.read.schema(checked.schema).parquet(path)
@@ -157,8 +158,7 @@ class _Load:
         self.snapshots[table] = self.load
 
     def _load_valid(self, events: DataFrame, result: LoadResult) -> LoadResult:
-        unique = first_per_key(events.drop("raw_json", "kafka_key", "ingestion_timestamp", "reject_reason", "is_valid"))
-        enriched = enrich(unique)
+        enriched = enrich(self._unique(events.drop("raw_json", "reject_reason", "is_valid"))).drop(*DERIVED_ONLY)
         rules = self._row_rules(enriched)
         totals = {name: F.when(bad, 1) for name, bad in rules}
         totals["id_bytes"] = F.octet_length("event_id")
@@ -172,6 +172,20 @@ class _Load:
         skipped = slotted.count - inserted - missing_key
         return replace(result, inserted=inserted, skipped=skipped, missing_key=missing_key)
 
+    def _unique(self, events: DataFrame) -> DataFrame:
+        """One row per event id.
+
+        Ids that repeat are found first, from the id column alone. As long as
+        they are few, whole events are not shuffled at all, except the copies.
+        """
+        path = self.mart.staging(self.load, "repeated")
+        duplicate_keys(events, "event_id").write.mode("overwrite").parquet(path)
+        repeated = self.mart.spark.read.schema("event_id STRING, copies BIGINT").parquet(path)
+        size = repeated.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("event_id")), F.lit(0))).first()
+        if size[0] <= SMALL_ROWS and size[1] <= SMALL_BYTES:
+            return first_of_repeated(events, repeated)
+        return first_per_key(events)
+
     def _row_rules(self, events: DataFrame) -> list[Rule]:
         """Constraints the stored tables put on the events of a batch."""
         tables = ("fact_sales", "dim_customer", "dim_product", "dim_store", "dim_channel")
@@ -188,7 +202,9 @@ class _Load:
         mart, options = self.mart, self.options
         current = mart.table(dim.table, self.previous)
         incoming = incoming_members(rows, dim, options.keep_known)
-        classified = merge.classify(incoming, current, dim, options.always_update, options.keep_known, small)
+        # Reading the batch once more to filter a snapshot only pays where the snapshot is large.
+        restrict = small and self.max_keys[dim.table] > SMALL_ROWS
+        classified = merge.classify(incoming, current, dim, options.always_update, options.keep_known, restrict)
         touched = merge.resolved_rows(classified, dim, self.now, options.keep_known)
         ordered = keys.order_for_keys(touched, dim.id, first="is_new", small=small)
         slotted = keys.write_slotted(ordered, mart.staging(self.load, dim.table), only="is_new")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.rounding import percentage, ratio
 from eventmart.operators import constraints, keys, merge
-from eventmart.operators.dedup import first_per_key, last_per_key, not_seen
+from eventmart.operators.dedup import first_of_repeated, first_per_key, last_per_key, not_seen
 from eventmart.operators.resolve import resolve_keys
 
 
@@ -35,17 +35,34 @@ def test_hot_key_collapses_before_the_shuffle(spark):
     assert "partial_min_by" in plan and "Window" not in plan
 
 
+def test_only_copies_are_shuffled(spark):
+    rows = [("a", 2, "late"), ("a", 1, "first"), ("b", 1, "only")]
+    frame = spark.createDataFrame(rows, "event_id string, kafka_timestamp int, text string")
+    repeated = spark.createDataFrame([("a",)], "event_id string")
+    unique = first_of_repeated(frame, repeated)
+    assert {tuple(r) for r in unique.collect()} == {("a", 1, "first"), ("b", 1, "only")}
+    plan = unique._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [event_id" in plan and "SortMergeJoin" not in plan
+
+
+def test_last_per_key_ties(spark):
+    frame = spark.createDataFrame([("c", 1, "a", None), ("c", 1, "b", 2), ("c", 1, "b", 3)], "id string, ts int, name string, age int")
+    last = last_per_key(frame, "id", ["name", "age"], "ts")
+    assert [tuple(r) for r in last.collect()] == [("c", "b", 3)]
+    assert "HashAggregate(keys=[id" in last._jdf.queryExecution().executedPlan().toString()
+
+
 def test_last_per_key(spark):
     rows = [("c", 1, "a", "Old"), ("c", 2, "b", None), ("d", 1, "z", "Zed")]
     frame = spark.createDataFrame(rows, "id string, ts int, event_id string, name string")
-    assert {tuple(r) for r in last_per_key(frame, "id", ["name"], ["ts", "event_id"]).collect()} == {("c", None), ("d", "Zed")}
-    assert {r[0] for r in last_per_key(frame, "id", [], ["ts"]).collect()} == {"c", "d"}
+    assert {tuple(r) for r in last_per_key(frame, "id", ["name"], "ts").collect()} == {("c", None), ("d", "Zed")}
+    assert {r[0] for r in last_per_key(frame, "id", [], "ts").collect()} == {"c", "d"}
 
 
 def test_last_per_key_keeps_known_texts(spark):
     rows = [("c", 1, "Ann", 1), ("c", 2, "Unknown Customer", 2), ("d", 1, "Unknown Customer", 3)]
     frame = spark.createDataFrame(rows, "id string, ts int, customer_name string, age int")
-    last = last_per_key(frame, "id", ["customer_name", "age"], ["ts"], {"customer_name": "Unknown Customer"})
+    last = last_per_key(frame, "id", ["customer_name", "age"], "ts", {"customer_name": "Unknown Customer"})
     assert {tuple(r) for r in last.collect()} == {("c", "Ann", 2), ("d", "Unknown Customer", 3)}
 
 
