@@ -28,6 +28,10 @@ log = logging.getLogger(__name__)
 SMALL_ROWS = 1_000_000
 SMALL_BYTES = 64 * 1024 * 1024
 
+# Facts of a batch up to this size are written by one task, so that a stream of
+# short batches does not leave a file per task and event type every time.
+ONE_TASK_ROWS = 50_000
+
 # Columns no stored table takes anything from.
 UNUSED = ("kafka_key", "ingestion_timestamp", "event_timestamp", "device_type", "browser")
 DERIVED_ONLY = ("event_timestamp_ts", "event_date", "kafka_timestamp")
@@ -124,7 +128,7 @@ class _Load:
                 quarantined.result()
         mart.publish(
             Commit(
-                self.load, self.snapshots, self.max_keys,
+                self.load, self.snapshots, self.previous.merged, self.max_keys,
                 {**self.previous.applied, self.source: self.batch_id},
                 {k: v for k, v in vars(result).items() if k not in ("load", "replayed")},
             )
@@ -182,6 +186,8 @@ class _Load:
         duplicate_keys(events, "event_id").write.mode("overwrite").parquet(path)
         repeated = self.mart.spark.read.schema("event_id STRING, copies BIGINT").parquet(path)
         size = repeated.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("event_id")), F.lit(0))).first()
+        if not size[0]:
+            return events
         if size[0] <= SMALL_ROWS and size[1] <= SMALL_BYTES:
             return first_of_repeated(events, repeated)
         return first_per_key(events)
@@ -236,6 +242,8 @@ class _Load:
             seen, F.count_if(~F.col("_no_key")).alias("inserted"), F.count_if("_no_key").alias("missing")
         )
         rows = fact_rows(watched.filter(~F.col("_no_key")), self.now)
+        if slotted.count <= ONE_TASK_ROWS:
+            rows = rows.coalesce(1)
         rows.write.mode("overwrite").partitionBy("event_type").parquet(mart.path(table, self.load))
         counts = seen.get
         if counts["missing"]:

@@ -256,3 +256,21 @@ def test_snapshots_of_the_past_and_vacuum(events, mart):
     assert sorted(mart.vacuum(keep=1)) == ["dim_customer/load=1", "dim_customer/load=2"]
     assert rows(mart, "dim_customer", "customer_name") == [("N2",)]
     assert rows(mart, "dim_product", "product_key") == [(1,)]
+
+
+def test_merged_loads_hold_the_same_rows(events, mart):
+    for i in range(3):
+        load_batch(mart, events(payload(event_id=f"E{i}"), payload(event_id=f"R{i}", event_type="return"), "x"), i, options=ONCE)
+    before = {t: rows(mart, t, "*") for t in ("fact_sales", "dead_letter_events")}
+    old = mart.commit_record()
+    merged = mart.merge_loads()
+    assert merged.load == old.load + 1 and mart.merge_loads() == merged
+    assert {t: rows(mart, t, "*") for t in before} == before
+    assert mart.table("fact_sales", old).count() == 6
+
+    assert {f for f in mart.vacuum(keep=1) if f.startswith("fact_sales")} == {f"fact_sales/load={n}" for n in (1, 2, 3)}
+    assert {t: rows(mart, t, "*") for t in before} == before
+    result = load_batch(mart, events(payload(event_id="E0"), payload(event_id="E9")), 3, options=ONCE)
+    assert (result.inserted, result.skipped) == (1, 1)
+    assert mart.table("fact_sales").count() == 7
+    assert_sound(mart)

@@ -4,11 +4,14 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventmart.functions.cleaning import normalize
 from eventmart.functions.rules import valid, validate
+from eventmart.mart import Mart
 from eventmart.plans import reports
 from eventmart.plans.load import LoadOptions, load_batch
+from eventmart.sources.envelope import parse_events
 from tests.conftest import payload
 
 PACKAGE = Path(__file__).parent.parent / "eventmart"
@@ -18,9 +21,12 @@ def plan_of(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture
-def loaded(mart, events):
-    load_batch(mart, events(payload(), payload(event_id="E2", event_type="review", rating=3)), 0, options=LoadOptions(attempts=1))
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
+    mart = Mart(spark, str(tmp_path_factory.mktemp("plans") / "mart"))
+    texts = [("k", payload()), ("k", payload(event_id="E2", event_type="review", rating=3))]
+    frame = spark.createDataFrame(texts, "key string, value string").withColumn("timestamp", F.current_timestamp())
+    load_batch(mart, parse_events(frame), 0, options=LoadOptions(attempts=1))
     return mart
 
 
