@@ -12,6 +12,9 @@ REQUIRED = {
     # Partitioned writes keep this many files open instead of sorting all rows by
     # partition; loads split by validity (2) and by event type (6).
     "spark.sql.maxConcurrentOutputFileWriters": "8",
+    # The JVM does not compile methods beyond this size; Spark then runs the stage
+    # in smaller pieces instead of one long method that is interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Stored timestamps are readable by other engines.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
