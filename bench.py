@@ -8,11 +8,11 @@ which every event is already known, and every report.
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from checks.marts import scratch  # noqa: E402
 from eventmart.functions.cleaning import normalize  # noqa: E402
 from eventmart.functions.enrichment import enrich  # noqa: E402
 from eventmart.functions.rules import valid, validate  # noqa: E402
@@ -33,8 +33,7 @@ def main() -> None:
         **{"spark.ui.enabled": "false", "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = tempfile.mkdtemp(prefix="bench-", dir=shared)
+    root = scratch(spark, "bench")
     messages = f"{root}/messages"
     line_items.messages(spark, folder, copies=True).write.parquet(messages)
     events = parse_events(spark.read.parquet(messages))

@@ -211,6 +211,8 @@ def test_large_batch_path_gives_the_same_mart(events, spark, tmp_path, monkeypat
         load_batch(mart, events(*first), 0, options=ONCE)
         result = load_batch(mart, events(*second), 1, options=ONCE)
         assert (result.inserted, result.skipped) == (30, 10)
+        again = load_batch(mart, events(*second), 2, options=ONCE)
+        assert (again.inserted, again.skipped) == (0, 40)
         results.append((
             rows(mart, "fact_sales", "event_id", "customer_key"),
             rows(mart, "dim_customer", "customer_key", "customer_id", "customer_name"),
