@@ -40,12 +40,12 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.tables import by_batch, utf8
 
-SAMPLE = 2_500
+SAMPLE = 1_000
 PREFIXES = (3, 4, 5, 6)
 THRESHOLD = 0.3
 # Documents held out from learning: this remainder of crc32(doc_id as text) mod FOLDS.
 FOLDS, HELD_OUT = 4, 2
-STEPS, RATE, DECAY = 60, 0.3, 1e-4
+STEPS, RATE, DECAY = 40, 0.3, 1e-4
 FLOOR = 1e-6
 CACHE_WORDS = 400_000
 
@@ -73,10 +73,14 @@ def mobius(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, width: in
     n = len(a)
     rows = -(-n // width)
     pad = rows * width - n
-    m = [np.pad(x, (0, pad), constant_values=k).reshape(rows, width) for x, k in ((a, 1.0), (b, 0.0), (c, 0.0), (d, 1.0))]
-    p, q, r, s = (x[:, 0].copy() for x in m)
+    # Transposed, so that a step of all rows lies together in memory.
+    m = [
+        np.ascontiguousarray(np.pad(x, (0, pad), constant_values=k).reshape(rows, width).T)
+        for x, k in ((a, 1.0), (b, 0.0), (c, 0.0), (d, 1.0))
+    ]
+    p, q, r, s = (x[0].copy() for x in m)
     for k in range(1, width):
-        e, f, g, h = (x[:, k] for x in m)
+        e, f, g, h = (x[k] for x in m)
         p, q, r, s = e * p + f * r, e * q + f * s, g * p + h * r, g * q + h * s
         scale = 1.0 / (p + q + r + s)
         p, q, r, s = p * scale, q * scale, r * scale, s * scale
@@ -85,15 +89,20 @@ def mobius(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, width: in
     for k, (e, f, g, h) in enumerate(zip(p.tolist(), q.tolist(), r.tolist(), s.tolist(), strict=True)):
         entry[k] = x
         x = (e * x + f) / (g * x + h)
-    out = np.empty((rows, width))
+    out = np.empty((width, rows))
     for k in range(width):
-        entry = (m[0][:, k] * entry + m[1][:, k]) / (m[2][:, k] * entry + m[3][:, k])
-        out[:, k] = entry
-    return out.ravel()[:n]
+        entry = (m[0][k] * entry + m[1][k]) / (m[2][k] * entry + m[3][k])
+        out[k] = entry
+    return out.T.ravel()[:n]
 
 
-def marginals(emission: np.ndarray, first: np.ndarray, last: np.ndarray, trans: np.ndarray, start: float):
-    """Of concatenated chains: each word's probability to be toxic, and each step's, from state to state."""
+def marginals(
+    emission: np.ndarray, first: np.ndarray, last: np.ndarray, trans: np.ndarray, start: float, expect: bool = False
+) -> tuple[np.ndarray, np.ndarray | None]:
+    """Of concatenated chains: each word's probability to be toxic; if asked for, the expected number of each step.
+
+    Steps are clean to clean, clean to toxic, toxic to clean, toxic to toxic.
+    """
     e = np.exp(np.clip(emission, -30, 30))
     t = np.exp(trans)
     forward = mobius(
@@ -106,12 +115,13 @@ def marginals(emission: np.ndarray, first: np.ndarray, last: np.ndarray, trans:
         np.where(last, 0.0, nxt * t[0, 1])[::-1], np.where(last, 1.0, t[0, 0])[::-1],
     )[::-1]
     odds = forward * backward
-    steps = np.empty((len(e), 2, 2))
-    before, here = np.append(1.0, forward[:-1]), e * backward
-    steps[:, 0, 0], steps[:, 0, 1] = t[0, 0], t[0, 1] * here
-    steps[:, 1, 0], steps[:, 1, 1] = before * t[1, 0], before * t[1, 1] * here
-    steps /= steps.sum(axis=(1, 2), keepdims=True)
-    return odds / (1 + odds), steps
+    probs = odds / (1 + odds)
+    if not expect:
+        return probs, None
+    before, here = forward[:-1][~first[1:]], (e * backward)[1:][~first[1:]]
+    parts = t[0, 0], t[0, 1] * here, before * t[1, 0], before * t[1, 1] * here
+    total = sum(parts)
+    return probs, np.array([(p / total).sum() for p in parts])
 
 
 def word_probabilities(emission: np.ndarray, sizes: list[int], trans: np.ndarray, start: float) -> np.ndarray:
@@ -225,13 +235,13 @@ def learn(texts: list[bytes], toxic: list[bool], clean_weight: float = 1.0) -> M
     moment, square = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
         score = np.bincount(word_of, theta[feature_of], len(number)) + theta[bias]
-        probs, steps = marginals(score[ids], first, last, theta[trans].reshape(2, 2), theta[start])
+        probs, steps = marginals(score[ids], first, last, theta[trans].reshape(2, 2), theta[start], expect=True)
         residual = probs - gold
         per_word = np.bincount(ids, residual, len(number))
         grad = np.append(np.bincount(feature_of, per_word[word_of], len(names)), np.zeros(6))
         grad[bias] = residual.sum()
         grad[start] = residual[first].sum()
-        grad[trans] = (steps[inner].sum(axis=0) - target).ravel()
+        grad[trans] = steps - target.ravel()
         grad = grad / len(split) + DECAY * theta
         moment = 0.9 * moment + 0.1 * grad
         square = 0.99 * square + 0.01 * grad**2
