@@ -27,20 +27,16 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     """The document with the smallest doc_id of each group of near duplicates.
 
     Of rows that share that doc_id one stays, the one with the first text in
-    order. Rows without a doc_id stay if their group has none with one.
+    order. A row without a doc_id can't be named and stays.
     """
-    absent = F.lit(-(2**63))
-    found = simhash.near_duplicates(docs)
-    named = (
-        found.select(F.coalesce("doc_id", absent).alias("key"), F.coalesce("component_id", absent).alias("root"))
-        .filter("key = root").groupBy("key").agg(F.count("*").alias("rows"))
-    )
-    kept = stored(named, "pipeline-kept")
-    keyed = docs.select(*COLUMNS).withColumn("key", F.coalesce(F.col("doc_id").cast("long"), absent))
-    staying = join_measured(keyed, kept, "key", row_bytes=16)
+    found = simhash.near_duplicates(docs.filter("doc_id IS NOT NULL"))
+    named = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    kept = stored(named.withColumnRenamed("doc_id", "key"), "pipeline-kept")
+    keyed = docs.select(*COLUMNS).withColumn("key", F.col("doc_id").cast("long"))
+    staying = join_measured(keyed, kept, "key", "left", row_bytes=16)
     first = F.row_number().over(Window.partitionBy("key").orderBy("text", "lang", "source", "n_chars"))
     # Only rows that repeat a doc_id need an order, so only those are brought together.
-    single = staying.filter("rows = 1").select(*COLUMNS)
+    single = staying.filter("doc_id IS NULL OR rows = 1").select(*COLUMNS)
     repeated = staying.filter("rows > 1").withColumn("first", first).filter("first = 1").select(*COLUMNS)
     return single.unionByName(repeated)
 
