@@ -1,26 +1,36 @@
 """Star schemas loaded from the given tables, for the registered queries."""
 
-import tempfile
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.mart import Mart
-from eventmart.plans.load import load_batch
+from eventmart.plans.load import LoadOptions, load_batch
 from eventmart.session import configure
 from eventmart.sources import line_items
 from eventmart.sources.envelope import parse_events, to_messages
 from eventmart.streaming import ingest
 
+# Pieces in which the stream's input is written, by time of arrival.
+STREAM_SLICES = 4
+
 _loaded: dict[tuple, Mart] = {}
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name below the one the cluster shares, or a temporary one where it names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return f"{shared or tempfile.mkdtemp(prefix='eventmart-')}/{name}-{uuid.uuid4().hex}"
+    """A new folder name below the one the cluster shares, as spark.checkpoint.dir names it.
+
+    Only a local session may do without: all its tasks see the machine's own
+    temporary folder.
+    """
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not shared and not context.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return f"{shared or context._jvm.System.getProperty('java.io.tmpdir')}/{name}-{uuid.uuid4().hex}"
 
 
 def _once(kind: str, spark: SparkSession, folder: str, load: Callable[[Mart], None]) -> Mart:
@@ -50,7 +60,7 @@ def first_half(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def second_half(spark: SparkSession, folder: str) -> DataFrame:
-    """The other half, and a tenth of the first half again; some customers and brands have changed."""
+    """The other half, and a tenth of the first half again; some customers, brands and stores have changed."""
     raw = line_items.raw_events(configure(spark), folder).filter("h % 2 = 1 OR h % 20 = 0")
     renamed = F.when(F.col("customer_id").endswith("7"), F.concat("customer_name", F.lit(" II")))
     raw = raw.withColumns(
@@ -58,6 +68,9 @@ def second_half(spark: SparkSession, folder: str) -> DataFrame:
             "customer_name": F.coalesce(renamed, "customer_name"),
             "customer_gender": F.when(~F.col("customer_id").endswith("3"), F.col("customer_gender")),
             "brand": F.when(F.col("product_id").endswith("5"), "Rebranded").otherwise(F.col("brand")),
+            "store_name": F.when(F.col("store_id").endswith("2"), F.concat("store_name", F.lit(" Annex"))).otherwise(
+                F.col("store_name")
+            ),
         }
     )
     return parse_events(to_messages(raw, timestamp="arrival"))
@@ -73,17 +86,46 @@ def halves(spark: SparkSession, folder: str) -> Mart:
     return _once("halves", spark, folder, load)
 
 
+def halves_always(spark: SparkSession, folder: str) -> Mart:
+    """The same two batches, every match counting as a change."""
+
+    def load(mart: Mart) -> None:
+        options = LoadOptions(always_update=True)
+        load_batch(mart, first_half(spark, folder), 0, options=options)
+        load_batch(mart, second_half(spark, folder), 1, options=options)
+
+    return _once("halves_always", spark, folder, load)
+
+
+def two_sources(spark: SparkSession, folder: str) -> Mart:
+    """Two sources that load at the same time, one of them twice."""
+
+    def load(mart: Mart) -> None:
+        jobs = (("a", first_half, 0), ("b", second_half, 0), ("a", first_half, 0))
+        with ThreadPoolExecutor(len(jobs)) as pool:
+            for done in [pool.submit(load_batch, mart, half(spark, folder), n, name) for name, half, n in jobs]:
+                done.result()
+
+    return _once("two_sources", spark, folder, load)
+
+
 def streamed(spark: SparkSession, folder: str) -> Mart:
-    """Everything, as a stream of files."""
+    """Everything, as a stream of files.
+
+    Files are written in the order messages arrive, and the stream takes them in
+    the order they were written; so an original is loaded before its copies.
+    """
 
     def load(mart: Mart) -> None:
-        inbox = scratch(spark, "inbox")
-        raw = line_items.raw_events(spark, folder, copies=True)
-        # A changed copy may overtake its original here, so only equal ones are sent.
-        sent = to_messages(raw.filter("copy = 0 OR h % 50 = 0"), timestamp="arrival")
-        sent.repartition(4).write.parquet(inbox)
-        schema = spark.read.parquet(inbox).schema
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(inbox)
+        sent, inbox = scratch(spark, "sent"), scratch(spark, "inbox")
+        line_items.messages(spark, folder, copies=True).write.parquet(sent)
+        messages = spark.read.parquet(sent)
+        second = F.unix_seconds("timestamp") - line_items.FIRST_ARRIVAL
+        step = line_items.ARRIVAL_SECONDS // STREAM_SLICES
+        part = F.least(F.floor(second / step), F.lit(STREAM_SLICES - 1))
+        for number in range(STREAM_SLICES):
+            messages.filter(part == number).hint("rebalance").write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
         ingest.run(stream, mart, scratch(spark, "checkpoint"), trigger=None)
 
     return _once("streamed", spark, folder, load)

@@ -1,5 +1,7 @@
 """Declared schemas and fixed values of the shop-event domain."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import types as T
 
 # --- fixed values: must equal what event producers and readers agree on ------
@@ -26,14 +28,27 @@ TEXT_DEFAULTS = {
     "payment_method": "not_applicable",
 }
 
-# --- money -------------------------------------------------------------------
-# Money is exact inside. Price and discount keep six decimals, so a price or a
-# discount is never rounded before it is used; results are rounded to cents.
+@dataclass(frozen=True)
+class Domain:
+    """Values an event may have; rules and table constraints follow from it."""
+
+    years: tuple[int, ...] = VALID_YEARS
+    event_types: tuple[str, ...] = EVENT_TYPES
+    categories: tuple[str, ...] = CATEGORIES
+    channels: tuple[str, ...] = CHANNELS
 
-PRICE = T.DecimalType(16, 6)
-DISCOUNT = T.DecimalType(18, 6)
-FINAL_PRICE = T.DecimalType(14, 2)
-AMOUNT = T.DecimalType(18, 2)
+
+DOMAIN = Domain()
+
+# --- money -------------------------------------------------------------------
+# Money is exact inside. A price keeps eight decimals and has twenty digits before
+# them, a discount keeps six decimals; neither is rounded before it is used, and
+# their product still fits 38 digits. Results are rounded to cents.
+
+PRICE = T.DecimalType(28, 8)
+DISCOUNT = T.DecimalType(8, 6)
+FINAL_PRICE = T.DecimalType(22, 2)
+AMOUNT = T.DecimalType(33, 2)
 
 # --- schemas -----------------------------------------------------------------
 

@@ -44,7 +44,7 @@ def normalize(events: DataFrame) -> DataFrame:
     """Repair what is safe to repair.
 
     Price and discount become exact decimals. A price that is NaN, infinite or
-    too large for its type becomes null, and validation rejects it. The discount
+    of more digits than any money becomes null, and validation rejects it. The discount
     default is filled in first, so a discount that is NaN is rejected as well
     and not mistaken for a missing one.
     """

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.domain import CATEGORIES, CHANNELS, EVENT_TYPES, VALID_YEARS
+from eventmart.domain import DOMAIN, Domain
 
 Rule = tuple[str, Column]
 
@@ -24,22 +24,18 @@ def outside(column: str, allowed: Sequence) -> Column:
     return missing(column) | ~F.col(column).isin(*allowed)
 
 
-def event_rules(
-    years: Sequence[int] = VALID_YEARS,
-    event_types: Sequence[str] = EVENT_TYPES,
-    categories: Sequence[str] = CATEGORIES,
-) -> list[Rule]:
+def event_rules(domain: Domain = DOMAIN) -> list[Rule]:
     """The rules every event must pass, in the order their texts are joined."""
     age, rating = F.col("customer_age"), F.col("rating")
     return [
         ("missing event_id", missing("event_id")),
         ("bad timestamp", missing("event_timestamp_ts")),
-        ("event year outside supported range", ~F.year("event_timestamp_ts").isin(*years)),
+        ("event year outside supported range", ~F.year("event_timestamp_ts").isin(*domain.years)),
         ("missing customer_id", missing("customer_id")),
         ("missing product_id", missing("product_id")),
         ("missing store_id", missing("store_id")),
-        ("invalid event_type", outside("event_type", event_types)),
-        ("invalid product_category", outside("product_category", categories)),
+        ("invalid event_type", outside("event_type", domain.event_types)),
+        ("invalid product_category", outside("product_category", domain.categories)),
         ("invalid customer_age", missing("customer_age") | ~age.between(13, 100)),
         ("invalid price", missing("price") | (F.col("price") <= 0)),
         ("invalid quantity", missing("quantity") | (F.col("quantity") <= 0)),
@@ -48,29 +44,20 @@ def event_rules(
     ]
 
 
-def warehouse_rules(channels: Sequence[str] = CHANNELS) -> list[Rule]:
-    """What the stored tables demand of an event beyond :func:`event_rules`."""
-    return [
-        ("missing store_name", missing("store_name")),
-        ("missing store_country", missing("store_country")),
-        ("missing store_city", missing("store_city")),
-        ("invalid marketing_channel", outside("marketing_channel", channels)),
-        ("invalid rating", ~F.col("rating").between(1, 5)),
-        (
-            "revenue too large",
-            F.try_multiply(F.col("price"), F.col("quantity").cast("decimal(10,0)")) >= F.lit("1e15").cast("decimal(16,0)"),
-        ),
-    ]
-
-
 def reject_reason(rules: Sequence[Rule]) -> Column:
     """Texts of the rules that fire, joined; empty where none does."""
     return F.concat_ws("; ", *[F.when(bad, F.lit(text)) for text, bad in rules])
 
 
-def validate(events: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
-    """Add ``reject_reason`` and ``is_valid`` to normalised events."""
+def validate(events: DataFrame, rules: Sequence[Rule] | None = None, stored: Sequence[Rule] = ()) -> DataFrame:
+    """Add ``reject_reason`` and ``is_valid`` to normalised events.
+
+    ``stored`` are constraints of the stored tables; they give the reason where
+    no other rule fires.
+    """
     reason = reject_reason(event_rules() if rules is None else rules)
+    if stored:
+        reason = F.coalesce(F.nullif(reason, F.lit("")), reject_reason(stored))
     return events.withColumn("reject_reason", reason).withColumn("is_valid", F.col("reject_reason") == "")
 
 

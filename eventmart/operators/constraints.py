@@ -11,24 +11,26 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.domain import CATEGORIES, CHANNELS, EVENT_TYPES
+from eventmart.domain import DOMAIN, Domain
 from eventmart.functions.rules import Rule
 
 # --- fixed values ------------------------------------------------------------
 
 NOT_NULL = {
-    "dim_customer": "customer_key customer_id customer_name customer_age created_at updated_at",
-    "dim_product": "product_key product_id product_name product_category created_at updated_at",
-    "dim_store": "store_key store_id store_name store_country store_city created_at updated_at",
+    "dim_customer": ("customer_key", "customer_id", "customer_name", "customer_age", "created_at", "updated_at"),
+    "dim_product": ("product_key", "product_id", "product_name", "product_category", "created_at", "updated_at"),
+    "dim_store": ("store_key", "store_id", "store_name", "store_country", "store_city", "created_at", "updated_at"),
     "dim_date": (
-        "date_key full_date year quarter month month_name week_number day_of_month day_name is_weekend"
+        "date_key", "full_date", "year", "quarter", "month", "month_name", "week_number", "day_of_month", "day_name",
+        "is_weekend",
     ),
-    "dim_channel": "channel_key marketing_channel",
+    "dim_channel": ("channel_key", "marketing_channel"),
     "fact_sales": (
-        "sales_key event_id customer_key product_key store_key date_key channel_key event_type quantity"
-        " price discount final_price revenue profit_estimate event_timestamp event_hour loaded_at"
+        "sales_key", "event_id", "customer_key", "product_key", "store_key", "date_key", "channel_key", "event_type",
+        "quantity", "price", "discount", "final_price", "revenue", "profit_estimate", "event_timestamp", "event_hour",
+        "loaded_at",
     ),
-    "dead_letter_events": "dead_letter_key reject_reason batch_id created_at",
+    "dead_letter_events": ("dead_letter_key", "reject_reason", "batch_id", "created_at"),
 }
 
 UNIQUE = {
@@ -49,22 +51,9 @@ FOREIGN_KEYS = (
     ("channel_key", "dim_channel"),
 )
 
-ALLOWED = {
-    "dim_product": {"product_category": CATEGORIES},
-    "dim_channel": {"marketing_channel": CHANNELS},
-    "fact_sales": {"event_type": EVENT_TYPES},
-}
-
 BETWEEN = {
     "dim_customer": {"customer_age": (13, 100)},
-    "dim_date": {
-        "date_key": (20230101, 20261231),
-        "year": (2023, 2026),
-        "quarter": (1, 4),
-        "month": (1, 12),
-        "week_number": (1, 53),
-        "day_of_month": (1, 31),
-    },
+    "dim_date": {"quarter": (1, 4), "month": (1, 12), "week_number": (1, 53), "day_of_month": (1, 31)},
     "fact_sales": {"event_hour": (0, 23), "rating": (1, 5)},
 }
 
@@ -87,17 +76,35 @@ MAX_LENGTH = {
 # --- row constraints ---------------------------------------------------------
 
 
-def row_rules(table: str, lengths: bool = False, columns: Sequence[str] | None = None) -> list[Rule]:
+def allowed_values(domain: Domain) -> dict[str, dict[str, tuple[str, ...]]]:
+    """Columns that hold one of a list of texts."""
+    return {
+        "dim_product": {"product_category": domain.categories},
+        "dim_channel": {"marketing_channel": domain.channels},
+        "fact_sales": {"event_type": domain.event_types},
+    }
+
+
+def ranges(domain: Domain) -> dict[str, dict[str, tuple[int, int]]]:
+    """Columns between two values; those of dates follow from the years."""
+    first, last = min(domain.years), max(domain.years)
+    dates = {"date_key": (first * 10_000 + 101, last * 10_000 + 1231), "year": (first, last)}
+    return {**BETWEEN, "dim_date": {**dates, **BETWEEN["dim_date"]}}
+
+
+def row_rules(
+    table: str, lengths: bool = False, columns: Sequence[str] | None = None, domain: Domain = DOMAIN
+) -> list[Rule]:
     """Row constraints of a table; a null only breaks the not-null ones.
 
     Text lengths are checked on request. With ``columns``, only the constraints
     of these columns are returned.
     """
-    rules = [(c, f"{c} not null", F.col(c).isNull()) for c in NOT_NULL[table].split()]
-    rules += [(c, f"{c} allowed", ~F.col(c).isin(*values)) for c, values in ALLOWED.get(table, {}).items()]
+    rules = [(c, f"{c} not null", F.col(c).isNull()) for c in NOT_NULL[table]]
+    rules += [(c, f"{c} allowed", ~F.col(c).isin(*values)) for c, values in allowed_values(domain).get(table, {}).items()]
     rules += [
         (c, f"{c} between {low} and {high}", ~F.col(c).between(low, high))
-        for c, (low, high) in BETWEEN.get(table, {}).items()
+        for c, (low, high) in ranges(domain).get(table, {}).items()
     ]
     rules += [(sql.split()[0], sql, ~F.expr(sql)) for sql in BOUNDS.get(table, ())]
     if lengths:
@@ -138,11 +145,11 @@ def orphans(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return per_key.join(dimension.select(key), key, "left_anti")
 
 
-def check_tables(tables: dict[str, DataFrame], lengths: bool = False) -> DataFrame:
+def check_tables(tables: dict[str, DataFrame], lengths: bool = False, domain: Domain = DOMAIN) -> DataFrame:
     """``table_name, rule, violations`` for every constraint of every table given."""
     parts = []
     for name, frame in tables.items():
-        parts.append((name, check_constraints(frame, row_rules(name, lengths))))
+        parts.append((name, check_constraints(frame, row_rules(name, lengths, domain=domain))))
         for key in UNIQUE[name]:
             copies = duplicate_keys(frame, key).agg(F.count("*").alias("violations"))
             parts.append((name, copies.select(F.lit(f"{key} unique").alias("rule"), "violations")))

@@ -87,8 +87,8 @@ def order_for_keys(frame: DataFrame, key: str, first: str | None = None, small:
     """Range-partition and sort by a unique key, so slots follow its order.
 
     Range partitioning samples its input first; rows the caller has found to be
-    few are sorted in one task instead.
+    few go through one exchange instead, which leaves what is below it parallel.
     """
-    parts = frame.coalesce(1) if small else frame.repartitionByRange(F.col(key))
+    parts = frame.repartition(1) if small else frame.repartitionByRange(F.col(key))
     sort = [F.desc(first), F.asc(key)] if first else [F.asc(key)]
     return parts.sortWithinPartitions(*sort)

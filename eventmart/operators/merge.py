@@ -91,7 +91,8 @@ def classify(
 
 
 def resolved_rows(classified: DataFrame, dim: Dimension, now: datetime, keep_known: bool = False) -> DataFrame:
-    """Rows to write for new and changed members, with ``is_new``; new ones have no key yet."""
+    """The incoming members as they will be stored, with ``is_new`` and ``is_changed``; new ones have no key yet."""
+    touched = F.col("is_new") | F.col("is_changed")
     values = {}
     for a in dim.attributes:
         value = F.col(f"new_{a}")
@@ -100,9 +101,8 @@ def resolved_rows(classified: DataFrame, dim: Dimension, now: datetime, keep_kno
         values[a] = value
     if dim.tracked:
         values["created_at"] = F.coalesce("created_at", F.lit(now))
-        values["updated_at"] = F.lit(now)
-    touched = classified.filter(F.col("is_new") | F.col("is_changed"))
-    return touched.withColumns(values).select(*dim.columns, "is_new")
+        values["updated_at"] = F.when(touched, F.lit(now)).otherwise(F.col("updated_at"))
+    return classified.withColumns(values).select(*dim.columns, "is_new", "is_changed")
 
 
 def apply_changes(current: DataFrame, changes: DataFrame, dim: Dimension) -> DataFrame:

@@ -16,6 +16,9 @@ def key_lookup(dimension: DataFrame, id: str, key: str) -> DataFrame:
 def resolve_keys(events: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """Add the surrogate key of every dimension; null where a member is missing.
 
+    ``dimensions`` may hold whole dimensions or, as in a load, the batch's own
+    members with their keys, which are no more than the batch.
+
     No side is hinted: Spark broadcasts a lookup whose files, or whose size at
     run time, are below its limit, and shuffles the others. Adaptive execution
     splits the partition of a member that many events refer to.

@@ -8,13 +8,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from eventmart.domain import DISCOUNT, PRICE, TABLE_DDL
+from eventmart.domain import DISCOUNT, DOMAIN, PRICE, TABLE_DDL, Domain
 from eventmart.functions.cleaning import normalize
 from eventmart.functions.enrichment import enrich
-from eventmart.functions.rules import Rule, event_rules, validate, warehouse_rules
+from eventmart.functions.rules import Rule, event_rules, validate
 from eventmart.mart import Commit, Mart
 from eventmart.operators import keys, merge
 from eventmart.operators.constraints import duplicate_keys, row_rules
@@ -28,10 +29,6 @@ log = logging.getLogger(__name__)
 SMALL_ROWS = 1_000_000
 SMALL_BYTES = 64 * 1024 * 1024
 
-# Facts of a batch up to this size are written by one task, so that a stream of
-# short batches does not leave a file per task and event type every time.
-ONE_TASK_ROWS = 50_000
-
 # Columns no stored table takes anything from.
 UNUSED = ("kafka_key", "ingestion_timestamp", "event_timestamp", "device_type", "browser")
 DERIVED_ONLY = ("event_timestamp_ts", "event_date", "kafka_timestamp")
@@ -49,6 +46,7 @@ class LoadOptions:
     always_update: bool = False  # rewrite every matched dimension row
     keep_known: bool = False  # a default text never replaces a known one
     check_lengths: bool = False
+    domain: Domain = DOMAIN  # values that rules and constraints allow
     rules: tuple[Rule, ...] | None = None  # instead of the standard ones
     attempts: int = 3
     wait_seconds: float = 5.0
@@ -105,13 +103,19 @@ class _Load:
     def __init__(self, mart: Mart, previous: Commit, batch_id: int, source: str, options: LoadOptions, now: datetime):
         self.mart, self.previous, self.options, self.now = mart, previous, options, now
         self.batch_id, self.source = batch_id, source
-        self.load = previous.load + 1
+        self.load = mart.claim(previous)
         self.snapshots = dict(previous.snapshots)
         self.max_keys = dict(previous.max_keys)
 
     def run(self, events: DataFrame) -> LoadResult:
+        try:
+            return self._run(events)
+        except BaseException:
+            self.mart.clear_load(self.load)
+            raise
+
+    def _run(self, events: DataFrame) -> LoadResult:
         mart = self.mart
-        mart.clear_load(self.load)
         staged = self._stage(events)
         sizes = staged.groupBy("is_valid").agg(F.count("*").alias("n")).collect()
         counts = {row["is_valid"]: row["n"] for row in sizes}
@@ -126,27 +130,30 @@ class _Load:
                 result = self._load_valid(staged.filter("is_valid"), result)
             if quarantined:
                 quarantined.result()
+        previous = self.previous
+        brought = {"fact_sales": result.inserted, "dead_letter_events": rejected}
+        recent = {table: previous.with_recent(table, self.load, rows) for table, rows in brought.items()}
         mart.publish(
             Commit(
-                self.load, self.snapshots, self.previous.merged, self.max_keys,
-                {**self.previous.applied, self.source: self.batch_id},
+                previous.number + 1, self.load, self.snapshots, self.max_keys,
+                {**previous.applied, self.source: self.batch_id},
                 {k: v for k, v in vars(result).items() if k not in ("load", "replayed")},
+                [*previous.dead, *range(previous.load + 1, self.load)],
+                recent,
             )
         )
         mart.clear_staging(self.load)
         return result
 
-    def _rules(self) -> list[Rule]:
-        rules = list(self.options.rules or event_rules())
-        return rules + warehouse_rules() if self.options.on_violation == "quarantine" else rules
-
     def _stage(self, events: DataFrame) -> DataFrame:
         """Normalise and validate, once, into a table split by validity.
 
         Everything after reads this table, each step only its columns. It also
         leaves the stream's own session, where adaptive execution is off.
         """
-        checked = validate(normalize(events), self._rules())
+        normal, options = normalize(events), self.options
+        stored = self._row_rules(normal) if options.on_violation == "quarantine" else ()
+        checked = validate(normal, options.rules or event_rules(options.domain), stored)
         checked = checked.withColumn("raw_json", F.when(~F.col("is_valid"), F.col("raw_json"))).drop(*UNUSED)
         path = self.mart.staging(self.load, "events")
         checked.write.mode("overwrite").partitionBy("is_valid").parquet(path)
@@ -195,11 +202,11 @@ class _Load:
     def _row_rules(self, events: DataFrame) -> list[Rule]:
         """Constraints the stored tables put on the events of a batch."""
         tables = ("fact_sales", "dim_customer", "dim_product", "dim_store", "dim_channel")
-        rules = [r for table in tables for r in row_rules(table, self.options.check_lengths, events.columns)]
+        rules = [r for table in tables for r in row_rules(table, self.options.check_lengths, events.columns, self.options.domain)]
         return list(dict(rules).items())
 
     def _merge_dimensions(self, rows: DataFrame, small: bool) -> dict[str, DataFrame]:
-        """Merge the dimensions side by side; each is a few small jobs."""
+        """Merge the dimensions side by side, each a few small jobs; returns the batch's own members with their keys."""
         with ThreadPoolExecutor(len(merge.DIMENSIONS)) as pool:
             merged = list(pool.map(lambda dim: self._merge(rows, dim, small), merge.DIMENSIONS))
         return {dim.table: table for dim, table in zip(merge.DIMENSIONS, merged)}
@@ -211,19 +218,21 @@ class _Load:
         # Reading the batch once more to filter a snapshot only pays where the snapshot is large.
         restrict = small and self.max_keys[dim.table] > SMALL_ROWS
         classified = merge.classify(incoming, current, dim, options.always_update, options.keep_known, restrict)
-        touched = merge.resolved_rows(classified, dim, self.now, options.keep_known)
-        ordered = keys.order_for_keys(touched, dim.id, first="is_new", small=small)
-        slotted = keys.write_slotted(ordered, mart.staging(self.load, dim.table), only="is_new")
-        if not slotted.count:
-            return current
+        members = merge.resolved_rows(classified, dim, self.now, options.keep_known)
+        ordered = keys.order_for_keys(members, dim.id, first="is_new", small=small)
+        touched = F.col("is_new") | F.col("is_changed")
+        slotted = keys.write_slotted(
+            ordered, mart.staging(self.load, dim.table), only="is_new", totals={"touched": F.when(touched, 1)}
+        )
         base = self.max_keys[dim.table]
-        changes = slotted.numbered(dim.key, base, dim.key_type) if dim.key else slotted.rows.drop(keys.SLOT)
-        path = mart.path(dim.table, self.load)
-        merge.apply_changes(current, changes, dim).write.mode("overwrite").parquet(path)
-        if dim.key:
-            self.max_keys[dim.table] = base + slotted.to_number
-        self.snapshots[dim.table] = self.load
-        return mart.spark.read.schema(TABLE_DDL[dim.table]).parquet(path)
+        numbered = slotted.numbered(dim.key, base, dim.key_type) if dim.key else slotted.rows.drop(keys.SLOT)
+        if slotted.totals["touched"]:
+            changes = merge.apply_changes(current, numbered.filter(touched), dim)
+            changes.write.mode("overwrite").parquet(mart.path(dim.table, self.load))
+            self.snapshots[dim.table] = self.load
+            if dim.key:
+                self.max_keys[dim.table] = base + slotted.to_number
+        return numbered
 
     def _append_facts(self, slotted: keys.Slotted, dimensions: dict[str, DataFrame], small: bool) -> tuple[int, int]:
         """Append events the fact does not hold yet; returns rows inserted and rows without a key.
@@ -238,20 +247,22 @@ class _Load:
         resolved = resolve_keys(events, dimensions)
         no_key = F.greatest(*[F.col(d.key or d.id).isNull() for d in merge.DIMENSIONS])
         seen = Observation()
-        watched = resolved.withColumn("_no_key", no_key).observe(
-            seen, F.count_if(~F.col("_no_key")).alias("inserted"), F.count_if("_no_key").alias("missing")
-        )
-        rows = fact_rows(watched.filter(~F.col("_no_key")), self.now)
-        if slotted.count <= ONE_TASK_ROWS:
-            rows = rows.coalesce(1)
+        watched = resolved.withColumn("_no_key", no_key).observe(seen, F.count_if("_no_key").alias("missing"))
+        # Files of even size, and few of them where a batch is short.
+        rows = fact_rows(watched.filter(~F.col("_no_key")), self.now).hint("rebalance", "event_type")
         rows.write.mode("overwrite").partitionBy("event_type").parquet(mart.path(table, self.load))
-        counts = seen.get
-        if counts["missing"]:
-            log.warning("load %s: %s events without a dimension member", self.load, counts["missing"])
-        if counts["inserted"]:
+        # Counted from the files' footers.
+        inserted = mart.spark.read.schema(TABLE_DDL[table]).parquet(mart.path(table, self.load)).count()
+        try:
+            missing = seen.get["missing"]
+        except Py4JJavaError:  # no event was left to look up, and Spark dropped the step that counts
+            missing = 0
+        if missing:
+            log.warning("load %s: %s events without a dimension member", self.load, missing)
+        if inserted:
             self.max_keys[table] = base + slotted.count
             self.snapshots[table] = self.load
-        return counts["inserted"], counts["missing"]
+        return inserted, missing
 
 
 def with_retries(action: Callable[[], LoadResult], attempts: int = 3, wait_seconds: float = 5.0) -> LoadResult:
@@ -276,10 +287,11 @@ def load_batch(
     """
 
     def attempt() -> LoadResult:
-        previous = mart.bootstrap()
-        if previous.applied.get(source, -1) >= batch_id:
-            return LoadResult(None, replayed=True)
-        now = datetime.now(timezone.utc)
-        return _Load(mart, previous, batch_id, source, options, now).run(events)
+        with mart.lock():
+            previous = mart.bootstrap()
+            if previous.applied.get(source, -1) >= batch_id:
+                return LoadResult(None, replayed=True)
+            now = datetime.now(timezone.utc)
+            return _Load(mart, previous, batch_id, source, options, now).run(events)
 
     return with_retries(attempt, options.attempts, options.wait_seconds)

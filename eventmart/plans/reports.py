@@ -197,16 +197,17 @@ def revenue_by_store(mart: Mart) -> DataFrame:
 
 def total_revenue_exact(mart: Mart) -> DataFrame:
     """Net revenue as a decimal."""
-    return _net(mart).agg(F.sum("revenue").cast("decimal(14,2)").alias("total_revenue"))
+    return _net(mart).agg(F.sum("revenue").alias("total_revenue"))
 
 
 def newest_facts(mart: Mart, limit: int = 10) -> DataFrame:
-    return mart.table("fact_sales").orderBy(F.desc("loaded_at"), "event_id").limit(limit)
+    """The last facts loaded; only the loads that brought them are read."""
+    return mart.newest_rows("fact_sales", limit).orderBy(F.desc("loaded_at"), "event_id").limit(limit)
 
 
 def newest_dead_letters(mart: Mart, limit: int = 10) -> DataFrame:
     order = (F.desc("created_at"), F.asc_nulls_last("event_id"), F.asc("dead_letter_key"))
-    return mart.table("dead_letter_events").orderBy(*order).limit(limit)
+    return mart.newest_rows("dead_letter_events", limit).orderBy(*order).limit(limit)
 
 
 # Names the single counts go by.

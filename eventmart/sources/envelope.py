@@ -36,11 +36,13 @@ def message_key() -> Column:
 
 
 def to_messages(events: DataFrame, fields: Sequence[str] = RAW_EVENT_FIELDS, timestamp: str | None = None) -> DataFrame:
-    """Serialise raw events to ``key, value[, timestamp]``; nulls are written out."""
-    columns = [
-        message_key().alias("key"),
-        F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"),
-    ]
+    """Serialise raw events to ``key, value[, timestamp]``.
+
+    Nulls are written out; an event without any value is an empty message.
+    """
+    text = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    some = F.coalesce(*[F.col(c).cast("string") for c in fields]).isNotNull()
+    columns = [message_key().alias("key"), F.when(some, text).otherwise("").alias("value")]
     if timestamp:
         columns.append(F.col(timestamp).alias("timestamp"))
     return events.select(*columns)

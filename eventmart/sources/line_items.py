@@ -2,8 +2,10 @@
 
 Every line item becomes one event; customer, product and store come from the
 tables it refers to. All picks are integer arithmetic on the line item's keys,
-so the events are the same on every run and in every engine. Some rows are
-damaged on purpose, and some are sent twice.
+so the events are the same on every run and in every engine. Columns are damaged
+on purpose, each by a condition of its own on those keys, so that every rule and
+every repair has something to do; conditions overlap, so rows with several
+faults occur. Some rows are sent twice, and some messages are empty.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,16 +17,13 @@ from eventmart.sources.envelope import to_messages
 FIRST_SECOND = 1_672_531_200  # 2023-01-01
 SECONDS = 126_230_400  # four years
 FIRST_ARRIVAL = 1_790_000_000
+ARRIVAL_SECONDS = 1_000_000
 
 # --- fixed values ------------------------------------------------------------
 PAYMENT_METHODS = ("credit_card", "debit_card", "paypal", "cash", "wallet")
 DEVICES = ("desktop", "mobile", "tablet")
 BROWSERS = ("Chrome", "Edge", "Firefox", "Safari", "Opera")
 GENDERS = ("Female", "Male", "Non-binary")
-FAULTS = (
-    "no customer name", "no product name", "no category", "unknown category", "negative price",
-    "no event type", "no customer id", "no product id", "broken timestamp", "impossible age", "bad quantity",
-)
 
 
 def pick(values: tuple[str, ...], number: Column) -> Column:
@@ -32,9 +31,9 @@ def pick(values: tuple[str, ...], number: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (number % len(values) + 1).cast("int"))
 
 
-def unless(fault: str, value: Column, damaged: Column | None = None) -> Column:
-    hit = F.col("fault") == FAULTS.index(fault)
-    return F.when(hit, F.lit(None) if damaged is None else damaged).otherwise(value)
+def every(step: int, rest: int) -> Column:
+    """One row in ``step``, by the number all picks derive from."""
+    return F.col("h") % step == rest
 
 
 def event_type_of(share: Column) -> Column:
@@ -87,53 +86,53 @@ def raw_events(spark: SparkSession, folder: str, copies: bool = False) -> DataFr
     rows = rows.withColumn("copy", F.explode(twice) if copies else F.lit(0))
     changed = (F.col("copy") == 1) & (h % 50 == 25)
 
-    typed = rows.withColumns(
-        {"fault": F.when((h * 13) % 1009 < 80, h % 11).otherwise(-1), "kind": event_type_of(h % 100)}
-    )
+    typed = rows.withColumn("kind", event_type_of(h % 100))
     kind = F.col("kind")
     moment = F.timestamp_seconds(F.lit(FIRST_SECOND) + (h * 7919) % SECONDS)
     iso = F.concat(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
     quantity = F.when(kind.isin("product_view", "review"), 1).otherwise(F.col("l_quantity").cast("int"))
     price = F.col("p_retailprice").cast("decimal(12,2)")
     discount = F.when(kind.isin("purchase", "checkout"), F.col("l_discount").cast("decimal(5,2)")).otherwise(0)
+    category, name = pick(CATEGORIES, F.col("l_partkey")), F.col("p_name")
     columns = {
-        "event_id": F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
-        "event_timestamp": unless("broken timestamp", iso, F.lit("2026-99-99T99:99:99")),
-        "customer_id": unless("no customer id", F.concat(F.lit("CUST-"), "c_custkey")),
-        "customer_name": unless("no customer name", F.col("c_name")),
-        "customer_age": unless("impossible age", F.lit(16) + F.col("c_custkey") % 65, F.lit(130)).cast("int"),
+        "event_id": F.when(~every(211, 14), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")),
+        "event_timestamp": F.when(every(223, 15), "2026-99-99T99:99:99")
+        .when(every(227, 16), F.concat(F.lit("2031"), F.substring(iso, 5, 30))).otherwise(iso),
+        "customer_id": F.when(~every(193, 11), F.concat(F.lit("CUST-"), "c_custkey")),
+        "customer_name": F.when(~every(53, 2), F.col("c_name")),
+        "customer_age": F.when(every(229, 17), 130).otherwise(16 + F.col("c_custkey") % 65).cast("int"),
         "customer_gender": pick(GENDERS, F.col("c_custkey")),
         "customer_country": F.col("customer_country"),
         "customer_city": F.col("customer_city"),
-        "product_id": unless("no product id", F.concat(F.lit("PROD-"), "l_partkey")),
-        "product_name": unless(
-            "no product name", F.when(changed, F.concat("p_name", F.lit(" (resent)"))).otherwise(F.col("p_name"))
-        ),
-        "product_category": unless(
-            "no category", unless("unknown category", pick(CATEGORIES, F.col("l_partkey")), F.lit("INVALID_CATEGORY"))
-        ),
-        "brand": F.col("p_brand"),
-        "supplier": F.col("s_name"),
-        "store_id": F.concat(F.lit("STORE-"), "l_suppkey"),
+        "product_id": F.when(~every(197, 12), F.concat(F.lit("PROD-"), "l_partkey")),
+        "product_name": F.when(~every(59, 3), F.when(changed, F.concat(name, F.lit(" (resent)"))).otherwise(name)),
+        "product_category": F.when(every(179, 5), "Furniture").when(every(61, 6), F.concat(F.lit("  "), category, F.lit(" ")))
+        .when(~every(173, 4), category),
+        "brand": F.when(~every(79, 22), F.col("p_brand")),
+        "supplier": F.when(~every(83, 23), F.col("s_name")),
+        "store_id": F.when(~every(199, 13), F.concat(F.lit("STORE-"), "l_suppkey")),
         "store_name": F.col("s_name"),
         "store_country": F.col("store_country"),
         "store_city": F.col("store_city"),
-        "price": unless("negative price", price, -price).cast("double"),
-        "discount": discount.cast("double"),
-        "quantity": unless("bad quantity", F.when(changed, quantity + 1).otherwise(quantity), F.lit(-3)),
+        "price": F.when(every(67, 7), -price).when(~every(181, 8), price).cast("double"),
+        "discount": F.when(every(239, 20), 1.5).when(~every(73, 19), discount.cast("double")),
+        "quantity": F.when(every(233, 18), -3).when(changed, quantity + 1).otherwise(quantity),
         "payment_method": F.when(kind.isin("checkout", "purchase", "return"), pick(PAYMENT_METHODS, h)),
-        "event_type": unless("no event type", kind),
-        "rating": F.when(kind == "review", h % 5 + 1).cast("int"),
+        "event_type": F.when(every(71, 10), F.concat(F.lit(" "), F.upper(kind), F.lit("  "))).when(~every(191, 9), kind),
+        "rating": F.when((kind == "review") & every(41, 21), 9).when(kind == "review", h % 5 + 1).cast("int"),
         "review_text": F.when(kind == "review", F.concat(F.lit("Review "), h)),
         "device_type": pick(DEVICES, h),
         "browser": pick(BROWSERS, h),
         "session_id": F.concat(F.lit("SES-"), h % 1_000_003),
         "marketing_channel": pick(CHANNELS, F.col("l_linenumber")),
-        "arrival": F.timestamp_seconds(
-            F.lit(FIRST_ARRIVAL) + (h * 37) % 1_000_000 + F.col("l_quantity").cast("bigint") + F.col("copy") * 3600
-        ),
     }
-    return typed.select("h", "copy", *[value.alias(name) for name, value in columns.items()])
+    arrival = F.timestamp_seconds(
+        F.lit(FIRST_ARRIVAL) + (h * 37) % ARRIVAL_SECONDS + F.col("l_quantity").cast("bigint") + F.col("copy") * 3600
+    )
+    full = {name: F.when(~every(251, 24), value) for name, value in columns.items()}
+    return typed.select(
+        "h", "copy", *[value.alias(name) for name, value in full.items()], arrival.alias("arrival")
+    )
 
 
 def messages(spark: SparkSession, folder: str, copies: bool = False) -> DataFrame:

@@ -1,11 +1,16 @@
 """Load invariants over one or more batches."""
 
+from concurrent.futures import ThreadPoolExecutor
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
-from eventmart.mart import Mart
+from eventmart.domain import Domain
+from eventmart.mart import ConflictError, Mart
 from eventmart.operators.constraints import check_tables
 from eventmart.plans import load as load_module
+from eventmart.plans import reports
 from eventmart.plans.load import ConstraintError, LoadOptions, load_batch, with_retries
 from tests.conftest import payload
 
@@ -100,7 +105,6 @@ def test_rejects_only(events, mart):
 POISON = [
     payload(event_id="P1", marketing_channel=None), payload(event_id="P2", marketing_channel="fax"),
     payload(event_id="P3", store_name=None), payload(event_id="P4", rating=9),
-    payload(event_id="P5", price=9e9, quantity=2_000_000_000),
 ]
 
 
@@ -119,13 +123,47 @@ def test_poison_can_be_quarantined(events, mart):
     result = load_batch(mart, events(payload(), *POISON), 0, options=options)
     assert (result.inserted, result.rejected) == (1, len(POISON))
     assert {r[1] for r in rows(mart, "dead_letter_events", "event_id", "reject_reason")} == {
-        "invalid marketing_channel", "missing store_name", "invalid rating", "revenue too large",
+        "marketing_channel not null", "marketing_channel allowed", "store_name not null", "rating between 1 and 5",
     }
     assert_sound(mart)
 
 
+def test_prices_of_any_size_load(events, mart):
+    prices = {"A": 1e10, "B": 1e12, "C": 1e-7, "D": 9e9, "E": 1.5e15}
+    batch = events(*[payload(event_id=k, price=p, discount=0, quantity=2_000_000_000 if k == "D" else 1) for k, p in prices.items()])
+    assert load_batch(mart, batch, 0, options=ONCE).inserted == 5
+    stored = {r.event_id: r for r in mart.table("fact_sales").collect()}
+    assert {k: float(r.price) for k, r in stored.items()} == prices
+    assert float(stored["D"].revenue) == 1.8e19
+    total = reports.total_revenue_exact(mart).first()[0]
+    assert total == Decimal("10000000000") + Decimal(10**12) + 18 * Decimal(10**18) + 15 * Decimal(10**14)
+    nan = events(payload(event_id="N").replace("19.99", "NaN"))
+    assert load_batch(mart, nan, 1, options=ONCE).rejected == 1
+
+
+def test_a_domain_of_ones_own_holds_for_rules_and_constraints(events, mart):
+    own = Domain(years=(2031,), categories=("Garden",), channels=("fax",))
+    batch = events(
+        payload(product_category="Garden", marketing_channel="fax", event_timestamp="2031-05-01T00:00:00+00:00"),
+        payload(event_id="E2", product_category="Garden", marketing_channel="fax"), payload(event_id="E3"),
+    )
+    result = load_batch(mart, batch, 0, options=LoadOptions(domain=own, attempts=1))
+    assert (result.inserted, result.rejected) == (1, 2)
+    tables = {name: mart.table(name) for name in mart.commit_record().snapshots}
+    assert check_tables(tables, domain=own).filter("violations > 0").count() == 0
+    assert {r.rule for r in check_tables(tables).filter("violations > 0").collect()} == {
+        "product_category allowed", "marketing_channel allowed", "date_key between 20230101 and 20261231",
+        "year between 2023 and 2026",
+    }
+
+
 def test_text_lengths_are_checked_on_request(events, mart):
     long_name = payload(customer_name="x" * 200)
+    careful = LoadOptions(on_violation="quarantine", check_lengths=True, attempts=1)
+    kept = load_batch(mart, events(payload(event_id="OK"), payload(event_id="L", customer_name="x" * 151)), 0, options=careful)
+    assert (kept.inserted, kept.rejected) == (1, 1)
+    assert rows(mart, "dead_letter_events", "reject_reason") == [("customer_name at most 150 long",)]
+    mart = Mart(mart.spark, mart.root + "2")
     with pytest.raises(ConstraintError, match="customer_name at most 150 long"):
         load_batch(mart, events(long_name), 0, options=LoadOptions(check_lengths=True, attempts=1))
     assert load_batch(mart, events(long_name), 0, options=ONCE).inserted == 1
@@ -250,29 +288,99 @@ def test_tables_views_and_listing(events, mart, spark):
     assert (answer[0], float(answer[1])) == ("Books", 50.97)
 
 
-def test_snapshots_of_the_past_and_vacuum(events, mart):
+def test_snapshots_of_the_past(events, mart):
     for i in range(3):
         load_batch(mart, events(payload(event_id=f"E{i}", customer_name=f"N{i}")), i, options=ONCE)
     assert [mart.table("dim_customer", mart.commit_record(n)).first()["customer_name"] for n in (1, 2, 3)] == ["N0", "N1", "N2"]
     assert mart.table("fact_sales", mart.commit_record(2)).count() == 2
-    assert sorted(mart.vacuum(keep=1)) == ["dim_customer/load=1", "dim_customer/load=2"]
-    assert rows(mart, "dim_customer", "customer_name") == [("N2",)]
-    assert rows(mart, "dim_product", "product_key") == [(1,)]
 
 
-def test_merged_loads_hold_the_same_rows(events, mart):
-    for i in range(3):
-        load_batch(mart, events(payload(event_id=f"E{i}"), payload(event_id=f"R{i}", event_type="return"), "x"), i, options=ONCE)
-    before = {t: rows(mart, t, "*") for t in ("fact_sales", "dead_letter_events")}
-    old = mart.commit_record()
-    merged = mart.merge_loads()
-    assert merged.load == old.load + 1 and mart.merge_loads() == merged
-    assert {t: rows(mart, t, "*") for t in before} == before
-    assert mart.table("fact_sales", old).count() == 6
-
-    assert {f for f in mart.vacuum(keep=1) if f.startswith("fact_sales")} == {f"fact_sales/load={n}" for n in (1, 2, 3)}
-    assert {t: rows(mart, t, "*") for t in before} == before
-    result = load_batch(mart, events(payload(event_id="E0"), payload(event_id="E9")), 3, options=ONCE)
-    assert (result.inserted, result.skipped) == (1, 1)
-    assert mart.table("fact_sales").count() == 7
+class Killed(BaseException):
+    """A process that ends without cleaning up."""
+
+
+@pytest.fixture
+def killed(monkeypatch):
+    """Run a load up to its commit and leave everything as it is then."""
+
+    def run(mart, batch, batch_id, source="batch"):
+        def stop(self, *args):
+            raise Killed
+
+        with monkeypatch.context() as patch:
+            patch.setattr(Mart, "publish", stop)
+            patch.setattr(Mart, "clear_load", lambda self, load: None)
+            with pytest.raises(Killed):
+                load_batch(mart, batch, batch_id, source, ONCE)
+
+    return run
+
+
+def test_what_a_dead_attempt_wrote_never_shows(events, mart, killed):
+    load_batch(mart, events(payload()), 0, options=ONCE)
+    second = events(payload(event_id="E2"), payload(event_id="R", price=0))
+    killed(mart, second, 1)
+    load_batch(mart, events(payload(event_id="E3"), "junk"), 0, "other", ONCE)
+    load_batch(mart, second, 1, options=ONCE)
+    assert rows(mart, "fact_sales", "event_id") == [("E1",), ("E2",), ("E3",)]
+    assert mart.table("dead_letter_events").count() == 2
+    assert mart.commit_record().dead == [2]
+    assert_sound(mart)
+
+
+def test_two_sources_do_not_touch_each_others_files(events, spark, mart, monkeypatch):
+    """Source a has written and not committed; b starts, writes and dies; a commits; b tries again."""
+    load_batch(mart, events(payload()), 0, options=ONCE)
+    other = Mart(spark, mart.root)
+    publish, clear = Mart.publish, Mart.clear_load
+
+    def stop(self, commit):
+        raise Killed
+
+    def b_comes_in_between(self, commit):
+        with monkeypatch.context() as patch:
+            patch.setattr(Mart, "publish", stop)
+            patch.setattr(Mart, "clear_load", lambda self, load: None)
+            with pytest.raises(Killed):
+                load_batch(other, events(payload(event_id="B1")), 0, "b", ONCE)
+        publish(self, commit)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Mart, "publish", b_comes_in_between)
+        assert load_batch(mart, events(payload(event_id="A1"), payload(event_id="A2")), 0, "a", ONCE).inserted == 2
+    assert Mart.clear_load is clear
+    assert load_batch(other, events(payload(event_id="B1")), 0, "b", ONCE).inserted == 1
+    assert rows(mart, "fact_sales", "event_id") == [("A1",), ("A2",), ("B1",), ("E1",)]
+    assert_sound(mart)
+
+
+def test_a_commit_that_comes_too_late_is_tried_again(events, spark, mart, monkeypatch):
+    """Without the lock, as between processes: b commits while a is about to."""
+    mart.bootstrap()
+    other, publish, done = Mart(spark, mart.root), Mart.publish, []
+
+    def overtaken(self, commit):
+        if not done:
+            done.append(1)
+            load_batch(other, events(payload(event_id="B1")), 0, "b", ONCE)
+        publish(self, commit)
+
+    monkeypatch.setattr(Mart, "publish", overtaken)
+    result = load_batch(mart, events(payload(event_id="A1")), 0, "a", LoadOptions(attempts=2, wait_seconds=0))
+    assert result.inserted == 1
+    assert rows(mart, "fact_sales", "event_id") == [("A1",), ("B1",)]
+    assert mart.commit_record().applied == {"a": 0, "b": 0}
+    with pytest.raises(ConflictError):
+        mart.publish(mart.commit_record())
+    assert_sound(mart)
+
+
+def test_loads_at_the_same_time(events, spark, mart):
+    def load(k):
+        return load_batch(Mart(spark, mart.root), events(payload(event_id=f"E{k}"), payload(event_id="SAME")), 0, f"s{k}", ONCE)
+
+    with ThreadPoolExecutor(3) as pool:
+        results = list(pool.map(load, range(3)))
+    assert sum(r.inserted for r in results) == 4
+    assert mart.table("fact_sales").count() == 4
     assert_sound(mart)

@@ -1,68 +1,12 @@
-"""Synthetic events, the line-item adapter, and the message round trip."""
-
-import pytest
-from pyspark.sql import functions as F
+"""The line-item adapter and the message round trip."""
 
 from eventmart.domain import RAW_EVENT_FIELDS
 from eventmart.functions.cleaning import normalize
-from eventmart.functions.rules import validate
-from eventmart.sources import line_items, synthetic
+from eventmart.functions.rules import event_rules, validate
+from eventmart.sources import line_items
 from eventmart.sources.envelope import parse_events, to_messages
 
 
-@pytest.fixture(scope="module")
-def generated(spark):
-    return synthetic.generate(spark, 20_000).cache()
-
-
-def as_messages(frame):
-    return frame.withColumn("timestamp", F.lit("2025-01-01").cast("timestamp"))
-
-
-def test_rates(generated):
-    fresh = generated.filter("copy = 0")
-    assert fresh.count() == 20_000
-    assert 0.016 < generated.filter("copy = 1").count() / generated.count() < 0.024
-    shares = {r["event_type"]: r["n"] / 20_000 for r in fresh.groupBy("event_type").agg(F.count("*").alias("n")).collect()}
-    for kind, share in zip(("product_view", "add_to_cart", "checkout", "purchase", "return", "review"), (0.43, 0.21, 0.11, 0.14, 0.04, 0.07)):
-        assert abs(shares[kind] - share) < 0.015
-    checked = validate(normalize(parse_events(as_messages(synthetic.to_damaged_messages(fresh)))))
-    assert 0.05 < checked.filter("NOT is_valid").count() / 20_000 < 0.067
-    assert checked.filter("NOT is_valid").select("reject_reason").distinct().count() == 7
-
-
-def test_fields_follow_the_type(generated):
-    good = generated.filter("event_type IS NOT NULL")
-    assert good.filter("event_type IN ('product_view', 'review') AND quantity NOT IN (1, 0, -3)").count() == 0
-    assert good.filter("event_type NOT IN ('purchase', 'checkout') AND discount <> 0").count() == 0
-    assert good.filter("(event_type IN ('checkout', 'purchase', 'return')) <> (payment_method IS NOT NULL)").count() == 0
-    assert good.filter("(event_type = 'review') <> (rating IS NOT NULL AND review_text IS NOT NULL)").count() == 0
-    assert generated.filter("abs(price) < 5 OR abs(price) > 1500").count() == 0
-
-
-def test_same_number_same_event(spark, generated):
-    again = synthetic.generate(spark, 300).drop("malformed_payload")
-    assert again.exceptAll(generated.drop("malformed_payload")).count() == 0
-    other = synthetic.generate(spark, 300, seed="t").select("event_id")
-    assert other.join(generated, "event_id", "left_semi").count() == 0
-
-
-def test_pools(spark):
-    assert synthetic.customer_pool(spark).count() == 1500
-    row = synthetic.customer_pool(spark, 3).orderBy("customer_id").first()
-    assert row["customer_id"] == "CUST-000001" and 16 <= row["customer_age"] <= 80
-    assert row["customer_city"] in synthetic.CITIES[row["customer_country"]]
-    assert synthetic.product_pool(spark).filter("product_id = 'PROD-00350'").count() == 1
-    store = synthetic.store_pool(spark, 40).filter("store_id = 'STORE-0040'").first()
-    assert store["store_name"] == f"{store['store_city']} Retail Hub 40"
-
-
-def test_malformed_messages(generated):
-    broken = generated.filter("malformed_payload IS NOT NULL").limit(1)
-    text = synthetic.to_damaged_messages(broken).first()["value"]
-    assert "malformed_payload" in text and "event_type" not in text
-
-
 def test_message_keys(spark):
     rows = [("c", "s", "e"), ("", "s", "e"), (None, None, "e"), (None, "", "")]
     frame = spark.createDataFrame(rows, "customer_id string, session_id string, event_id string")
@@ -71,6 +15,23 @@ def test_message_keys(spark):
     assert [r["value"] for r in sent.collect()][2] == '{"event_id":"e","customer_id":null}'
 
 
+def test_an_event_without_values_is_an_empty_message(spark):
+    fields = ("event_id", "customer_id", "session_id")
+    frame = spark.createDataFrame([(None, None, None)], ", ".join(f"{name} string" for name in fields))
+    assert [tuple(r) for r in to_messages(frame, fields).collect()] == [(None, "")]
+
+
+def test_every_rule_and_repair_has_something_to_do(spark, sf):
+    raw = line_items.raw_events(spark, sf)
+    reasons = {r[0] for r in validate(normalize(raw)).select("reject_reason").distinct().collect()} - {""}
+    single = {text for reason in reasons for text in reason.split("; ")}
+    assert single == {text for text, _ in event_rules()}
+    assert any("; " in reason for reason in reasons)
+    for damage in ("event_type <> trim(event_type)", "product_category <> trim(product_category)", "price < 0", "discount IS NULL",
+                   "brand IS NULL", "supplier IS NULL", "customer_name IS NULL", "product_name IS NULL", "rating = 9"):
+        assert raw.filter(damage).count() > 0, damage
+
+
 def test_round_trip_changes_nothing(spark, sf):
     raw = line_items.raw_events(spark, sf).select(*RAW_EVENT_FIELDS)
     parsed = parse_events(line_items.messages(spark, sf)).select(*RAW_EVENT_FIELDS)

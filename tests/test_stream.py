@@ -96,6 +96,9 @@ def test_kafka_options(spark):
         "failOnDataLoss": "false",
     }
     assert kafka.source_options("h", "t", "earliest", True, 64)["minPartitions"] == "64"
+    more = kafka.source_options("h", max_offsets_per_trigger=500, more={"kafka.security.protocol": "SSL"})
+    assert (more["maxOffsetsPerTrigger"], more["kafka.security.protocol"]) == ("500", "SSL")
+    assert kafka.sink_options("h", more={"kafka.acks": "1"})["kafka.acks"] == "1"
     sink = kafka.sink_options("h:9092", "t")
     assert sink["topic"] == "t" and sink["kafka.acks"] == "all"
     assert json.dumps(sink)
