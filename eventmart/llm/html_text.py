@@ -136,56 +136,67 @@ def blocks(html: str | None) -> list[tuple[str, bool]]:
     return parser.found
 
 
-def repeated(streams: list[list[str]], run: int = RUN) -> list[np.ndarray]:
-    """For each token stream, which tokens lie in a passage of ``run`` tokens that a different stream has too."""
+def repeated(streams: list[list[str]], run: int = RUN, mark: str | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each token stream, which tokens lie in a passage of ``run`` tokens that a different stream has too.
+
+    The second array counts passages without ``mark`` only.
+    """
     number: dict[str, int] = {}
     ids = [np.array([number.setdefault(t, len(number)) for t in s], np.int64) for s in streams]
-    sizes = [len(x) for x in ids]
+    sizes = np.array([len(x) for x in ids], dtype=np.int64)
     same: dict[bytes, int] = {}
-    page = np.repeat([same.setdefault(x.tobytes(), k) for k, x in enumerate(ids)], np.array(sizes) + 1)
+    page = np.repeat(np.array([same.setdefault(x.tobytes(), k) for k, x in enumerate(ids)], np.int64), sizes + 1)
     # An end mark of its own after each stream keeps passages within it.
-    rank = np.concatenate([np.append(x, len(number) + k) for k, x in enumerate(ids)]) if ids else np.zeros(0, np.int64)
-    n = len(rank)
-    length = 1
+    tokens = np.concatenate([np.append(x, len(number) + k) for k, x in enumerate(ids)]) if ids else np.zeros(0, np.int64)
+    rank, n, length = tokens, len(tokens), 1
     while length < run and n:
         ahead = np.full(n, -1)
-        ahead[: n - length] = rank[length:] if length < n else []
+        ahead[: max(0, n - length)] = rank[length:]
         rank = np.unique(rank * (n + len(number) + 1) + ahead + 1, return_inverse=True)[1]
         length *= 2
-    hit = np.zeros(n + run, np.int64)
+    hit = np.zeros(n, bool)
     if n:
         order = np.lexsort((page, rank))  # the suffixes, sorted by their first tokens
         r, p = rank[order], page[order]
         new = np.append(True, (r[1:] != r[:-1]) | (p[1:] != p[:-1]))
-        pages = np.bincount(r[new], minlength=r.max() + 1)
-        at = np.flatnonzero(pages[rank] > 1)
-        np.add.at(hit, at, 1)
-        np.add.at(hit, at + run, -1)
-    covered = np.cumsum(hit)[:n] > 0
-    ends = np.cumsum(np.array(sizes, dtype=int) + 1)
-    return [covered[end - size - 1 : end - 1] for end, size in zip(ends, sizes, strict=True)]
+        hit = np.bincount(r[new], minlength=r.max() + 1)[rank] > 1
+    marks = np.append(0, np.cumsum(tokens == number.get(mark, -1)))
+    inner = hit & (marks[np.minimum(np.arange(n) + run, n)] == marks[:n])
+
+    def cover(starts: np.ndarray) -> np.ndarray:
+        edge = np.zeros(n + run, np.int64)
+        edge[:n] += starts
+        edge[run:] -= starts
+        return np.cumsum(edge)[:n] > 0
+
+    every, within = cover(hit), cover(inner)
+    ends = np.cumsum(sizes + 1) - 1
+    return [(every[e - s : e], within[e - s : e]) for e, s in zip(ends, sizes, strict=True)]
 
 
 def page_texts(pages: list[list[tuple[str, bool]]], run: int = RUN) -> list[tuple[str, int]]:
-    """Main text of each page of a shard, and how many of its tokens are repeated on other pages."""
+    """Main text of each page of a shard, and how many of its tokens are repeated on other pages.
+
+    Of a page without an article, blocks that repeated passages cover whole are
+    left out, and of the others the tokens in passages that lie within the block.
+    """
     mark = "\n"  # between blocks; no token holds it
     split = [[text.split(" ") for text, _ in page] for page in pages]
     streams = [[t for block in page for t in (*block, mark)] for page in split]
     out = []
-    for page, tokens, covered in zip(pages, split, repeated(streams, run), strict=True):
+    for page, tokens, (every, within) in zip(pages, split, repeated(streams, run, mark), strict=True):
         article = any(main for _, main in page)
         texts, count, at = [], 0, 0
         for (text, main), block in zip(page, tokens, strict=True):
-            own = covered[at : at + len(block)]
+            own, inner = every[at : at + len(block)], within[at : at + len(block)]
             at += len(block) + 1
+            if article and not main:
+                continue
+            count += int(own.sum())
             if article:
-                if main:
-                    texts.append(text)
-                    count += int(own.sum())
-            else:
-                count += int(own.sum())
-                if kept := " ".join(t for t, c in zip(block, own, strict=True) if not c):
-                    texts.append(kept)
+                texts.append(text)
+            elif not own.all() and (kept := " ".join(t for t, c in zip(block, inner, strict=True) if not c)):
+                texts.append(kept)
         out.append(("\n\n".join(texts), count))
     return out
 
