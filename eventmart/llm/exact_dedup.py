@@ -56,7 +56,7 @@ def exact_duplicates(docs: DataFrame, **extra: Column) -> DataFrame:
     """One row for each document row: doc_id, keep_id, group_size, kept.
 
     ``extra`` are further columns computed while the text is read; they may use
-    ``norm``, the text without white space.
+    ``norm``, the text without white space, and must not be named like a column used here.
     """
     spot = F.pmod(F.xxhash64("size", "prefix"), F.lit(BITMAP_BITS))
     bucket, bit = F.floor(spot / 32_768).cast("int"), F.pmod(spot, F.lit(32_768)).cast("int")

@@ -110,7 +110,7 @@ def drops(
 ) -> DataFrame:
     """doc and hashes (array of 16-byte keys) of the lines each document loses; documents that lose none are left out."""
     bare = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("doc"))
-    cuts = bare.approxQuantile("doc", [k / batches for k in range(1, batches)], 0.01)
+    cuts = bare.approxQuantile("doc", [k / batches for k in range(1, batches)], 0.01) if batches > 1 else []
     batch = sum((F.when(F.col("doc") < F.lit(int(cut)), 1).otherwise(0) for cut in cuts), F.lit(0))
     lines = stored(line_hashes(docs, min_chars).withColumn("batch", batch), "lines", partition_by="batch")
     runs = line_runs(lines, batches, fan_in)

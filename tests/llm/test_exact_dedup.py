@@ -24,8 +24,8 @@ def test_equals_brute_force(spark, docs, prose):
 
 
 def test_same_length_and_prefix_is_not_enough(spark, docs):
-    found = E.exact_duplicates(docs("x" * 100 + "a", "x" * 100 + "b", "y" * 101), full=F.length("norm")).collect()
-    assert [(r.group_size, r.kept, r.full) for r in found] == [(1, True, 101)] * 3
+    found = E.exact_duplicates(docs("x" * 100 + "a", "x" * 100 + "b", "y" * 101), chars_left=F.length("norm")).collect()
+    assert [(r.group_size, r.kept, r.chars_left) for r in found] == [(1, True, 101)] * 3
 
 
 def test_only_shared_prefixes_survive(spark, docs):
