@@ -2,7 +2,7 @@
 
 A chain has two states, clean and toxic. A word's emission weight is the sum of
 the weights of its features, the word itself and its prefixes of 3 to 6 bytes;
-transitions have four weights, the start has two. The marginals of forward and
+transitions have four weights. The marginals of forward and
 backward passes say how likely each word is toxic.
 
 Labels are given for documents, so words are labelled first: features are picked
@@ -15,14 +15,14 @@ number of toxic words, fitted on the same rows; its spans are the runs of words
 with a marginal of at least one half, as code point offsets, end exclusive.
 
 Model and labelled words come from a sample of at most SAMPLE labelled rows of
-each class, taken by the hash of doc_id; equal texts count once. The sample and
-the model, which has no more features than the sample, are all that the driver
+each class, taken by the hash of doc_id; texts of over SAMPLE_CHARS are left out
+of it, and equal texts count once. The sample and the model, whose features are hashed to a fixed number, are all that the driver
 holds. Scoring reads whole texts in place, without a shuffle.
 
 Cases: a null or empty text has no words and the lowest score. Rows with a null
 doc_id are scored, never learned from and never held out. Labels without a
 document, null labels and doc_ids that are labelled both ways are left out. Where
-the sample lacks a class, every score is 0 (or 1 if all are toxic). Rows that
+the sample lacks a class, every score is next to 0 (to 1 if all are toxic). Rows that
 repeat are scored as often. Other columns are ignored by ``scores`` and handed
 through by ``without_toxic``.
 """
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -40,13 +41,17 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.tables import by_batch, utf8
 
-SAMPLE = 1_000
+SAMPLE = 600
+SAMPLE_CHARS = 20_000
 PREFIXES = (3, 4, 5, 6)
+FEATURES = 2**20
 THRESHOLD = 0.3
 # Documents held out from learning: this remainder of crc32(doc_id as text) mod FOLDS.
 FOLDS, HELD_OUT = 4, 2
 STEPS, RATE, DECAY = 40, 0.3, 1e-4
 FLOOR = 1e-6
+# Expected toxic words that count as none: this many are given to the logistic function as clean.
+NONE = 0.4
 CACHE_WORDS = 400_000
 
 WORDS = bytes(
@@ -55,9 +60,10 @@ WORDS = bytes(
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
-def features(word: bytes) -> list[bytes]:
-    """The word, marked by a space, and its prefixes."""
-    return [b" " + word, *(word[:n] for n in PREFIXES if len(word) >= n)]
+def features(word: bytes) -> list[int]:
+    """The word, marked by a space, and its prefixes, each as one of FEATURES numbers."""
+    names = [b" " + word, *(word[:n] for n in PREFIXES if len(word) >= n)]
+    return [zlib.crc32(name) % FEATURES for name in names]
 
 
 # --- chains -------------------------------------------------------------------
@@ -139,7 +145,7 @@ def word_probabilities(emission: np.ndarray, sizes: list[int], trans: np.ndarray
 class Model:
     """Feature weights, transitions, and the logistic function of documents."""
 
-    def __init__(self, weights: dict[bytes, float], bias: float, trans, start: float, slope: float, offset: float):
+    def __init__(self, weights: dict[int, float], bias: float, trans, start: float, slope: float, offset: float):
         self.weights, self.bias, self.trans, self.start = weights, bias, np.asarray(trans), start
         self.slope, self.offset = slope, offset
         self.cache: dict[bytes, float] = {}
@@ -177,7 +183,7 @@ def _pick(doc_of: np.ndarray, feature_of: np.ndarray, toxic: np.ndarray, n_featu
     """Features that together explain the toxic documents; (doc_of, feature_of) are distinct pairs."""
     clean_docs = np.bincount(feature_of[~toxic[doc_of]], minlength=n_features)
     ratio = toxic.sum() / max(1, (~toxic).sum())
-    least = max(3.0, 0.004 * toxic.sum())
+    least = max(2.0, 0.004 * toxic.sum())
     mine = toxic[doc_of]
     docs, feats = doc_of[mine], feature_of[mine]
     picked: set[int] = set()
@@ -203,24 +209,28 @@ def learn(texts: list[bytes], toxic: list[bool], clean_weight: float = 1.0) -> M
     labels = np.array(toxic, bool)
     if not len(labels) or labels.all() or not labels.any():
         return _constant(float(len(labels) > 0 and labels.all()))
-    split = [t.translate(WORDS).split() for t in texts]
+    # Words become numbers text by text; no list of all words is held.
     number: dict[bytes, int] = {}
-    ids = np.array([number.setdefault(w, len(number)) for words in split for w in words], np.int64)
+    each = [np.array([number.setdefault(w, len(number)) for w in t.translate(WORDS).split()], np.int32) for t in texts]
+    ids = np.concatenate(each)
     if not len(ids):
         return _constant(0.0)
-    sizes = np.array([len(w) for w in split])
-    doc = np.repeat(np.arange(len(split)), sizes)
-    names: dict[bytes, int] = {}
-    pairs = [(w, names.setdefault(f, len(names))) for word, w in number.items() for f in features(word)]
-    word_of, feature_of = np.array(pairs, np.int64).T
-    begin = np.searchsorted(word_of, np.arange(len(number) + 1))
+    doc = np.repeat(np.arange(len(texts)), [len(x) for x in each])
+    del each
+    of_word = [features(word) for word in number]
+    many = np.array([len(f) for f in of_word])
+    word_of = np.repeat(np.arange(len(number), dtype=np.int32), many)
+    feature_of = np.fromiter((f for own in of_word for f in own), np.int32, len(word_of))
+    begin = np.append(0, np.cumsum(many))
+    del of_word
 
     distinct = np.unique(doc * len(number) + ids)
     d, w = distinct // len(number), distinct % len(number)
     many = np.diff(begin)[w]
     at = np.repeat(begin[w], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    seen = np.unique(np.repeat(d, many) * len(names) + feature_of[at])
-    picked = _pick(seen // len(names), seen % len(names), labels, len(names))
+    seen = np.unique(np.repeat(d, many) * FEATURES + feature_of[at])
+    picked = _pick((seen // FEATURES).astype(np.int32), (seen % FEATURES).astype(np.int32), labels, FEATURES)
+    del seen, at, distinct, d, w
     bears = np.zeros(len(number), bool)
     bears[word_of[np.isin(feature_of, list(picked))]] = True
     gold = bears[ids] & labels[doc]
@@ -229,31 +239,31 @@ def learn(texts: list[bytes], toxic: list[bool], clean_weight: float = 1.0) -> M
     last = np.append(first[1:], True)
     inner = ~first
     target = np.array([[(gold[:-1] == x) & (gold[1:] == y) & inner[1:] for y in (0, 1)] for x in (0, 1)]).sum(axis=2)
-    theta = np.zeros(len(names) + 6)  # features, bias, start, four transitions
-    bias, start, trans = len(names), len(names) + 1, slice(len(names) + 2, None)
-    theta[bias] = math.log((gold.sum() + 1) / (len(gold) + 2))
+    theta = np.zeros(FEATURES + 4)  # features, four transitions
+    trans = slice(FEATURES, None)
+    # Fixed at the share of toxic words, so that a word without any known feature is as likely toxic as words are.
+    bias, start = math.log((gold.sum() + 1) / (len(gold) + 2)), 0.0
     moment, square = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
-        score = np.bincount(word_of, theta[feature_of], len(number)) + theta[bias]
-        probs, steps = marginals(score[ids], first, last, theta[trans].reshape(2, 2), theta[start], expect=True)
+        score = np.bincount(word_of, theta[feature_of], len(number)) + bias
+        probs, steps = marginals(score[ids], first, last, theta[trans].reshape(2, 2), start, expect=True)
         residual = probs - gold
         per_word = np.bincount(ids, residual, len(number))
-        grad = np.append(np.bincount(feature_of, per_word[word_of], len(names)), np.zeros(6))
-        grad[bias] = residual.sum()
-        grad[start] = residual[first].sum()
-        grad[trans] = steps - target.ravel()
-        grad = grad / len(split) + DECAY * theta
+        grad = np.append(np.bincount(feature_of, per_word[word_of], FEATURES), steps - target.ravel())
+        grad = grad / len(texts) + DECAY * theta
         moment = 0.9 * moment + 0.1 * grad
         square = 0.99 * square + 0.01 * grad**2
         theta -= RATE * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
 
-    weights = {f: float(theta[k]) for f, k in names.items() if abs(theta[k]) > 0.02}
-    model = Model(weights, float(theta[bias]), theta[trans].reshape(2, 2), float(theta[start]), 1.0, 0.0)
-    probs = word_probabilities(np.array(model.emission([w for words in split for w in words])), list(sizes), model.trans, model.start)
-    x = np.log(FLOOR + np.bincount(doc, probs, len(split)))
-    model.slope, model.offset = _logistic(x, labels, np.where(labels, 1.0, clean_weight))
-    model.cache.clear()
-    return model
+    kept = np.where(np.abs(theta) > 0.02, theta, 0.0)[:FEATURES]
+    score = np.bincount(word_of, kept[feature_of], len(number)) + bias
+    probs, _ = marginals(score[ids], first, last, theta[trans].reshape(2, 2), start)
+    x = np.log(FLOOR + np.bincount(doc, probs, len(texts)))
+    weight = np.where(labels, 1.0, clean_weight)
+    anchor = np.log(FLOOR + NONE), False, weight.sum() / 10
+    slope, offset = _logistic(*(np.append(a, b) for a, b in zip((x, labels, weight), anchor, strict=True)))
+    weights = {int(f): float(kept[f]) for f in np.flatnonzero(kept)}
+    return Model(weights, bias, theta[trans].reshape(2, 2), start, slope, offset)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -284,7 +294,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     )
     # The sample has a fixed size, so it is broadcast, and its texts are all that comes to the driver.
     rows = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text IS NOT NULL")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.length("text") <= SAMPLE_CHARS)
         .join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "text"]).toArrow()
     )
     by_text: dict[bytes, bool] = {}

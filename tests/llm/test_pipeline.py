@@ -15,9 +15,9 @@ def as_rows(frame):
 
 @pytest.fixture
 def folder(spark, docs, prose, fixture_dir):
-    passage = " ".join(f"bench{k}" for k in range(40))
-    toxic = [f"vile words here {k} vile vile" for k in range(30)]
-    texts = [*prose, *toxic, f"some {passage} text", "clean text of its own"]
+    passage = " ".join(f"w{k * 11 % 60}ord" for k in range(40))
+    toxic = [" ".join(f"w{(k * 7 + j) % 60}ord" if j != k % 9 + 9 else "vile" for j in range(1, 40)) for k in range(30)]
+    texts = [*prose, *toxic, f"{passage} w1ord"]
     given = docs(*texts, (1, prose[1]), (None, "row without an id"), (None, None))
     labels = [(k, 0) for k in range(100)] + [(len(prose) + k, 1) for k in range(20)]
     return fixture_dir(
@@ -35,8 +35,11 @@ def test_each_stage_does_its_operator_over_all_rows(spark, folder):
     clean = stages["toxicity"](spark, docs, folder)
     assert clean.columns == COLUMNS
     model = toxicity.train(docs, labels)
-    rejected = toxicity.scores(docs, model).filter("predicted = 1").count()
-    assert rejected == 30 and clean.count() == docs.count() - 30
+    rejected = [r.doc_id for r in toxicity.scores(docs, model).filter("predicted = 1").collect()]
+    known = {r.doc_id for r in labels.filter("toxic = 0").collect()}
+    # The model has seen some 15 toxic and 75 clean texts; words it never saw may mislead it.
+    assert 30 <= len(rejected) <= 33 and not known & set(rejected)
+    assert clean.filter("text LIKE '%vile%'").count() == 0 and clean.count() == docs.count() - len(rejected)
 
     lines = stages["line_dedup"](spark, clean, folder)
     assert lines.columns == COLUMNS and lines.count() == clean.count()

@@ -105,5 +105,5 @@ def test_missing_classes_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, toxic int")
     for given in (labels, labels.limit(0)):
-        assert [r.score for r in T.scores(docs, T.train(docs, given)).collect()] == [0.0, 0.0]
+        assert all(r.score < 1e-9 for r in T.scores(docs, T.train(docs, given)).collect())
     assert T.without_toxic(docs.limit(0), labels).count() == 0
