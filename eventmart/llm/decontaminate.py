@@ -175,7 +175,7 @@ def decontaminated(
         text = F.coalesce("text", F.lit(""))
         judged = contamination(docs.select(F.xxhash64(text).alias("doc_id"), "text"), benchmark, window, share, group_bytes)
         bad = stored(judged.filter("contaminated").select(F.col("doc_id").alias("__text")).distinct(), "decontaminate-bad")
-        return docs.withColumn("__text", F.xxhash64(text)).join(bad, "__text", "left_anti").select(*docs.columns)
+        return docs.withColumn("__text", F.xxhash64(text)).join(bad, "__text", "left_anti").drop("__text")
     search = searchers([(r.item_id, r.text.encode()) for r in grouped.toLocalIterator()], window)
     at = docs.columns.index("text")
 

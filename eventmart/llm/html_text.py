@@ -45,11 +45,12 @@ SILENT = frozenset(
     "textarea input nav header footer aside form menu dialog fieldset".split()
 )
 MAIN = frozenset({"article", "main"})
+HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
 CLOSE_SELF = frozenset("li dt dd tr td th option".split())
 CONTAINERS = frozenset("html body div section article main table ul ol dl blockquote td th li figure".split())
 # Words of class, id and role that mark what is not main text.
 MARKS = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
+    "ad ads adv adbox adslot adsbygoogle advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
     "consent gdpr notice notices alert popup modal overlay sidebar side nav navbar navigation menu menubar breadcrumb "
     "breadcrumbs footer header masthead comment comments disqus respond replies share sharing social related "
     "recommended newsletter subscribe signup login search pagination pager widget complementary contentinfo "
@@ -94,7 +95,7 @@ class Blocks(HTMLParser):
         for name, value in attrs:
             if name in ("class", "id", "role") and value:
                 words.update(re.split(r"[^a-z0-9]+", value.lower()))
-        marks = COMMENTS if tag in MAIN else frozenset() if tag in ("html", "body") else MARKS
+        marks = COMMENTS if tag in MAIN or tag in HEADINGS else frozenset() if tag in ("html", "body") else MARKS
         silent = self.silent or tag in SILENT or not marks.isdisjoint(words)
         if silent != self.silent:
             self.flush()

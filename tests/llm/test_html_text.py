@@ -15,6 +15,7 @@ def test_markup():
     ]
     assert [t for t, _ in H.blocks("<p>a<p>b<div>c</div>d</p>e")] == ["a", "b", "c", "d", "e"]
     assert H.blocks("<div class=ad>x") == [] and H.blocks("<div class=ad>x</div>y") == [("y", False)]
+    assert H.blocks("<article><h1 class='post-header'>x</h1></article>") == [("x", True)]
     assert H.blocks("no markup  at\nall") == [("no markup at all", False)]
 
 
