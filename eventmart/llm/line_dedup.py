@@ -112,7 +112,7 @@ def drops(
     bare = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("doc"))
     cuts = bare.approxQuantile("doc", [k / batches for k in range(1, batches)], 0.01) if batches > 1 else []
     batch = sum((F.when(F.col("doc") < F.lit(int(cut)), 1).otherwise(0) for cut in cuts), F.lit(0))
-    lines = stored(line_hashes(docs, min_chars).withColumn("batch", batch), "lines", partition_by="batch")
+    lines = stored(line_hashes(docs, min_chars).withColumn("batch", batch), "lines", "batch", narrow=True)
     runs = line_runs(lines, batches, fan_in)
     frequent = stored(merge_runs(runs).filter(F.col("n_docs") >= min_docs).select(*KEY, "keeper"), "line-frequent")
     lost = join_measured(lines, frequent, KEY, row_bytes=24).filter(F.col("doc") != F.col("keeper"))
@@ -135,7 +135,6 @@ def dedup_lines(
     names = given.columns
     keyed = given.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)))
     joined = join_measured(keyed, gone, "__doc", "left", row_bytes=16, rows=size[0] + size[1])
-
     at = names.index("text")
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -156,4 +155,5 @@ def dedup_lines(
         return pa.RecordBatch.from_arrays(columns, [*names, "n_lines", "n_dropped"])
 
     out = given.withColumns({"n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long")}).schema
-    return by_batch(joined.select(*names, "__hashes"), batch, out)
+    whole = joined.drop("__doc")  # the given columns in their order, then the hashes
+    return by_batch(whole, batch, out)

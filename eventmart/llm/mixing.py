@@ -35,7 +35,7 @@ TREE = ("domain", "language", "source")
 BUDGET_SHARE = (1, 2)  # of all tokens
 MAX_EPOCHS = 2
 SEED = 17
-BUCKET_DIGITS = 3
+BUCKET_DIGITS = 2
 
 # Target weights of the registered query; what is not listed weighs 1.
 WEIGHTS = {
@@ -119,7 +119,7 @@ def plan(
     docs: DataFrame, weights=None, budget_share=BUDGET_SHARE, max_epochs: int = MAX_EPOCHS, seed: int = SEED
 ) -> DataFrame:
     """For each leaf: tokens, given, epochs (whole ones) and last_hash (end of the prefix of the next)."""
-    rows = stored(_tree_columns(docs).select(*TREE, "doc_id", "tokens"), "mixing-rows")
+    rows = stored(_tree_columns(docs).select(*TREE, "doc_id", "tokens"), "mixing-rows", narrow=True)
     leaves = rows.groupBy(*TREE).agg(F.sum("tokens").alias("tokens"))
     budgets = stored(
         leaf_budgets(leaves, weights or WEIGHTS, budget_share, max_epochs)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.components import components
-from eventmart.llm.tables import by_batch, join_measured, stored, utf8
+from eventmart.llm.tables import BATCH_ROWS, by_batch, join_measured, stored, utf8
 
 RADIUS = 4
 SHINGLE = 4
@@ -169,13 +169,16 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS)
                 edges = [pa.array(x.view(np.int64)), pa.array(y.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(edges, ["a", "b"])
 
-    distinct.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
-    return stored(compared.mapInArrow(compare, "a long, b long"), "simhash-links")
+    conf = distinct.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")  # a row holds two whole tiles
+    found = stored(compared.mapInArrow(compare, "a long, b long"), "simhash-links")
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return found
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id that links reach) of every row."""
-    prints = stored(fingerprints(docs), "simhash-prints")
+    prints = stored(fingerprints(docs), "simhash-prints", narrow=True)
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     edges = links(distinct, radius, tile_rows)
     labels = components(edges)

@@ -34,14 +34,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stored(frame: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def stored(frame: DataFrame, name: str, partition_by: str | None = None, narrow: bool = False) -> DataFrame:
     """Write a frame to the shared folder and read it back: computed once, safe from lost executors.
 
+    ``narrow`` is for short rows made from a scan of long ones: they are brought
+    together in files of the size Spark aims at, not a small file for each task.
     The files go when the session ends.
     """
     spark = frame.sparkSession
     target = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = frame.write
+    writer = (frame.hint("rebalance", *filter(None, [partition_by])) if narrow else frame).write
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(target)
