@@ -9,9 +9,13 @@ The pages of a host are taken together in shards of about SHARD_PAGES, so a host
 of any size spreads over many tasks. In each shard the pages' token streams are
 concatenated, and suffixes are sorted by their first RUN tokens by prefix
 doubling; equal neighbours from distinct pages are repeated passages. Equal
-streams count as one page, for a copied page is no boilerplate. In a page without
-an article element, repeated passages are removed and unique runs stay. Inside an
-article they are counted, not removed: authors repeat themselves, and articles
+streams count as one page, for a copied page is no boilerplate. A repeated passage
+is boilerplate where MIN_TEXTS page texts and a SHARE of them all have it.
+Near-equal pages (another date, a changed word) count about once there: by each of
+KEYS least hashes one page text of those with an equal hash counts, and counts are
+means over the KEYS. In a page without an article element, blocks that
+boilerplate covers whole are removed; no block is cut. Inside an
+article repeats are counted, not removed: authors repeat themselves, and articles
 are copied, and markup has already told the article from its surroundings.
 
 Cases: null or empty html, or html without text, gives an empty text. Null urls
@@ -26,6 +30,7 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +38,17 @@ from eventmart.llm.tables import by_batch, join_measured, stored
 
 SHARD_PAGES = 256
 RUN = 8  # tokens, a power of two
+# Boilerplate is on MIN_TEXTS page texts of a host at least, and on this share of them; near-equal texts count once.
+MIN_TEXTS = 3
+SHARE = (1, 4)
+MARK = "\n"  # between blocks; no token holds it
+# Near-equal pages are told by KEYS least hashes: each of a multiplier and a summand, fixed numbers.
+KEYS = 8
+MIX = np.uint64(0x9E3779B97F4A7C15)
+FACTORS = [
+    (np.uint64(xxhash.xxh3_64_intdigest(b"factor", k) | 1), np.uint64(xxhash.xxh3_64_intdigest(b"summand", k)))
+    for k in range(KEYS)
+]
 
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -137,71 +153,148 @@ def blocks(html: str | None) -> list[tuple[str, bool]]:
     return parser.found
 
 
-def repeated(streams: list[list[str]], run: int = RUN, mark: str | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each token stream, which tokens lie in a passage of ``run`` tokens that a different stream has too.
-
-    The second array counts passages without ``mark`` only.
-    """
+def _sequence(streams: list[list[str]]) -> tuple[dict[str, int], list[np.ndarray], np.ndarray, np.ndarray]:
+    """Numbers of the tokens, the streams in numbers, all of them in a row, and their sizes."""
     number: dict[str, int] = {}
     ids = [np.array([number.setdefault(t, len(number)) for t in s], np.int64) for s in streams]
     sizes = np.array([len(x) for x in ids], dtype=np.int64)
-    same: dict[bytes, int] = {}
-    page = np.repeat(np.array([same.setdefault(x.tobytes(), k) for k, x in enumerate(ids)], np.int64), sizes + 1)
     # An end mark of its own after each stream keeps passages within it.
     tokens = np.concatenate([np.append(x, len(number) + k) for k, x in enumerate(ids)]) if ids else np.zeros(0, np.int64)
+    return number, ids, tokens, sizes
+
+
+def _ranks(tokens: np.ndarray, base: int, run: int) -> np.ndarray:
+    """Suffixes by their first ``run`` tokens, by prefix doubling: equal ranks are equal passages."""
     rank, n, length = tokens, len(tokens), 1
     while length < run and n:
         ahead = np.full(n, -1)
         ahead[: max(0, n - length)] = rank[length:]
-        rank = np.unique(rank * (n + len(number) + 1) + ahead + 1, return_inverse=True)[1]
+        rank = np.unique(rank * (n + base + 1) + ahead + 1, return_inverse=True)[1]
         length *= 2
-    hit = np.zeros(n, bool)
-    if n:
-        order = np.lexsort((page, rank))  # the suffixes, sorted by their first tokens
-        r, p = rank[order], page[order]
-        new = np.append(True, (r[1:] != r[:-1]) | (p[1:] != p[:-1]))
-        hit = np.bincount(r[new], minlength=r.max() + 1)[rank] > 1
+    return rank
+
+
+def _carriers(rank: np.ndarray, page: np.ndarray, counted: np.ndarray) -> np.ndarray:
+    """For each row of ``counted`` (a number for each page) and each rank, the sum over the pages with the passage."""
+    order = np.lexsort((page, rank))  # the suffixes, sorted by their first tokens
+    r, p = rank[order], page[order]
+    new = np.append(True, (r[1:] != r[:-1]) | (p[1:] != p[:-1]))
+    r, p = r[new], p[new]
+    return np.array([np.bincount(r, row[p], int(rank.max()) + 1) for row in counted]).astype(np.int64)
+
+
+def _cover(starts: np.ndarray, run: int) -> np.ndarray:
+    """The tokens in passages that begin at ``starts``."""
+    n = len(starts)
+    edge = np.zeros(n + run, np.int64)
+    edge[:n] += starts
+    edge[run:] -= starts
+    return np.cumsum(edge)[:n] > 0
+
+
+def _cut(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    ends = np.cumsum(sizes + 1) - 1
+    return [flat[e - s : e] for e, s in zip(ends, sizes, strict=True)]
+
+
+def repeated(streams: list[list[str]], run: int = RUN, mark: str | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each token stream, which tokens lie in a passage of ``run`` tokens that a different stream has too.
+
+    The second array counts passages without ``mark`` only.
+    """
+    number, ids, tokens, sizes = _sequence(streams)
+    n = len(tokens)
+    same: dict[bytes, int] = {}
+    page = np.repeat(np.array([same.setdefault(x.tobytes(), k) for k, x in enumerate(ids)], np.int64), sizes + 1)
+    rank = _ranks(tokens, len(number), run)
+    hit = _carriers(rank, page, np.ones((1, len(streams))))[0][rank] > 1 if n else np.zeros(0, bool)
     marks = np.append(0, np.cumsum(tokens == number.get(mark, -1)))
     inner = hit & (marks[np.minimum(np.arange(n) + run, n)] == marks[:n])
+    return list(zip(_cut(_cover(hit, run), sizes), _cut(_cover(inner, run), sizes), strict=True))
 
-    def cover(starts: np.ndarray) -> np.ndarray:
-        edge = np.zeros(n + run, np.int64)
-        edge[:n] += starts
-        edge[run:] -= starts
-        return np.cumsum(edge)[:n] > 0
 
-    every, within = cover(hit), cover(inner)
-    ends = np.cumsum(sizes + 1) - 1
-    return [(every[e - s : e], within[e - s : e]) for e, s in zip(ends, sizes, strict=True)]
+def stream_of(page: list[tuple[str, bool]]) -> list[str]:
+    return [t for text, _ in page for t in (*text.split(" "), MARK)]
 
 
-def page_texts(pages: list[list[tuple[str, bool]]], run: int = RUN) -> list[tuple[str, int]]:
-    """Main text of each page of a shard, and how many of its tokens are repeated on other pages.
+def sketch(stream: list[str]) -> tuple[int, ...]:
+    """128 bits of a page's tokens as two numbers, then KEYS least hashes of its runs of three words.
 
-    Of a page without an article, blocks that repeated passages cover whole are
-    left out, and of the others the tokens in passages that lie within the block.
+    Near-equal pages have equal least hashes, each with a chance of the share of
+    runs they have in common.
     """
-    mark = "\n"  # between blocks; no token holds it
-    split = [[text.split(" ") for text, _ in page] for page in pages]
-    streams = [[t for block in page for t in (*block, mark)] for page in split]
+    whole = xxhash.xxh3_128_digest("\0".join(stream).encode("utf-8", "surrogatepass"))
+    hashes = _token_hashes([t for t in stream if t != MARK])
+    runs = hashes[:-2] * MIX + hashes[1:-1] if len(hashes) > 2 else hashes.copy()
+    runs = runs * MIX + hashes[2:] if len(hashes) > 2 else runs
+    runs ^= runs >> np.uint64(29)
+    least = [int(((runs ^ (runs >> np.uint64(32))) * f + g).min()) if len(runs) else 0 for f, g in FACTORS]
+    return tuple(x - 2**64 if x >= 2**63 else x for x in (int.from_bytes(whole[:8]), int.from_bytes(whole[8:]), *least))
+
+
+def _token_hashes(tokens) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in tokens], np.uint64)
+
+
+def weights(sketches: list[tuple[int, ...]]) -> list[int]:
+    """By how many of its least hashes a text counts: the one with the least sketch of those with an equal hash."""
+    out = dict.fromkeys(sketches, 0)
+    for t in range(2, 2 + KEYS):
+        least: dict[int, tuple[int, ...]] = {}
+        for own in out:
+            least[own[t]] = min(own, least.get(own[t], own))
+        for own in least.values():
+            out[own] += 1
+    return [out[own] for own in sketches]
+
+
+def boilerplate(weight: np.ndarray, total: int) -> np.ndarray:
+    """Whether the texts with a passage, ``weight`` together, are enough of all, ``total`` together."""
+    return (weight >= MIN_TEXTS * KEYS) & (weight * SHARE[1] >= total * SHARE[0])
+
+
+def _chosen(pages: list[list[tuple[str, bool]]], every: list[np.ndarray], often: list[np.ndarray]) -> list[tuple[str, int]]:
+    """Text and number of repeated tokens, from the tokens in repeated passages and in boilerplate."""
     out = []
-    for page, tokens, (every, within) in zip(pages, split, repeated(streams, run, mark), strict=True):
+    for page, own, boiler in zip(pages, every, often, strict=True):
         article = any(main for _, main in page)
         texts, count, at = [], 0, 0
-        for (text, main), block in zip(page, tokens, strict=True):
-            own, inner = every[at : at + len(block)], within[at : at + len(block)]
-            at += len(block) + 1
+        for text, main in page:
+            size = text.count(" ") + 1
+            here = slice(at, at + size)
+            at += size + 1
             if article and not main:
                 continue
-            count += int(own.sum())
-            if article:
+            count += int(own[here].sum())
+            if article or not boiler[here].all():
                 texts.append(text)
-            elif not own.all() and (kept := " ".join(t for t, c in zip(block, inner, strict=True) if not c)):
-                texts.append(kept)
         out.append(("\n\n".join(texts), count))
     return out
 
 
+def page_texts(
+    pages: list[list[tuple[str, bool]]], run: int = RUN, sketches: list[tuple[int, ...]] | None = None
+) -> list[tuple[str, int]]:
+    """Main text of each page of a whole host, and how many of its tokens are repeated on other pages.
+
+    Of a page without an article, blocks that boilerplate covers whole are left out.
+    """
+    streams = [stream_of(page) for page in pages]
+    sketches = sketches or [sketch(s) for s in streams]
+    number, ids, tokens, sizes = _sequence(streams)
+    if not len(tokens):
+        return []
+    same: dict[tuple[int, ...], int] = {}
+    first = np.array([same.setdefault(own, k) for k, own in enumerate(sketches)], np.int64)
+    weight = np.array(weights(sketches))
+    rank = _ranks(tokens, len(number), run)
+    texts, weighed = _carriers(rank, np.repeat(first, sizes + 1), np.array([np.ones(len(pages)), weight]))
+    often = boilerplate(weighed, int(weight[np.unique(first)].sum()))
+    return _chosen(
+        pages, _cut(_cover(texts[rank] > 1, run), sizes), _cut(_cover(often[rank], run), sizes)
+    )
+
+
 def main_text(pages: DataFrame, shard_pages: int = SHARD_PAGES, run: int = RUN) -> DataFrame:
     """Per page row: page_id, url, text, n_chars, n_repeated."""
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[^/]*//([^/?#]*)", 1)), F.lit(""))

@@ -63,6 +63,27 @@ def test_boilerplate_without_marks_goes(spark):
     assert sharded == {k: r.text for k, r in found.items()}
 
 
+def test_near_copies_and_quotes_keep_their_text():
+    random.seed(8)
+    words = [f"w{k}" for k in range(500)]
+    article = [random.choices(words, k=40) for _ in range(3)]
+    copies = []
+    for k in range(5):  # each with another date and one changed word
+        changed = [list(block) for block in article]
+        changed[k % 3][7 * k % 40] = "changed"
+        copies.append([(f"printed on day {k}", False), *((" ".join(block), False) for block in changed)])
+    quote = " ".join(article[0][20:28])
+    quoting = [(" ".join([*random.choices(words, k=9), quote, *random.choices(words, k=9)]), False)]
+    assert [t for t, _ in H.page_texts([*copies, quoting])] == ["\n\n".join(b for b, _ in p) for p in [*copies, quoting]]
+    # Whole blocks that a share of otherwise distinct pages has go, from near copies too.
+    shared = " ".join(random.choices(words, k=12))
+    others = [[(" ".join(random.choices(words, k=40)), False)] for _ in range(12)]
+    pages = [[(shared, False), *p] for p in (*copies, quoting, *others)]
+    texts = H.page_texts(pages)
+    assert [t for t, _ in texts] == ["\n\n".join(b for b, _ in p[1:]) for p in pages]
+    assert all(n >= 12 for _, n in texts)
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "", ""), (None, "http://h/", "<p>a</p>"), (3, "http://h/", "<p>a</p>"), (3, "http://h/", "<p>a</p>"), (4, "x", "<p>b</p>" * 20_000), (5, "u", "\x00<")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
