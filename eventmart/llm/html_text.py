@@ -5,8 +5,11 @@ left out, by tag or by a word in class, id or role: menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments. Where a page
 has an article or main element, only blocks inside count.
 
-The pages of a host are taken together in shards of about SHARD_PAGES, so a host
-of any size spreads over many tasks. In each shard the pages' token streams are
+The pages of a host are taken together. A host of over SHARD_PAGES is cut into
+shards of about so many distinct texts, so a host of any size spreads over many
+tasks; each shard gives its distinct passages as hashes of 64 bits, with the texts
+that have them, and these are added up over all shards, by parts of the hash, so
+the cut changes no result. In each shard the pages' token streams are
 concatenated, and suffixes are sorted by their first RUN tokens by prefix
 doubling; equal neighbours from distinct pages are repeated passages. Equal
 streams count as one page, for a copied page is no boilerplate. A repeated passage
@@ -26,6 +29,7 @@ end where HTML says, or with their parent. Other columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from html.parser import HTMLParser
 
 import numpy as np
@@ -38,6 +42,7 @@ from eventmart.llm.tables import by_batch, join_measured, stored
 
 SHARD_PAGES = 256
 RUN = 8  # tokens, a power of two
+PART_TOKENS = 2**20  # a host's passages meet in parts of about so many
 # Boilerplate is on MIN_TEXTS page texts of a host at least, and on this share of them; near-equal texts count once.
 MIN_TEXTS = 3
 SHARE = (1, 4)
@@ -50,6 +55,12 @@ FACTORS = [
     for k in range(KEYS)
 ]
 
+PACKED = pa.schema(
+    [("host", pa.string())]
+    + [(name, pa.int64()) for name in ("shard", "total", "part", "size")]
+    + [(name, pa.binary()) for name in ("hashes", "texts", "weights")]
+)
+
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -223,7 +234,7 @@ def sketch(stream: list[str]) -> tuple[int, ...]:
     Near-equal pages have equal least hashes, each with a chance of the share of
     runs they have in common.
     """
-    whole = xxhash.xxh3_128_digest("\0".join(stream).encode("utf-8", "surrogatepass"))
+    whole = xxhash.xxh3_128_digest(" ".join(stream).encode("utf-8", "surrogatepass"))
     hashes = _token_hashes([t for t in stream if t != MARK])
     runs = hashes[:-2] * MIX + hashes[1:-1] if len(hashes) > 2 else hashes.copy()
     runs = runs * MIX + hashes[2:] if len(hashes) > 2 else runs
@@ -275,7 +286,7 @@ def _chosen(pages: list[list[tuple[str, bool]]], every: list[np.ndarray], often:
 def page_texts(
     pages: list[list[tuple[str, bool]]], run: int = RUN, sketches: list[tuple[int, ...]] | None = None
 ) -> list[tuple[str, int]]:
-    """Main text of each page of a whole host, and how many of its tokens are repeated on other pages.
+    """Main text of each page of a host that is one shard, and how many of its tokens are repeated on other pages.
 
     Of a page without an article, blocks that boilerplate covers whole are left out.
     """
@@ -295,33 +306,196 @@ def page_texts(
     )
 
 
-def main_text(pages: DataFrame, shard_pages: int = SHARD_PAGES, run: int = RUN) -> DataFrame:
+def _passages(streams: list[list[str]], run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of all streams in a row, each followed by an end mark: a hash of the passage at each token, and if there is a whole one."""
+    number, _, tokens, sizes = _sequence(streams)
+    table = np.append(_token_hashes(number), np.zeros(len(streams), np.uint64))
+    padded = np.append(table[tokens], np.zeros(run, np.uint64))
+    out = np.zeros(len(tokens), np.uint64)
+    for k in range(run):
+        out = out * MIX + padded[k : k + len(tokens)]
+    out ^= out >> np.uint64(32)
+    left = np.repeat(np.cumsum(sizes + 1) - 1, sizes + 1) - np.arange(len(tokens))
+    return out * MIX, left >= run
+
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers as bytes, the highest of all first, so that equal ones lie together."""
+    return pa.compress(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, size: int) -> np.ndarray:
+    flat = pa.decompress(packed, decompressed_size=8 * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(8, size).T).view("<u8").ravel()
+
+
+def shard_passages(streams: list[list[str]], weight: list[int], parts: int, run: int = RUN) -> list[tuple]:
+    """Distinct passages of a shard's distinct texts, by parts of the hash: part, size, hashes in order, texts, weights."""
+    number, _, tokens, sizes = _sequence(streams)
+    hashes, whole = _passages(streams, run)
+    if not whole.any():
+        return []
+    rank = _ranks(tokens, len(number), run)
+    page = np.repeat(np.arange(len(streams)), sizes + 1)
+    texts, weighed = _carriers(rank, page, np.array([np.ones(len(streams)), weight]))
+    hashes, at = np.unique(hashes[whole], return_index=True)
+    rank = rank[whole][at]
+    part = hashes % np.uint64(parts)
+    out = []
+    for k in np.unique(part):
+        own = part == k
+        held = hashes[own]
+        gaps = np.diff(held, prepend=np.uint64(0))
+        out.append((int(k), len(held), _pack(gaps), _pack(texts[rank[own]]), _pack(weighed[rank[own]])))
+    return out
+
+
+def merge_passages(sizes: list[int], packed: list[tuple[bytes, bytes, bytes]], total: int) -> list[tuple[bytes, bytes]]:
+    """For one part of a host's passages, from each shard: bits of those on several texts, bits of boilerplate."""
+    hashes = np.concatenate([np.cumsum(_unpack(h, n), dtype=np.uint64) for n, (h, _, _) in zip(sizes, packed, strict=True)])
+    values, at = np.unique(hashes, return_inverse=True)
+    sums = []
+    for k in (1, 2):
+        numbers = np.concatenate([_unpack(p[k], n) for n, p in zip(sizes, packed, strict=True)])
+        sums.append(np.bincount(at, numbers, len(values)).astype(np.int64)[at])
+    several, often = sums[0] > 1, boilerplate(sums[1], total)
+    ends = np.cumsum(sizes)
+    return [
+        (np.packbits(several[e - n : e]).tobytes(), np.packbits(often[e - n : e]).tobytes())
+        for e, n in zip(ends, sizes, strict=True)
+    ]
+
+
+def shard_texts(
+    pages: list[list[tuple[str, bool]]], parts: int, found: dict[int, tuple[bytes, bytes]], run: int = RUN
+) -> list[tuple[str, int]]:
+    """Main text and number of repeated tokens of a shard's pages, by what all shards of the host have together."""
+    streams = [stream_of(page) for page in pages]
+    sizes = np.array([len(s) for s in streams], np.int64)
+    hashes, whole = _passages(streams, run)
+    values, at = np.unique(hashes[whole], return_inverse=True)
+    part = values % np.uint64(parts)
+    marks = np.zeros((2, len(values)), bool)
+    for k, bits in found.items():
+        own = np.flatnonzero(part == np.uint64(k))
+        for row, packed in zip(marks, bits, strict=True):
+            row[own] = np.unpackbits(np.frombuffer(packed, np.uint8), count=len(own)).astype(bool)
+    covered = []
+    for row in marks:
+        starts = np.zeros(len(hashes), bool)
+        starts[whole] = row[at]
+        covered.append(_cut(_cover(starts, run), sizes))
+    return _chosen(pages, *covered)
+
+
+def _to_bytes(page: list[tuple[str, bool]]) -> bytes:
+    return zlib.compress("\n".join(f"{int(main)}{text}" for text, main in page).encode("utf-8", "surrogatepass"), 1)
+
+
+def _from_bytes(packed: bytes) -> list[tuple[str, bool]]:
+    text = zlib.decompress(packed).decode("utf-8", "surrogatepass")
+    return [(block[1:], block[0] == "1") for block in text.split("\n")] if text else []
+
+
+def main_text(pages: DataFrame, shard_pages: int = SHARD_PAGES, run: int = RUN, part_tokens: int = PART_TOKENS) -> DataFrame:
     """Per page row: page_id, url, text, n_chars, n_repeated."""
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[^/]*//([^/?#]*)", 1)), F.lit(""))
     given = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
     counts = stored(given.groupBy(host.alias("host")).agg(F.count("*").alias("n")), "html-hosts")
-    shards = F.ceil(F.col("n") / shard_pages)
-    kind = "array<struct<text: string, main: boolean>>"
+    keys = [f"k{t}" for t in range(KEYS)]
+    names = ["blocks", "n_tokens", "t1", "t2", *keys]
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-        found = [[{"text": t, "main": m} for t, m in blocks(html)] for html in rows.column(2).to_pylist()]
-        parts = pa.array(found, pa.list_(pa.struct([("text", pa.string()), ("main", pa.bool_())])))
-        return pa.RecordBatch.from_arrays([*rows.columns[:2], parts], ["page_id", "url", "blocks"])
-
-    parsed = by_batch(given, batch, f"page_id long, url string, blocks {kind}").withColumn("host", host)
-    placed = join_measured(parsed, counts, "host", row_bytes=64).select(
-        "page_id", "url", "blocks", "host", F.pmod(F.xxhash64("page_id", "url"), shards.cast("long")).alias("shard")
+        found = [blocks(html) for html in rows.column(2).to_pylist()]
+        streams = [stream_of(page) for page in found]
+        sketches = np.array([sketch(s) for s in streams], np.int64).reshape(-1, 2 + KEYS)
+        columns = [pa.array(map(_to_bytes, found), pa.binary()), pa.array([len(s) for s in streams], pa.int64())]
+        return pa.RecordBatch.from_arrays([*rows.columns[:2], *columns, *map(pa.array, sketches.T.copy())], ["page_id", "url", *names])
+
+    longs = ", ".join(f"{name} long" for name in names[1:])
+    parsed = by_batch(given, batch, f"page_id long, url string, blocks binary, {longs}").withColumn("host", host)
+    placed = stored(
+        join_measured(parsed, counts, "host", row_bytes=64)
+        .withColumn("large", (F.col("n") > shard_pages).cast("int")).drop("n")
+        .withColumn("row", F.monotonically_increasing_id()),
+        "html-blocks", "large",
     )
+    whole, large = placed.filter("large = 0"), placed.filter("large = 1")
+    kind = "text string, n_chars long, n_repeated long"
 
-    def shard(table: pa.Table) -> pa.Table:
-        found = [[(b["text"], b["main"]) for b in page] for page in table["blocks"].to_pylist()]
-        texts = page_texts(found, run)
+    def result(table: pa.Table, texts: list[tuple[str, int]], kept: list[str]) -> pa.Table:
         columns = [
-            table["page_id"], table["url"], pa.array([t for t, _ in texts], pa.string()),
+            pa.array([t for t, _ in texts], pa.string()),
             pa.array([len(t) for t, _ in texts], pa.int64()), pa.array([n for _, n in texts], pa.int64()),
         ]
-        return pa.table(columns, names=["page_id", "url", "text", "n_chars", "n_repeated"])
+        return pa.table([*(table[name] for name in kept), *columns], names=[*kept, "text", "n_chars", "n_repeated"])
 
-    return placed.groupBy("host", "shard").applyInArrow(
-        shard, "page_id long, url string, text string, n_chars long, n_repeated long"
+    def one_host(table: pa.Table) -> pa.Table:
+        found = [_from_bytes(b) for b in table["blocks"].to_pylist()]
+        sketches = list(zip(*(table[name].to_pylist() for name in ("t1", "t2", *keys)), strict=True))
+        return result(table, page_texts(found, run, sketches), ["page_id", "url"])
+
+    small = whole.select("page_id", "url", "blocks", "t1", "t2", *keys, "host").groupBy("host").applyInArrow(
+        one_host, f"page_id long, url string, {kind}"
+    )
+
+    # Larger hosts: distinct texts in shards, whose passages meet by parts of their hashes.
+    ident = ["host", "t1", "t2"]
+    texts = stored(
+        large.groupBy(*ident).agg(F.min("row").alias("row"), F.min("n_tokens").alias("n_tokens"), *(F.min(k).alias(k) for k in keys)),
+        "html-texts",
+    )
+    each = F.explode(F.array(*(F.struct(F.lit(t).alias("t"), F.col(k).alias("key")) for t, k in enumerate(keys))))
+    counted = (
+        texts.select("host", "t1", each.alias("k")).groupBy("host", "k.t", "k.key").agg(F.min("t1").alias("t1"))
+        .groupBy("host", "t1").agg(F.count("*").alias("weight"))
+    )
+    counted = stored(counted, "html-weights")
+    totals = counted.groupBy("host").agg(F.sum("weight").alias("total"))
+    sizes = texts.groupBy("host").agg(
+        F.ceil(F.count("*") / shard_pages).cast("long").alias("shards"),
+        F.ceil((F.sum("n_tokens") + 1) / part_tokens).cast("long").alias("parts"),
+    )
+    hosts = stored(totals.join(sizes, "host"), "html-large-hosts")
+    weighed = join_measured(texts.select(*ident, "row"), counted, ["host", "t1"], "left", row_bytes=64)
+    chosen = stored(
+        join_measured(weighed, hosts, "host", row_bytes=64).select(
+            "row", F.pmod(F.xxhash64("t1", "t2"), "shards").alias("shard"), "parts", "total",
+            F.coalesce("weight", F.lit(0)).alias("weight"),
+        ),
+        "html-chosen",
+    )
+    sharded = join_measured(
+        large.select("row", *ident, "blocks"), chosen, "row", row_bytes=48
+    ).select(*ident, "blocks", "shard", "parts", "total", "weight")
+
+    def emit(table: pa.Table) -> pa.Table:
+        streams = [stream_of(_from_bytes(b)) for b in table["blocks"].to_pylist()]
+        found = shard_passages(streams, table["weight"].to_pylist(), table["parts"][0].as_py(), run)
+        fixed = [table[name][0].as_py() for name in ("host", "shard", "total")]
+        rows = [(*fixed, *own) for own in found]
+        return pa.Table.from_pylist([dict(zip(PACKED.names, row, strict=True)) for row in rows], PACKED)
+
+    def merge(table: pa.Table) -> pa.Table:
+        packed = list(zip(*(table[name].to_pylist() for name in ("hashes", "texts", "weights")), strict=True))
+        bits = merge_passages(table["size"].to_pylist(), packed, table["total"][0].as_py())
+        columns = [table["host"], table["shard"], table["part"], *(pa.array([b[k] for b in bits], pa.binary()) for k in (0, 1))]
+        return pa.table(columns, names=["host", "shard", "part", "several", "often"])
+
+    merged = sharded.groupBy("host", "shard").applyInArrow(
+        emit, "host string, shard long, total long, part long, size long, hashes binary, texts binary, weights binary"
+    ).groupBy("host", "part").applyInArrow(merge, "host string, shard long, part long, several binary, often binary")
+
+    def finish(table: pa.Table, found: pa.Table) -> pa.Table:
+        own = [_from_bytes(b) for b in table["blocks"].to_pylist()]
+        bits = {k: (a, b) for k, a, b in zip(*(found[name].to_pylist() for name in ("part", "several", "often")), strict=True)}
+        if not own:
+            return result(table, [], ident)
+        return result(table, shard_texts(own, table["parts"][0].as_py(), bits, run), ident)
+
+    by_text = sharded.groupBy("host", "shard").cogroup(merged.groupBy("host", "shard")).applyInArrow(
+        finish, f"host string, t1 long, t2 long, {kind}"
     )
+    # A text's copies are joined to it; adaptive execution splits a text of many copies.
+    out = large.select("page_id", "url", *ident).join(by_text, ident)
+    return small.unionByName(out.select("page_id", "url", "text", "n_chars", "n_repeated"))

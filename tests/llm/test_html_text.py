@@ -84,6 +84,30 @@ def test_near_copies_and_quotes_keep_their_text():
     assert all(n >= 12 for _, n in texts)
 
 
+def test_shards_of_a_host_are_counted_together(spark):
+    random.seed(10)
+    words = [f"w{k}" for k in range(500)]
+    twice, often = (" ".join(random.choices(words, k=n)) for n in (12, 9))
+    rows = []
+    for k in range(60):
+        own = " ".join(random.choices(words, k=30))
+        body = [own, *([twice] if k in (3, 41) else []), *([often] if k % 3 == 0 else [])]
+        rows.append((k, f"http://h/{k}", "".join(f"<p>{t}</p>" for t in body)))
+    rows += [(100 + k, f"http://h/copy{k}", rows[3][2]) for k in range(30)] + [(200, "http://h/none", None), (200, "http://h/none", None)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+
+    def found(**sizes):
+        return sorted(tuple(r) for r in H.main_text(frame, **sizes).collect())
+
+    whole = found()
+    assert len(whole) == len(rows)
+    assert {i for i, _, text, _, _ in whole if twice in text} == {3, 41, *range(100, 130)}
+    assert {i: n for i, _, _, _, n in whole if i in (1, 41)} == {1: 0, 41: 12}
+    assert not any(often in text for _, _, text, _, _ in whole)
+    for shard_pages in (1, 7, 30):
+        assert found(shard_pages=shard_pages) == whole == found(shard_pages=shard_pages, part_tokens=500)
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "", ""), (None, "http://h/", "<p>a</p>"), (3, "http://h/", "<p>a</p>"), (3, "http://h/", "<p>a</p>"), (4, "x", "<p>b</p>" * 20_000), (5, "u", "\x00<")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
