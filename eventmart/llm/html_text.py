@@ -1,9 +1,12 @@
 """Main text of web pages: markup first, then repeated passages by a host's suffix array.
 
 Pages are cut into blocks by their markup. Elements that never hold main text are
-left out, by tag or by a word in class, id or role: menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, reader comments. Where a page
-has an article or main element, only blocks inside count.
+left out, by tag or by a name in class, id or role, a whole one or a known compound:
+menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader
+comments. Where a page has an article or main element, only blocks inside count. An
+article in an element that only its name marks is left out where the page has
+another article, and counts where it has none, unless the name is one of comments
+or adverts.
 
 The pages of a host are taken together. A host of over SHARD_PAGES is cut into
 shards of about so many distinct texts, so a host of any size spreads over many
@@ -29,7 +32,6 @@ end where HTML says, or with their parent. Other columns are ignored.
 from __future__ import annotations
 
 import re
-import zlib
 from html.parser import HTMLParser
 
 import numpy as np
@@ -75,7 +77,7 @@ MAIN = frozenset({"article", "main"})
 HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
 CLOSE_SELF = frozenset("li dt dd tr td th option".split())
 CONTAINERS = frozenset("html body div section article main table ul ol dl blockquote td th li figure".split())
-# Words of class, id and role that mark what is not main text.
+# Names in class, id and role that mark what is not main text.
 MARKS = frozenset(
     "ad ads adv adbox adslot adsbygoogle advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
     "consent gdpr notice notices alert popup modal overlay sidebar side nav navbar navigation menu menubar breadcrumb "
@@ -84,28 +86,50 @@ MARKS = frozenset(
     "toolbar skip".split()
 )
 COMMENTS = frozenset("comment comments disqus respond replies ad ads advert advertisement promo sponsored".split())
+# Words that make a compound with one of MARKS, such as main-nav or ad-slot-1. Any other word, as in has-sidebar,
+# no-comments, menu-open or share-price, says that the name is about something else.
+PARTS = frozenset(
+    "site page main global top bottom left right center upper lower primary secondary block blocks box boxes bar bars "
+    "container wrapper wrap inner outer section area region zone slot unit list lists link links item items icon icons "
+    "button buttons btn form field dialog message policy panel pane group row column col post posts article articles "
+    "entry story stories user reader blog body text title content widgets mobile desktop sticky fixed inline google".split()
+)
 SPACE = re.compile(r"\s+")
 
 
+def marked(names: str, marks: frozenset[str]) -> bool:
+    """Whether one of the names is a word of ``marks``, or a compound of one with other MARKS, PARTS and numbers."""
+    for name in names.lower().split():
+        words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+        if not marks.isdisjoint(words) and all(w in MARKS or w in PARTS or w[0].isdigit() for w in words):
+            return True
+    return False
+
+
 class Blocks(HTMLParser):
-    """Collects (text, inside an article) of each block that may be main text."""
+    """Collects (text, inside an article, inside one below an element that is silent by its name) of blocks.
+
+    An article ends a silence that came from the name of an element around it, but
+    for names of comments and adverts, and not one that came from a tag.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = []  # tag, silent from here, article from here
-        self.silent = self.main = False
-        self.found: list[tuple[str, bool]] = []
+        # tag; from here: silent, article, article below a silent name, silent also for articles
+        self.open: list[tuple[str, bool, bool, bool, bool]] = []
+        self.silent = self.main = self.below = self.closed = False
+        self.found: list[tuple[str, bool, bool]] = []
         self.held: list[str] = []
 
     def flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.held)).strip()
         self.held = []
         if text:
-            self.found.append((text, self.main))
+            self.found.append((text, self.main, self.below))
 
     def _cut(self, depth: int) -> None:
         del self.open[depth:]
-        self.silent, self.main = self.open[-1][1:] if self.open else (False, False)
+        self.silent, self.main, self.below, self.closed = self.open[-1][1:] if self.open else (False,) * 4
 
     def handle_starttag(self, tag, attrs):
         if tag in INLINE:
@@ -118,16 +142,18 @@ class Blocks(HTMLParser):
             self._imply(tag)
             if tag in VOID:
                 return
-        words = set()
-        for name, value in attrs:
-            if name in ("class", "id", "role") and value:
-                words.update(re.split(r"[^a-z0-9]+", value.lower()))
+        names = " ".join(value for name, value in attrs if name in ("class", "id", "role") and value)
         marks = COMMENTS if tag in MAIN or tag in HEADINGS else frozenset() if tag in ("html", "body") else MARKS
-        silent = self.silent or tag in SILENT or not marks.isdisjoint(words)
+        named = bool(names) and marked(names, marks)
+        closed = self.closed or tag in SILENT or (named and (tag in MAIN or marked(names, COMMENTS)))
+        opens = tag in MAIN and self.silent and not closed
+        # Inside an article a silent part stays silent, whatever it holds.
+        closed = closed or (named and (self.main or tag in MAIN))
+        silent = closed or named or (self.silent and not opens)
         if silent != self.silent:
             self.flush()
-        self.open.append((tag, silent, self.main or tag in MAIN))
-        self.silent, self.main = self.open[-1][1:]
+        self.open.append((tag, silent, self.main or tag in MAIN, self.below or opens, closed))
+        self.silent, self.main, self.below, self.closed = self.open[-1][1:]
 
     def _imply(self, tag: str) -> None:
         """End an open paragraph, or an open item before the next."""
@@ -161,7 +187,9 @@ def blocks(html: str | None) -> list[tuple[str, bool]]:
     parser.feed(html or "")
     parser.close()
     parser.flush()
-    return parser.found
+    # Articles below silent names, such as teasers in a sidebar, only count where the page has no other.
+    other = any(main and not below for _, main, below in parser.found)
+    return [(text, main) for text, main, below in parser.found if not (below and other)]
 
 
 def _sequence(streams: list[list[str]]) -> tuple[dict[str, int], list[np.ndarray], np.ndarray, np.ndarray]:
@@ -388,12 +416,22 @@ def shard_texts(
     return _chosen(pages, *covered)
 
 
+def _squeeze(text: str) -> bytes:
+    data = text.encode("utf-8", "surrogatepass")
+    return len(data).to_bytes(8) + pa.Codec("zstd", compression_level=6).compress(data, asbytes=True)
+
+
+def _unsqueeze(packed: bytes) -> str:
+    size = int.from_bytes(packed[:8])
+    return pa.decompress(packed[8:], decompressed_size=size, codec="zstd", asbytes=True).decode("utf-8", "surrogatepass")
+
+
 def _to_bytes(page: list[tuple[str, bool]]) -> bytes:
-    return zlib.compress("\n".join(f"{int(main)}{text}" for text, main in page).encode("utf-8", "surrogatepass"), 1)
+    return _squeeze("\n".join(f"{int(main)}{text}" for text, main in page))
 
 
 def _from_bytes(packed: bytes) -> list[tuple[str, bool]]:
-    text = zlib.decompress(packed).decode("utf-8", "surrogatepass")
+    text = _unsqueeze(packed)
     return [(block[1:], block[0] == "1") for block in text.split("\n")] if text else []
 
 
@@ -421,11 +459,11 @@ def main_text(pages: DataFrame, shard_pages: int = SHARD_PAGES, run: int = RUN,
         "html-blocks", "large",
     )
     whole, large = placed.filter("large = 0"), placed.filter("large = 1")
-    kind = "text string, n_chars long, n_repeated long"
+    kind = "n_chars long, n_repeated long"
 
-    def result(table: pa.Table, texts: list[tuple[str, int]], kept: list[str]) -> pa.Table:
+    def result(table: pa.Table, texts: list[tuple[str, int]], kept: list[str], packed: bool) -> pa.Table:
         columns = [
-            pa.array([t for t, _ in texts], pa.string()),
+            pa.array([_squeeze(t) if packed else t for t, _ in texts], pa.binary() if packed else pa.string()),
             pa.array([len(t) for t, _ in texts], pa.int64()), pa.array([n for _, n in texts], pa.int64()),
         ]
         return pa.table([*(table[name] for name in kept), *columns], names=[*kept, "text", "n_chars", "n_repeated"])
@@ -433,10 +471,10 @@ def main_text(pages: DataFrame, shard_pages: int = SHARD_PAGES, run: int = RUN,
     def one_host(table: pa.Table) -> pa.Table:
         found = [_from_bytes(b) for b in table["blocks"].to_pylist()]
         sketches = list(zip(*(table[name].to_pylist() for name in ("t1", "t2", *keys)), strict=True))
-        return result(table, page_texts(found, run, sketches), ["page_id", "url"])
+        return result(table, page_texts(found, run, sketches), ["page_id", "url"], False)
 
     small = whole.select("page_id", "url", "blocks", "t1", "t2", *keys, "host").groupBy("host").applyInArrow(
-        one_host, f"page_id long, url string, {kind}"
+        one_host, f"page_id long, url string, text string, {kind}"
     )
 
     # Larger hosts: distinct texts in shards, whose passages meet by parts of their hashes.
@@ -489,13 +527,18 @@ def main_text(pages: DataFrame, shard_pages: int = SHARD_PAGES, run: int = RUN,
     def finish(table: pa.Table, found: pa.Table) -> pa.Table:
         own = [_from_bytes(b) for b in table["blocks"].to_pylist()]
         bits = {k: (a, b) for k, a, b in zip(*(found[name].to_pylist() for name in ("part", "several", "often")), strict=True)}
-        if not own:
-            return result(table, [], ident)
-        return result(table, shard_texts(own, table["parts"][0].as_py(), bits, run), ident)
+        texts = shard_texts(own, table["parts"][0].as_py(), bits, run) if own else []
+        return result(table, texts, ident, True)
 
     by_text = sharded.groupBy("host", "shard").cogroup(merged.groupBy("host", "shard")).applyInArrow(
-        finish, f"host string, t1 long, t2 long, {kind}"
+        finish, f"host string, t1 long, t2 long, text binary, {kind}"
     )
+
+    def unpack(rows: pa.RecordBatch) -> pa.RecordBatch:
+        texts = pa.array([_unsqueeze(b) for b in rows.column(2).to_pylist()], pa.string())
+        return pa.RecordBatch.from_arrays([*rows.columns[:2], texts, *rows.columns[3:]], rows.schema.names)
+
     # A text's copies are joined to it; adaptive execution splits a text of many copies.
     out = large.select("page_id", "url", *ident).join(by_text, ident)
-    return small.unionByName(out.select("page_id", "url", "text", "n_chars", "n_repeated"))
+    out = by_batch(out.select("page_id", "url", "text", "n_chars", "n_repeated"), unpack, small.schema)
+    return small.unionByName(out)

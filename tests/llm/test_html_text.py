@@ -19,6 +19,26 @@ def test_markup():
     assert H.blocks("no markup  at\nall") == [("no markup at all", False)]
 
 
+def test_names_that_only_hold_a_marked_word_keep_the_text():
+    article = "<article><p>main text</p><div class='{}'>a paragraph</div></article>"
+    wrappers = ("layout has-sidebar", "no-comments", "with-nav", "menu-open", "site-search-enabled", "sidebar", "page-header")
+    for name in wrappers:
+        for attr in ("class", "id"):
+            page = f"<div {attr}='{name}'><nav>x</nav><p>around</p>{article.format('share-price')}<p>after</p></div>"
+            assert H.page_texts([H.blocks(page)])[0][0] == "main text\n\na paragraph", name
+    for name in ("share-price", "social-science", "header-free", "adventure"):
+        assert H.page_texts([H.blocks(article.format(name))])[0][0] == "main text\n\na paragraph", name
+    for name in ("x cookie-notice", "sidebar", "ad", "ad-slot-1", "main-nav", "share-buttons", "related_posts", "site__footer"):
+        assert H.page_texts([H.blocks(article.format(name))])[0][0] == "main text", name
+        assert H.blocks(f"<div class='{name}'>x</div>") == [], name
+    # What is listed stays out: by tag, other articles' teasers, readers' comments.
+    for around in ("<aside>{}</aside>", "<div id=comments>{}</div>", "<div class=related>{}</div>"):
+        page = article.format("x") + around.format("<article>another</article>")
+        assert H.page_texts([H.blocks(page)])[0][0] == "main text\n\na paragraph", around
+    assert H.blocks("<div id=comments><article>a reader</article></div><p>text</p>") == [("text", False)]
+    assert H.blocks("<main><div class=related><article>x</article></div><p>text</p></main>") == [("text", True)]
+
+
 def brute(streams, run):
     """A token is covered if a window over it occurs in a stream that differs."""
     seen = {}
