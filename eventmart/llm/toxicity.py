@@ -14,15 +14,17 @@ A document's score is a logistic function of the logarithm of its expected
 number of toxic words, fitted on the same rows; its spans are the runs of words
 with a marginal of at least one half, as code point offsets, end exclusive.
 
-Model and labelled words come from a sample of at most SAMPLE labelled rows of
-each class, taken by the hash of doc_id; texts of over SAMPLE_CHARS are left out
-of it, and equal texts count once. The sample and the model, whose features are hashed to a fixed number, are all that the driver
+Model and labelled words come from a sample of at most SAMPLE labelled texts of
+each class, taken whole in the order of the hash of doc_id until they have
+SAMPLE_CHARS together; equal texts count once. Only a text of over SAMPLE_CHARS by
+itself can't be drawn. The sample and the model, whose features are hashed to a fixed number, are all that the driver
 holds. Scoring reads whole texts in place, without a shuffle.
 
 Cases: a null or empty text has no words and the lowest score. Rows with a null
 doc_id are scored, never learned from and never held out. Labels without a
 document, null labels and doc_ids that are labelled both ways are left out. Where
-the sample lacks a class, every score is next to 0 (to 1 if all are toxic). Rows that
+no text is labelled with a class, every score is next to 0 (to 1 if all are toxic);
+where texts are, but none of them is in the sample, that is an error. Rows that
 repeat are scored as often. Other columns are ignored by ``scores`` and handed
 through by ``without_toxic``.
 """
@@ -32,17 +34,17 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.tables import by_batch, utf8
+from eventmart.llm.tables import by_batch, stored, utf8
 
 SAMPLE = 600
-SAMPLE_CHARS = 20_000
+SAMPLE_CHARS = 4_000_000  # of each class; the text that reaches it is still taken
 PREFIXES = (3, 4, 5, 6)
 FEATURES = 2**20
 THRESHOLD = 0.3
@@ -279,29 +281,43 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(slope), float(beta[1] - slope * center)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learn from labelled rows that are not held out, ``sample`` of each class at most."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Model:
+    """Learn from labelled texts that are not held out, of each class ``sample`` and about ``sample_chars`` at most."""
     learnable = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
         .filter(F.col("toxic").isNotNull() & (F.crc32(F.col("doc_id").cast("string")) % FOLDS != HELD_OUT))
         .groupBy("doc_id").agg(F.min("toxic").alias("low"), F.max("toxic").alias("high"))
         .filter("low = high").select("doc_id", (F.col("low") > 0).alias("toxic"))
     )
-    counts = defaultdict(int, {row.toxic: row.n for row in learnable.groupBy("toxic").agg(F.count("*").alias("n")).collect()})
-    order = F.xxhash64("doc_id")
-    chosen = learnable.filter("toxic").orderBy(order, "doc_id").limit(sample).unionByName(
-        learnable.filter("NOT toxic").orderBy(order, "doc_id").limit(sample)
-    )
-    # The sample has a fixed size, so it is broadcast, and its texts are all that comes to the driver.
-    rows = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.length("text") <= SAMPLE_CHARS)
-        .join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "text"]).toArrow()
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    hashed = named.withColumn("hash", F.xxhash64("text"))
+    # Lengths are known before the draw, so what is drawn is what is used.
+    eligible = stored(
+        hashed.groupBy("doc_id", "hash").agg(F.max(F.length("text")).alias("chars")).join(learnable, "doc_id"),
+        "toxicity-labelled", narrow=True,
     )
+    counts = Counter({row.toxic: row.n for row in eligible.groupBy("toxic").agg(F.count("*").alias("n")).collect()})
+    chosen = []
+    for toxic in counts:
+        drawn = eligible.filter((F.col("toxic") == toxic) & (F.col("chars") <= sample_chars))
+        total = 0
+        for row in drawn.orderBy(F.xxhash64("doc_id"), "doc_id", "hash").limit(sample).collect():
+            if total >= sample_chars:
+                break
+            total += row.chars
+            chosen.append((row.doc_id, row.hash, toxic))
+    # The sample has a bounded size, so it is broadcast, and its texts are all that comes to the driver.
+    few = docs.sparkSession.createDataFrame(chosen, "doc_id long, hash long, toxic boolean")
+    rows = hashed.join(F.broadcast(few), ["doc_id", "hash"]).dropDuplicates(["doc_id", "text"]).toArrow()
     by_text: dict[bytes, bool] = {}
     both = sorted(zip(rows["doc_id"].to_pylist(), utf8(rows["text"].combine_chunks()), rows["toxic"].to_pylist(), strict=True))
     for _, text, label in both:
         by_text.setdefault(text, label)
-    ratio = (counts[False] / max(1, min(sample, counts[False]))) / (counts[True] / max(1, min(sample, counts[True])) or 1.0)
+    used = Counter(by_text.values())
+    for toxic in counts:
+        if not used[toxic]:
+            raise ValueError(f"{counts[toxic]} texts are labelled {'toxic' if toxic else 'clean'}, but the sample has none of them")
+    ratio = (counts[False] / max(1, used[False])) / (counts[True] / max(1, used[True]) or 1.0)
     return learn(list(by_text), list(by_text.values()), ratio)
 
 

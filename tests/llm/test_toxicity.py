@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from eventmart.llm import toxicity as T
@@ -107,3 +108,19 @@ def test_missing_classes_and_empty_tables(spark):
     for given in (labels, labels.limit(0)):
         assert all(r.score < 1e-9 for r in T.scores(docs, T.train(docs, given)).collect())
     assert T.without_toxic(docs.limit(0), labels).count() == 0
+
+
+def test_long_texts_are_drawn_whole(spark):
+    rows = [(k, f"{text} {'word1 word2 ' * 1700}{text}" if k % 4 else text, toxic) for k, text, toxic in corpus(120)]
+    rows = [(k, text * 2 if toxic and not k % 4 and len(text) < 20_000 else text, toxic) for k, text, toxic in rows]
+    rows = [(k, f"{text} {'word3 ' * 3400}" if toxic else text, toxic) for k, text, toxic in rows]
+    assert all(len(text) > 20_000 for _, text, toxic in rows if toxic)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = T.train(docs, labels)
+    found = {r.doc_id: r.predicted for r in T.scores(docs, model).collect()}
+    assert sum(found[k] != toxic for k, _, toxic in rows) <= 2
+    # Few long texts reach the budget, but none is cut or left out for its length.
+    assert T.train(docs, labels, sample_chars=60_000).weights
+    with pytest.raises(ValueError, match="labelled toxic"):
+        T.train(docs, labels, sample_chars=10_000)
