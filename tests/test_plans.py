@@ -82,6 +82,18 @@ def test_newest_rows_read_only_the_newest_loads(spark, tmp_path, report):
     assert any("load" in f and "IN (4,3)" in f.replace("load#", "load") or "IN (3,4)" in f for f in filters), filters
 
 
+@pytest.mark.parametrize("report,good", [(reports.newest_facts, True), (reports.newest_dead_letters, False)])
+def test_more_newest_rows_than_a_commit_remembers(spark, tmp_path, report, good):
+    mart = Mart(spark, str(tmp_path / "mart"))
+    for batch in range(3):
+        texts = [("k", payload(event_id=f"E{batch}{i:02}", price=5 * good)) for i in range(60)]
+        frame = spark.createDataFrame(texts, "key string, value string").withColumn("timestamp", F.current_timestamp())
+        load_batch(mart, parse_events(frame), batch, options=LoadOptions(attempts=1))
+    whole = [f"E{batch}{i:02}" for batch in (2, 1, 0) for i in range(60)]
+    for limit in (100, 130, 150, 500):
+        assert [r.event_id for r in report(mart, limit).collect()] == whole[:limit]
+
+
 def test_key_lookup_reads_the_batch_and_no_dimension(spark, tmp_path, monkeypatch):
     """Known and new members alike come out of the merge with their keys."""
     from eventmart.plans import load as load_module
