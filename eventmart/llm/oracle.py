@@ -179,6 +179,66 @@ FROM doc LEFT JOIN base USING (r)
 """
 
 
+OP12 = """
+WITH e AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pair AS (
+    SELECT a.r AS anchor, a.vec_id AS anchor_id, c.r, c.vec_id, a.label = c.label AS same,
+           CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+    FROM e AS a JOIN e AS c ON a.r <> c.r WHERE a.vec_id % 100 = 0
+), positive AS (
+    SELECT anchor, anchor_id, r AS positive, vec_id AS positive_id, score AS positive_score FROM pair WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, r) <= 5
+), ranked AS (
+    SELECT p.*, n.vec_id AS negative_id, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY n.score DESC, n.vec_id NULLS LAST, n.r) AS rank
+    FROM positive AS p JOIN pair AS n ON n.anchor = p.anchor AND NOT n.same
+     AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 10
+"""
+
+OP13 = rf"""
+WITH piece AS (
+    SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (SELECT coalesce(lang, 'und') AS lang,
+                 unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents)
+), total AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang
+), place AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM piece
+), phrase AS (
+    SELECT lang, k, words, count(*) AS f
+    FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS words FROM place, range(1, 6) AS size(k) WHERE i + k - 1 <= len(w))
+    GROUP BY lang, k, words HAVING count(*) >= 100
+), inner_ AS (
+    SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS words, max(f) AS longer
+    FROM (SELECT lang, string_split(words, ' ') AS w, k AS size, f FROM phrase WHERE k > 2),
+         range(1, 5) AS start(i), range(2, 5) AS length(k)
+    WHERE k < size AND i + k - 1 <= size GROUP BY ALL
+), cut AS (
+    SELECT c.lang, c.words, c.k AS size, c.f AS a, i,
+           array_to_string(string_split(c.words, ' ')[:i], ' ') AS head, array_to_string(string_split(c.words, ' ')[i + 1:], ' ') AS tail
+    FROM phrase AS c LEFT JOIN inner_ AS b USING (lang, words), range(1, 5) AS spot(i)
+    WHERE c.k > 1 AND i < c.k AND (longer IS NULL OR 100 * longer < 100 * c.f)
+), scored AS (
+    SELECT cut.lang, cut.words AS phrase, a, x.f AS l, y.f AS r, n,
+           (1000 * CAST(a AS HUGEINT) * n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+    FROM cut JOIN phrase AS x ON x.lang = cut.lang AND x.words = head JOIN phrase AS y ON y.lang = cut.lang AND y.words = tail
+    JOIN total ON total.lang = cut.lang
+    QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.words ORDER BY score, i) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       CAST(score AS BIGINT) AS score
+FROM scored QUALIFY rank <= 2000
+"""
+
 ORACLE_SQL = {
     "op1_decontamination": OP1,
     "op3_mixing": OP3,
@@ -186,4 +246,6 @@ ORACLE_SQL = {
     "op6_chat_format": OP6,
     "op7_exact_dedup": OP7,
     "op10_line_dedup": OP10,
+    "op12_hard_negatives": OP12,
+    "op13_phrases": OP13,
 }

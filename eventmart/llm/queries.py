@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import chat, decontaminate, exact_dedup, html_text, line_dedup, mixing, secret_scan, simhash
-from eventmart.llm import token_counts, toxicity
+from eventmart.llm import chat, decontaminate, exact_dedup, hard_negatives, html_text, line_dedup, mixing, phrases
+from eventmart.llm import quality, secret_scan, simhash, token_counts, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -87,6 +87,21 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = quality.scores(docs, quality.train(docs, table(spark, folder, "labels")))
+    held = F.coalesce(quality.fold(F.col("doc_id")) == quality.HELD_OUT, F.lit(False))
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -97,6 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_toxicity, op3_mixing, op4_token_counts, op5_secret_scan, op6_chat_format,
-        op7_exact_dedup, op8_html_text, op9_simhash, op10_line_dedup, pipeline,
+        op7_exact_dedup, op8_html_text, op9_simhash, op10_line_dedup, op11_quality, op12_hard_negatives, op13_phrases, pipeline,
     )
 }

@@ -1,0 +1,119 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from eventmart.llm import quality as Q
+from eventmart.llm.queries import op11_quality
+
+LABELS = "doc_id long, quality int, toxic int, good string"
+
+
+def examples(n, seed=1):
+    rng = random.Random(seed)
+    syllables = ["ta", "ri", "no", "sel", "um", "ke", "dra"]
+    out = []
+    for k in range(n):
+        words = ["".join(rng.choices(syllables, k=rng.randint(1, 3))) for _ in range(rng.randint(20, 80))]
+        good = k % 4 > 0
+        text = " ".join(words)
+        if not good:
+            text = [text.replace(" ", "!! "), text.replace(" ", " | "), " ".join(w for w in words for _ in range(4)), text.upper()][k // 4 % 4]
+        out.append((text, int(good)))
+    return out
+
+
+def test_indicators():
+    assert not len(Q.indicators(None)) and not len(Q.indicators(b"")) and len(Q.indicators(b"a")) == 1
+    assert len(Q.indicators(b"abc")) == 6  # three letters, two pairs, one triple
+    assert set(Q.indicators(b"abc")) <= set(Q.indicators(b"xxabcxx"))
+    assert {Q.FEATURES, Q.FEATURES + 1} == {f for f in Q.indicators(b"one two two two three") if f >= Q.FEATURES}
+
+
+def test_pieces_of_a_long_text_change_nothing(monkeypatch):
+    text = " ".join(t for t, _ in examples(40)).encode()
+    whole = Q.indicators(text)
+    monkeypatch.setattr(Q, "PIECE", 100)
+    assert (Q.indicators(text) == whole).all()
+
+
+def test_descent_reaches_the_optimum(monkeypatch):
+    """The dual and the primal objective of the hinge loss meet only at the optimum."""
+    monkeypatch.setattr(Q, "EPOCHS", 400)
+    rng = np.random.default_rng(2)
+    rows = [np.sort(rng.choice(30, 8, replace=False)) for _ in range(60)]
+    values = [rng.normal(size=8) for _ in rows]
+    good = np.array([v[r < 15].sum() + 0.3 * rng.normal() > 0 for r, v in zip(rows, values)])
+    cost = np.where(good, 0.5, 2.0)
+    weights, bias = Q.descend(rows, values, good, cost)
+    sign = np.where(good, 1.0, -1.0)
+    loss = np.maximum(0, 1 - sign * np.array([weights[r] @ v + bias for r, v in zip(rows, values)]))
+    primal = 0.5 * (weights @ weights + bias**2) + cost @ loss
+    # Any other point is worse.
+    for _ in range(200):
+        w, b = weights + 0.01 * rng.normal(size=len(weights)) * (np.arange(len(weights)) < 30), bias + 0.01 * rng.normal()
+        other = np.maximum(0, 1 - sign * np.array([w[r] @ v + b for r, v in zip(rows, values)]))
+        assert 0.5 * (w @ w + b**2) + cost @ other >= primal - 1e-6
+
+
+def test_log_count_ratios():
+    rows = [np.array([0, 1]), np.array([1, 2]), np.array([2, 3])]
+    ratio = Q.log_count_ratios(rows, np.array([True, True, False]), np.ones(3))
+    counts = np.array([[1, 1, 2, 2], [2, 3, 2, 1]], float)
+    rest = Q.FEATURES + len(Q.REPEATS) - 4
+    expected = np.log(counts[1] / (counts[1].sum() + rest)) - np.log(counts[0] / (counts[0].sum() + rest))
+    assert np.allclose(ratio[:4], expected) and not ratio[4:].any()
+
+
+def test_held_out_accuracy_of_the_query(spark, sf):
+    """The given labels; documents held out are never learned from."""
+    found = {r.doc_id: r for r in op11_quality(spark, sf).collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert len(found) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= r.score <= 1 for i, r in found.items())
+    assert all(r.predicted == (r.score >= 0.5) for r in found.values())
+    held = [(found[i].predicted, q) for i, q in labels.items() if i in found and found[i].held_out]
+    assert sum(p == q for p, q in held) >= 0.85 * len(held)
+
+
+def test_model_generalises():
+    texts, labels = zip(*examples(300))
+    model = Q.learn([t.encode() for t in texts], [bool(x) for x in labels])
+    others = examples(200, seed=9)
+    scores = model.score([t.encode() for t, _ in others])
+    assert np.mean((scores >= 0.5) == np.array([x for _, x in others], bool)) > 0.97
+    assert 0 <= model.score([None, b""])[0] <= 1 and model.score([None])[0] == model.score([b""])[0]
+
+
+@pytest.mark.parametrize(
+    "labelled,expected", [([], 0.5), ([(0, 1)], 1.0), ([(0, 0), (3, 0)], 0.0), ([(0, None)], 0.5), ([(77, 1)], 0.5)]
+)
+def test_missing_classes(spark, docs, labelled, expected):
+    labels = spark.createDataFrame([(*row, 0, "x") for row in labelled], LABELS)
+    frame = docs("one", "two", None, "three", extra=("score", "hash", "good"))
+    assert {round(r.score, 6) for r in Q.scores(frame, Q.train(frame, labels)).collect()} == {expected}
+
+
+def test_contradictions_copies_and_long_texts(spark, docs):
+    """A text labelled both ways counts for both; copies once; a class of one over-long text is still drawn; null ids are scored."""
+    bad = "!! " * 40_000
+    rows = [(k, "the same text") for k in range(12)] + [(50 + k, bad) for k in range(9)] + [(None, bad), (None, None), (70, "")]
+    frame = docs(*rows, extra=("chars",))
+    labels = spark.createDataFrame(
+        [(k, k % 2, 0, "") for k in range(12)] + [(50 + k, 0, 0, "") for k in range(9)] + [(3, None, 0, ""), (None, 1, 0, "")], LABELS
+    )
+    found = Q.scores(frame, Q.train(frame, labels, sample_chars=1_000)).collect()
+    assert len(found) == len(rows) and all(0 <= r.score <= 1 for r in found)
+    assert {r.predicted for r in found if r.doc_id is not None and 50 <= r.doc_id < 60} == {0}
+    same = docs("twin", "twin", "twin", "twin", "twin", "twin")
+    both = spark.createDataFrame([(k, k % 2, 0, "") for k in range(6)], LABELS)
+    assert same.count() == Q.scores(same, Q.train(same, both)).filter(F.col("score").between(0, 1)).count()
+    blank = docs("", None, "", None)
+    assert Q.scores(blank, Q.train(blank, both)).count() == 4
+
+
+def test_empty_table(spark, docs):
+    empty = docs("a").limit(0)
+    assert Q.scores(empty, Q.train(empty, spark.createDataFrame([], LABELS))).count() == 0
