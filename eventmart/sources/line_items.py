@@ -19,11 +19,11 @@ SECONDS = 126_230_400  # four years
 FIRST_ARRIVAL = 1_790_000_000
 ARRIVAL_SECONDS = 1_000_000
 
-# --- fixed values ------------------------------------------------------------
-PAYMENT_METHODS = ("credit_card", "debit_card", "paypal", "cash", "wallet")
-DEVICES = ("desktop", "mobile", "tablet")
-BROWSERS = ("Chrome", "Edge", "Firefox", "Safari", "Opera")
-GENDERS = ("Female", "Male", "Non-binary")
+# Texts of columns that no rule, constraint or report asks for particular values of.
+PAYMENT_METHODS = ("invoice", "bank_transfer", "gift_card", "store_credit")
+DEVICES = ("phone", "laptop", "kiosk", "television", "watch", "console")
+BROWSERS = ("Lynx", "Vivaldi", "Brave", "Konqueror")
+GENDERS = ("W", "M", "D")
 
 
 def pick(values: tuple[str, ...], number: Column) -> Column:
@@ -36,10 +36,19 @@ def every(step: int, rest: int) -> Column:
     return F.col("h") % step == rest
 
 
-def event_type_of(share: Column) -> Column:
+def event_type_of(flag: Column, line: Column, order: Column) -> Column:
+    """What a line item stands for, from its return flag and its place in the order.
+
+    Items sent back are returns on an order's first line and reviews on its second.
+    Any other item on a first line was bought, and one on a second line reached the
+    checkout; of the further lines every third order put them into the cart, and the
+    rest was only looked at.
+    """
+    back = flag == "R"
     return (
-        F.when(share < 43, "product_view").when(share < 64, "add_to_cart").when(share < 75, "checkout")
-        .when(share < 89, "purchase").when(share < 93, "return").otherwise("review")
+        F.when(back & (line == 1), "return").when(back & (line == 2), "review")
+        .when(line == 1, "purchase").when(line == 2, "checkout")
+        .when(order % 3 == 0, "add_to_cart").otherwise("product_view")
     )
 
 
@@ -63,7 +72,7 @@ def _joined(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     return (
-        _spread(read("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount"))
+        _spread(read("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag"))
         .join(read("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -86,7 +95,7 @@ def raw_events(spark: SparkSession, folder: str, copies: bool = False) -> DataFr
     rows = rows.withColumn("copy", F.explode(twice) if copies else F.lit(0))
     changed = (F.col("copy") == 1) & (h % 50 == 25)
 
-    typed = rows.withColumn("kind", event_type_of(h % 100))
+    typed = rows.withColumn("kind", event_type_of(F.col("l_returnflag"), F.col("l_linenumber"), F.col("l_orderkey")))
     kind = F.col("kind")
     moment = F.timestamp_seconds(F.lit(FIRST_SECOND) + (h * 7919) % SECONDS)
     iso = F.concat(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
@@ -124,7 +133,7 @@ def raw_events(spark: SparkSession, folder: str, copies: bool = False) -> DataFr
         "device_type": pick(DEVICES, h),
         "browser": pick(BROWSERS, h),
         "session_id": F.concat(F.lit("SES-"), h % 1_000_003),
-        "marketing_channel": pick(CHANNELS, F.col("l_linenumber")),
+        "marketing_channel": pick(CHANNELS, F.col("l_suppkey")),
     }
     arrival = F.timestamp_seconds(
         F.lit(FIRST_ARRIVAL) + (h * 37) % ARRIVAL_SECONDS + F.col("l_quantity").cast("bigint") + F.col("copy") * 3600
