@@ -4,6 +4,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,8 +81,10 @@ def halves(spark: SparkSession, folder: str) -> Mart:
     """Two batches that overlap."""
 
     def load(mart: Mart) -> None:
-        load_batch(mart, first_half(spark, folder), 0)
-        load_batch(mart, second_half(spark, folder), 1)
+        # Ids of the first make a run of the index already.
+        options = LoadOptions(run_rows=1_000)
+        load_batch(mart, first_half(spark, folder), 0, options=options)
+        load_batch(mart, second_half(spark, folder), 1, options=options)
 
     return _once("halves", spark, folder, load)
 
@@ -109,23 +112,58 @@ def two_sources(spark: SparkSession, folder: str) -> Mart:
     return _once("two_sources", spark, folder, load)
 
 
-def streamed(spark: SparkSession, folder: str) -> Mart:
-    """Everything, as a stream of files.
+def _inbox(spark: SparkSession, folder: str) -> DataFrame:
+    """All messages as a stream of files.
 
     Files are written in the order messages arrive, and the stream takes them in
     the order they were written; so an original is loaded before its copies.
     """
+    sent, inbox = scratch(spark, "sent"), scratch(spark, "inbox")
+    line_items.messages(spark, folder, copies=True).write.parquet(sent)
+    messages = spark.read.parquet(sent)
+    second = F.unix_seconds("timestamp") - line_items.FIRST_ARRIVAL
+    step = line_items.ARRIVAL_SECONDS // STREAM_SLICES
+    part = F.least(F.floor(second / step), F.lit(STREAM_SLICES - 1))
+    for number in range(STREAM_SLICES):
+        messages.filter(part == number).hint("rebalance").write.mode("append").parquet(inbox)
+    return spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
+
+
+def streamed(spark: SparkSession, folder: str) -> Mart:
+    """Everything, as a stream of files."""
 
     def load(mart: Mart) -> None:
-        sent, inbox = scratch(spark, "sent"), scratch(spark, "inbox")
-        line_items.messages(spark, folder, copies=True).write.parquet(sent)
-        messages = spark.read.parquet(sent)
-        second = F.unix_seconds("timestamp") - line_items.FIRST_ARRIVAL
-        step = line_items.ARRIVAL_SECONDS // STREAM_SLICES
-        part = F.least(F.floor(second / step), F.lit(STREAM_SLICES - 1))
-        for number in range(STREAM_SLICES):
-            messages.filter(part == number).hint("rebalance").write.mode("append").parquet(inbox)
-        stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
-        ingest.run(stream, mart, scratch(spark, "checkpoint"), trigger=None)
+        ingest.run(_inbox(spark, folder), mart, scratch(spark, "checkpoint"), trigger=None)
 
     return _once("streamed", spark, folder, load)
+
+
+class Lost(RuntimeError):
+    """The failure that a restarted stream meets."""
+
+
+class FailingMart(Mart):
+    """Loses its second load once everything is written and before it is published."""
+
+    def publish(self, commit) -> None:
+        if commit.number == 2:
+            raise Lost("before publishing")
+        super().publish(commit)
+
+
+def restarted(spark: SparkSession, folder: str) -> Mart:
+    """The same stream, stopped by a failure in its second load and started again from its checkpoint."""
+
+    def load(mart: Mart) -> None:
+        stream, checkpoint = _inbox(spark, folder), scratch(spark, "checkpoint")
+        failing = FailingMart(spark, mart.root)
+        try:
+            ingest.run(stream, failing, checkpoint, trigger=None, options=LoadOptions(attempts=1))
+        except StreamingQueryException as error:
+            if "before publishing" not in str(error):
+                raise
+        else:
+            raise RuntimeError("the stream was meant to stop")
+        ingest.run(stream, mart, checkpoint, trigger=None)
+
+    return _once("restarted", spark, folder, load)

@@ -5,6 +5,7 @@ the same way in any engine. Load times are left out.
 """
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,10 @@ from eventmart.operators import merge
 from eventmart.operators.constraints import check_constraints, check_tables, duplicate_keys, orphans, row_rules
 from eventmart.operators.dedup import first_per_key, not_seen
 from eventmart.operators.keys import next_key
-from eventmart.operators.resolve import resolve_keys
+from eventmart.operators.resolve import lacks_member, resolve_keys
 from eventmart.plans import reports
-from eventmart.plans.load import incoming_members, load_batch
+from eventmart.plans.load import dead_letters as dead_letter_rows
+from eventmart.plans.load import fact_rows, incoming_members, load_batch
 from eventmart.session import configure
 from eventmart.sources import line_items
 from eventmart.sources.envelope import to_messages
@@ -258,6 +260,68 @@ def missing_members(spark, folder):
     )
 
 
+def facts_without_members(spark, folder):
+    """Facts per event type that a load would make if every third store were unknown; events of those stores make none."""
+    mart = marts.single(spark, folder)
+    tables = {d.table: mart.table(d.table) for d in merge.DIMENSIONS}
+    tables["dim_store"] = tables["dim_store"].filter("store_key % 3 <> 0")
+    kept = resolve_keys(_enriched(spark, folder), tables).filter(~lacks_member())
+    facts = fact_rows(kept, datetime.now(timezone.utc))
+    return plain(facts.groupBy("event_type").agg(F.count("*").alias("facts"), F.sum("revenue").alias("revenue")))
+
+
+def dead_letter_fallbacks(spark, folder):
+    """Dead letters of rejected events of which some have lost their reason and some their text."""
+    rejects = rejected(_checked(spark, folder))
+    rejects = rejects.withColumns(
+        {
+            "reject_reason": F.when(F.col("product_id").isNotNull(), F.col("reject_reason")),
+            "raw_json": F.when(F.col("store_id").isNotNull(), F.col("raw_json")),
+        }
+    )
+    letters = dead_letter_rows(rejects, 5, datetime.now(timezone.utc))
+    empty = F.col("raw_payload") == ""
+    return letters.groupBy("reject_reason", "batch_id").agg(F.count("*").alias("letters"), F.count_if(empty).alias("empty"))
+
+
+def range_violations(spark, folder):
+    """Every range of facts and dates that breaks once their values are moved out of it."""
+    mart = marts.single(spark, folder)
+    facts = mart.table("fact_sales").select(
+        (F.col("event_hour") + 20).alias("event_hour"), (F.col("rating") + 2).alias("rating"),
+        (F.col("final_price") - 1000).alias("final_price"), (F.col("quantity") - 5).alias("quantity"), (-F.col("discount")).alias("discount"),
+    )
+    dates = mart.table("dim_date").select(*[(F.col(c) + 1).alias(c) for c in ("quarter", "month", "week_number", "day_of_month")])
+    broken = [
+        check_constraints(frame, row_rules(table, columns=frame.columns)).select(F.lit(table).alias("table_name"), "rule", "violations")
+        for table, frame in (("fact_sales", facts), ("dim_date", dates))
+    ]
+    return broken[0].unionByName(broken[1]).filter("violations > 0")
+
+
+def length_violations(spark, folder):
+    """Texts of customers and products that are too long once they are repeated."""
+    mart, parts = marts.single(spark, folder), []
+    for table, columns in (("dim_customer", ("customer_name", "customer_country")), ("dim_product", ("product_name", "brand"))):
+        longer = mart.table(table).select(*[F.repeat(c, F.lit(9)).alias(c) for c in columns])
+        rules = [rule for rule in row_rules(table, lengths=True, columns=columns) if "long" in rule[0]]
+        parts.append(check_constraints(longer, rules).select(F.lit(table).alias("table_name"), "rule", "violations"))
+    return parts[0].unionByName(parts[1])
+
+
+def ingestion_times(spark, folder):
+    """Messages with a time of ingestion, and how many such times one reading has."""
+    read = marts.events(spark, folder)
+    return read.agg(F.count("ingestion_timestamp").alias("messages"), F.countDistinct("ingestion_timestamp").alias("moments"))
+
+
+def table_listing(spark, folder):
+    """Names of the stored tables, with the columns each has."""
+    mart = marts.single(spark, folder)
+    names = [row.table_name for row in mart.list_tables().collect()]
+    return spark.createDataFrame([(n, len(mart.table(n).columns)) for n in names], "table_name string, columns bigint")
+
+
 # --- loads --------------------------------------------------------------------
 
 
@@ -280,6 +344,16 @@ def stream_load(spark, folder):
     )
 
 
+def stream_restart(spark, folder):
+    """What the stream has loaded after it lost a load that was written and not published."""
+    mart = marts.restarted(spark, folder)
+    facts = mart.table("fact_sales").groupBy("event_type").agg(
+        F.count("*").alias("facts"), F.countDistinct("event_id").alias("events"), F.sum("revenue").alias("revenue")
+    )
+    dead = mart.table("dead_letter_events").agg(F.count("*").alias("dead_letters"))
+    return plain(facts.join(F.broadcast(dead)))
+
+
 def stream_dead_letters(spark, folder):
     return reports.rejection_summary(marts.streamed(spark, folder))
 
@@ -351,7 +425,14 @@ QUERIES: dict[str, Query] = {
     "repeated_ids": repeated_ids,
     "fk_orphans": fk_orphans,
     "missing_members": missing_members,
+    "facts_without_members": facts_without_members,
+    "dead_letter_fallbacks": dead_letter_fallbacks,
+    "range_violations": range_violations,
+    "length_violations": length_violations,
+    "ingestion_times": ingestion_times,
+    "table_listing": table_listing,
     "replay_is_noop": replay_is_noop,
+    "stream_restart": stream_restart,
     "stream_load": stream_load,
     "stream_dead_letters": stream_dead_letters,
     "load_counts": load_counts,

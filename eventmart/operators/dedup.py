@@ -18,15 +18,19 @@ def first_per_key(events: DataFrame, key: str = "event_id", order: Sequence[Colu
     return events.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_first")).select(key, "_first.*")
 
 
-def first_of_repeated(events: DataFrame, repeated: DataFrame, key: str = "event_id") -> DataFrame:
-    """:func:`first_per_key` where the few keys that occur more than once are known.
+def later_copies(
+    rows: DataFrame, repeated: DataFrame, key: str = "event_id", arrival: str = "kafka_timestamp", row: str = "row", tie: str = "hash"
+) -> DataFrame:
+    """The numbers of the rows that another one of the same key precedes.
 
-    ``repeated`` is broadcast; its size must have been checked. All other rows
-    stay where they are, so only copies are shuffled.
+    First is the earliest to arrive, then the least ``tie``, a hash of the whole row, then
+    the least number. ``repeated`` holds the keys that occur more than once; only four
+    columns of their rows are shuffled, and never a whole row.
     """
-    repeated = F.broadcast(repeated.select(key))
-    once = events.join(repeated, key, "left_anti")
-    return once.unionByName(first_per_key(events.join(repeated, key, "left_semi")))
+    copies = rows.select(key, F.struct(F.col(arrival).alias("at"), F.col(tie).alias("tie"), F.col(row).alias("row")).alias("place"))
+    copies = copies.join(repeated.select(key), key)
+    first = copies.groupBy(key).agg(F.min("place").alias("first"))
+    return copies.join(first, key).filter("place.row <> first.row").select("place.row")
 
 
 def last_per_key(

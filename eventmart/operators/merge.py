@@ -1,8 +1,8 @@
 """Dimension merge: overwrite changed attributes, add new members.
 
-Parquet has no update in place, so a merge finds the rows that are new or
-changed and, where there are any, writes a new snapshot of the dimension. The
-snapshot itself is never shuffled when the changes are small.
+Parquet has no update in place, so a merge finds the members that are new or
+changed and writes the buckets they lie in anew. Members of other buckets are neither
+rewritten nor moved.
 """
 
 from collections.abc import Sequence
@@ -28,6 +28,10 @@ class Dimension:
     attributes: tuple[str, ...] = ()
     renamed: tuple[tuple[str, str], ...] = ()  # (event column, dimension column)
     tracked: bool = False  # has created_at and updated_at, and attributes may change
+    buckets: int = 1  # by the hash of the id; at most 62, so that a set of them is a whole number
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(F.col(self.id).cast("string")), F.lit(self.buckets)).cast("int")
 
     @property
     def columns(self) -> list[str]:
@@ -36,15 +40,15 @@ class Dimension:
 
 
 CUSTOMER = Dimension(
-    "dim_customer", "customer_id", "customer_key", tracked=True,
+    "dim_customer", "customer_id", "customer_key", tracked=True, buckets=32,
     attributes=("customer_name", "customer_age", "customer_gender", "customer_country", "customer_city"),
 )
 PRODUCT = Dimension(
-    "dim_product", "product_id", "product_key", tracked=True,
+    "dim_product", "product_id", "product_key", tracked=True, buckets=32,
     attributes=("product_name", "product_category", "brand", "supplier"),
 )
 STORE = Dimension(
-    "dim_store", "store_id", "store_key", tracked=True,
+    "dim_store", "store_id", "store_key", tracked=True, buckets=8,
     attributes=("store_name", "store_country", "store_city"),
 )
 CHANNEL = Dimension("dim_channel", "marketing_channel", "channel_key", "int")
@@ -106,6 +110,6 @@ def resolved_rows(classified: DataFrame, dim: Dimension, now: datetime, keep_kno
 
 
 def apply_changes(current: DataFrame, changes: DataFrame, dim: Dimension) -> DataFrame:
-    """The next snapshot: untouched rows as they are, and the changes."""
+    """The next state of the buckets that ``current`` holds: untouched rows as they are, and the changes."""
     untouched = current.join(changes.filter(~F.col("is_new")).select(dim.id), dim.id, "left_anti")
     return untouched.select(*dim.columns).unionByName(changes.select(*dim.columns))

@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.operators.merge import DIMENSIONS
@@ -31,3 +31,8 @@ def resolve_keys(events: DataFrame, dimensions: Mapping[str, DataFrame]) -> Data
             lookup = table.select(dim.id, F.lit(True).alias(f"_{dim.id}_found"))
         events = events.join(lookup, dim.id, "left")
     return events.withColumn("date_key", F.when(F.col("_date_key_found"), F.col("date_key"))).drop("_date_key_found")
+
+
+def lacks_member() -> Column:
+    """True for a resolved event without a member in some dimension; no fact is made of it."""
+    return F.greatest(*[F.col(d.key or d.id).isNull() for d in DIMENSIONS])

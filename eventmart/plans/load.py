@@ -19,8 +19,9 @@ from eventmart.functions.rules import Rule, event_rules, validate
 from eventmart.mart import Commit, Mart
 from eventmart.operators import keys, merge
 from eventmart.operators.constraints import duplicate_keys, row_rules
-from eventmart.operators.dedup import first_of_repeated, first_per_key, last_per_key, not_seen
-from eventmart.operators.resolve import resolve_keys
+from eventmart.operators.dedup import last_per_key, later_copies
+from eventmart.operators.known_ids import FEW, RUN_ROWS, KnownIds
+from eventmart.operators.resolve import lacks_member, resolve_keys
 
 log = logging.getLogger(__name__)
 
@@ -29,6 +30,12 @@ log = logging.getLogger(__name__)
 SMALL_ROWS = 1_000_000
 SMALL_BYTES = 64 * 1024 * 1024
 
+# Members of a batch up to this size are put in order by one task.
+SORT_ROWS = 50_000
+
+# A batch with fewer new facts writes few files instead of one for each task and event type.
+SHORT_ROWS = 50_000
+
 # Columns no stored table takes anything from.
 UNUSED = ("kafka_key", "ingestion_timestamp", "event_timestamp", "device_type", "browser")
 DERIVED_ONLY = ("event_timestamp_ts", "event_date", "kafka_timestamp")
@@ -48,6 +55,7 @@ class LoadOptions:
     check_lengths: bool = False
     domain: Domain = DOMAIN  # values that rules and constraints allow
     rules: tuple[Rule, ...] | None = None  # instead of the standard ones
+    run_rows: int = RUN_ROWS  # facts whose ids make a run of the index
     attempts: int = 3
     wait_seconds: float = 5.0
 
@@ -105,6 +113,8 @@ class _Load:
         self.batch_id, self.source = batch_id, source
         self.load = mart.claim(previous)
         self.snapshots = dict(previous.snapshots)
+        self.buckets = dict(previous.buckets)
+        self.runs, self.loose, self.replaced = previous.runs, previous.loose, []
         self.max_keys = dict(previous.max_keys)
 
     def run(self, events: DataFrame) -> LoadResult:
@@ -139,9 +149,11 @@ class _Load:
                 {**previous.applied, self.source: self.batch_id},
                 {k: v for k, v in vars(result).items() if k not in ("load", "replayed")},
                 [*previous.dead, *range(previous.load + 1, self.load)],
-                recent,
+                recent, self.buckets, self.runs, self.loose,
             )
         )
+        for number in self.replaced:
+            KnownIds(mart, previous).forget(number)
         mart.clear_staging(self.load)
         return result
 
@@ -149,12 +161,15 @@ class _Load:
         """Normalise and validate, once, into a table split by validity.
 
         Everything after reads this table, each step only its columns. It also
-        leaves the stream's own session, where adaptive execution is off.
+        leaves the stream's own session, where adaptive execution is off. Rows get a number
+        and a hash of their content, by which copies are told apart.
         """
         normal, options = normalize(events), self.options
         stored = self._row_rules(normal) if options.on_violation == "quarantine" else ()
         checked = validate(normal, options.rules or event_rules(options.domain), stored)
         checked = checked.withColumn("raw_json", F.when(~F.col("is_valid"), F.col("raw_json"))).drop(*UNUSED)
+        content = [c for c in checked.columns if c not in ("event_id", "raw_json", "reject_reason", "is_valid")]
+        checked = checked.withColumns({"hash": F.xxhash64(*content), "row": F.monotonically_increasing_id()})
         path = self.mart.staging(self.load, "events")
         checked.write.mode("overwrite").partitionBy("is_valid").parquet(path)
         return self.mart.spark.read.schema(checked.schema).parquet(path)
@@ -169,35 +184,45 @@ class _Load:
         self.snapshots[table] = self.load
 
     def _load_valid(self, events: DataFrame, result: LoadResult) -> LoadResult:
-        enriched = enrich(self._unique(events.drop("raw_json", "reject_reason", "is_valid"))).drop(*DERIVED_ONLY)
+        enriched = enrich(self._unique(events.drop("raw_json", "reject_reason", "is_valid"))).drop(*DERIVED_ONLY, "hash", "row")
         rules = self._row_rules(enriched)
         totals = {name: F.when(bad, 1) for name, bad in rules}
-        totals["id_bytes"] = F.octet_length("event_id")
+        for column in ("event_id", *(dim.id for dim in merge.DIMENSIONS)):
+            totals[f"{column}_bytes"] = F.octet_length(F.col(column).cast("string"))
         slotted = keys.write_slotted(enriched, self.mart.staging(self.load, "valid"), totals=totals)
         broken = [f"{name}: {slotted.totals[name]} rows" for name, _ in rules if slotted.totals[name]]
         if broken:
             raise ConstraintError("; ".join(broken))
-        small = slotted.count <= SMALL_ROWS and slotted.totals["id_bytes"] <= SMALL_BYTES
-        dimensions = self._merge_dimensions(slotted.rows, small)
-        inserted, missing_key = self._append_facts(slotted, dimensions, small)
+        dimensions = self._merge_dimensions(slotted)
+        inserted, missing_key = self._append_facts(slotted, dimensions)
         skipped = slotted.count - inserted - missing_key
         return replace(result, inserted=inserted, skipped=skipped, missing_key=missing_key)
 
+    def _small(self, slotted: keys.Slotted, column: str) -> bool:
+        """Whether the batch's values of an id column were measured to be few enough to broadcast."""
+        return slotted.count <= SMALL_ROWS and slotted.totals[f"{column}_bytes"] <= SMALL_BYTES
+
     def _unique(self, events: DataFrame) -> DataFrame:
         """One row per event id.
 
-        Ids that repeat are found first, from the id column alone. As long as
-        they are few, whole events are not shuffled at all, except the copies.
+        Ids that repeat are found first, from narrow columns. The numbers of the rows
+        to leave out are then broadcast while they are few, so whole events
+        stay where they are.
         """
-        path = self.mart.staging(self.load, "repeated")
+        spark, path = self.mart.spark, self.mart.staging(self.load, "repeated")
         duplicate_keys(events, "event_id").write.mode("overwrite").parquet(path)
-        repeated = self.mart.spark.read.schema("event_id STRING, copies BIGINT").parquet(path)
+        repeated = spark.read.schema("event_id STRING, copies BIGINT").parquet(path)
         size = repeated.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("event_id")), F.lit(0))).first()
         if not size[0]:
             return events
         if size[0] <= SMALL_ROWS and size[1] <= SMALL_BYTES:
-            return first_of_repeated(events, repeated)
-        return first_per_key(events)
+            repeated = F.broadcast(repeated)
+        path = self.mart.staging(self.load, "left_out")
+        later_copies(events, repeated).write.mode("overwrite").parquet(path)
+        left_out = spark.read.schema("row BIGINT").parquet(path)
+        if left_out.count() <= SMALL_ROWS:
+            left_out = F.broadcast(left_out)
+        return events.join(left_out, "row", "left_anti")
 
     def _row_rules(self, events: DataFrame) -> list[Rule]:
         """Constraints the stored tables put on the events of a batch."""
@@ -205,36 +230,54 @@ class _Load:
         rules = [r for table in tables for r in row_rules(table, self.options.check_lengths, events.columns, self.options.domain)]
         return list(dict(rules).items())
 
-    def _merge_dimensions(self, rows: DataFrame, small: bool) -> dict[str, DataFrame]:
+    def _merge_dimensions(self, slotted: keys.Slotted) -> dict[str, DataFrame]:
         """Merge the dimensions side by side, each a few small jobs; returns the batch's own members with their keys."""
         with ThreadPoolExecutor(len(merge.DIMENSIONS)) as pool:
-            merged = list(pool.map(lambda dim: self._merge(rows, dim, small), merge.DIMENSIONS))
+            merged = list(pool.map(lambda dim: self._merge(slotted, dim), merge.DIMENSIONS))
         return {dim.table: table for dim, table in zip(merge.DIMENSIONS, merged)}
 
-    def _merge(self, rows: DataFrame, dim: merge.Dimension, small: bool) -> DataFrame:
+    def _merge(self, slotted: keys.Slotted, dim: merge.Dimension) -> DataFrame:
         mart, options = self.mart, self.options
         current = mart.table(dim.table, self.previous)
-        incoming = incoming_members(rows, dim, options.keep_known)
+        incoming = incoming_members(slotted.rows, dim, options.keep_known)
         # Reading the batch once more to filter a snapshot only pays where the snapshot is large.
-        restrict = small and self.max_keys[dim.table] > SMALL_ROWS
+        restrict = self._small(slotted, dim.id) and self.max_keys[dim.table] > SMALL_ROWS
         classified = merge.classify(incoming, current, dim, options.always_update, options.keep_known, restrict)
         members = merge.resolved_rows(classified, dim, self.now, options.keep_known)
-        ordered = keys.order_for_keys(members, dim.id, first="is_new", small=small)
+        few = slotted.count <= SORT_ROWS
+        if not few:  # members of a long batch are counted before they are put in order
+            path = mart.staging(self.load, f"{dim.table}/members")
+            members.write.mode("overwrite").parquet(path)
+            members = mart.spark.read.schema(members.schema).parquet(path)
+            few = members.count() <= SORT_ROWS
+        ordered = keys.order_for_keys(members, dim.id, first="is_new", small=few)
         touched = F.col("is_new") | F.col("is_changed")
-        slotted = keys.write_slotted(
-            ordered, mart.staging(self.load, dim.table), only="is_new", totals={"touched": F.when(touched, 1)}
-        )
+        totals = {"touched_set": F.when(touched, F.call_function("shiftleft", F.lit(1).cast("bigint"), dim.bucket()))}
+        written = keys.write_slotted(ordered, mart.staging(self.load, dim.table), only="is_new", totals=totals)
         base = self.max_keys[dim.table]
-        numbered = slotted.numbered(dim.key, base, dim.key_type) if dim.key else slotted.rows.drop(keys.SLOT)
-        if slotted.totals["touched"]:
-            changes = merge.apply_changes(current, numbered.filter(touched), dim)
-            changes.write.mode("overwrite").parquet(mart.path(dim.table, self.load))
-            self.snapshots[dim.table] = self.load
+        numbered = written.numbered(dim.key, base, dim.key_type) if dim.key else written.rows.drop(keys.SLOT)
+        hit = [b for b in range(dim.buckets) if written.totals["touched_set"] >> b & 1]
+        if hit:
+            self._rewrite(dim, current, numbered.filter(touched), hit)
             if dim.key:
-                self.max_keys[dim.table] = base + slotted.to_number
+                self.max_keys[dim.table] = base + written.to_number
         return numbered
 
-    def _append_facts(self, slotted: keys.Slotted, dimensions: dict[str, DataFrame], small: bool) -> tuple[int, int]:
+    def _rewrite(self, dim: merge.Dimension, current: DataFrame, changes: DataFrame, hit: list[int]) -> None:
+        """Write the buckets that changes fall into; the others stay as earlier loads left them."""
+        mart, table, previous = self.mart, dim.table, self.previous
+        loads = previous.buckets.get(table)
+        if loads and len(loads) == dim.buckets:
+            current = mart.members(table, previous, hit)
+        else:  # a snapshot from before there were buckets, or with others: all are written
+            loads, hit = [0] * dim.buckets, range(dim.buckets)
+        state = merge.apply_changes(current, changes, dim).withColumn("bucket", dim.bucket())
+        state.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(mart.path(table, self.load))
+        present = set(mart.buckets_written(table, self.load))
+        self.buckets[table] = [(self.load if b in present else 0) if b in hit else loads[b] for b in range(dim.buckets)]
+        self.snapshots[table] = self.load
+
+    def _append_facts(self, slotted: keys.Slotted, dimensions: dict[str, DataFrame]) -> tuple[int, int]:
         """Append events the fact does not hold yet; returns rows inserted and rows without a key.
 
         ``sales_key`` counts all events of the batch, so skipped ones leave gaps.
@@ -242,17 +285,21 @@ class _Load:
         mart, table = self.mart, "fact_sales"
         base = self.max_keys[table]
         events = slotted.numbered("sales_key", base)
-        if self.previous.snapshots[table]:
-            events = not_seen(events, mart.table(table, self.previous), small=small)
+        known = KnownIds(mart, self.previous, self.options.run_rows)
+        few = None
+        if self.previous.runs and slotted.count <= FEW and slotted.totals["event_id_bytes"] <= 100 * FEW:
+            few = [row[0] for row in slotted.rows.select("event_id").collect()]  # at most FEW
+        events = known.unseen(events, self._small(slotted, "event_id"), few)
         resolved = resolve_keys(events, dimensions)
-        no_key = F.greatest(*[F.col(d.key or d.id).isNull() for d in merge.DIMENSIONS])
         seen = Observation()
-        watched = resolved.withColumn("_no_key", no_key).observe(seen, F.count_if("_no_key").alias("missing"))
-        # Files of even size, and few of them where a batch is short.
-        rows = fact_rows(watched.filter(~F.col("_no_key")), self.now).hint("rebalance", "event_type")
+        watched = resolved.withColumn("_no_key", lacks_member()).observe(seen, F.count_if("_no_key").alias("missing"))
+        rows = fact_rows(watched.filter(~F.col("_no_key")), self.now)
+        if slotted.count <= SHORT_ROWS:  # few files; tasks of longer batches write large ones anyway
+            rows = rows.hint("rebalance", "event_type")
         rows.write.mode("overwrite").partitionBy("event_type").parquet(mart.path(table, self.load))
         # Counted from the files' footers.
-        inserted = mart.spark.read.schema(TABLE_DDL[table]).parquet(mart.path(table, self.load)).count()
+        facts = mart.spark.read.schema(TABLE_DDL[table]).parquet(mart.path(table, self.load))
+        inserted = facts.count()
         try:
             missing = seen.get["missing"]
         except Py4JJavaError:  # no event was left to look up, and Spark dropped the step that counts
@@ -262,6 +309,8 @@ class _Load:
         if inserted:
             self.max_keys[table] = base + slotted.count
             self.snapshots[table] = self.load
+        index, self.replaced = known.extended(self.load, inserted, facts)
+        self.runs, self.loose = index.runs, index.loose
         return inserted, missing
 
 

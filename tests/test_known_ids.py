@@ -1,0 +1,191 @@
+"""The index of event ids, buckets of dimensions, and publishing."""
+
+import os
+import re
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventmart.mart import Commit, Mart
+from eventmart.operators import known_ids, merge
+from eventmart.operators.constraints import duplicate_keys
+from eventmart.operators.dedup import first_per_key, later_copies
+from eventmart.operators.keys import running_sums
+from eventmart.operators.known_ids import Index, KnownIds, plan_runs
+from eventmart.plans.load import LoadOptions, load_batch
+from tests.conftest import payload
+
+ONCE = LoadOptions(attempts=1, run_rows=10)
+
+
+def plan_of(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def indexed(spark, mart, monkeypatch):
+    """A mart with few ids to a bucket and fewer than three runs of a level."""
+    monkeypatch.setattr(known_ids, "FAN", 3)
+    monkeypatch.setattr(known_ids, "BUCKETS", (4, 16))
+    monkeypatch.setattr(known_ids, "BUCKET_ROWS", 8)
+    return mart
+
+
+def test_runs_are_merged_by_size(monkeypatch):
+    monkeypatch.setattr(known_ids, "FAN", 3)
+    assert plan_runs(Index([], [[1, 4], [2, 5]]), 10) == ([], [])
+    assert plan_runs(Index([], [[1, 4], [2, 6]]), 10) == ([1, 2], [])
+    assert plan_runs(Index([], [[n, 0] for n in range(known_ids.LOOSE_LOADS)]), 10)[0] == list(range(known_ids.LOOSE_LOADS))
+    assert plan_runs(Index([[1, 10, 4]], [[2, 10]]), 10) == ([2], [])
+    assert plan_runs(Index([[1, 10, 4], [2, 12, 4]], [[3, 10]]), 10) == ([3], [[1, 10, 4], [2, 12, 4]])
+    # What is merged can be the third of the next level.
+    big = [[1, 40, 4], [2, 50, 4]]
+    assert plan_runs(Index([*big, [3, 10, 4], [4, 12, 4]], [[5, 10]]), 10) == ([5], [[3, 10, 4], [4, 12, 4], *big])
+    assert plan_runs(Index(big, [[5, 10]]), 10) == ([5], [])
+
+
+def test_a_long_history_with_every_id_sent_again(events, indexed):
+    """Loads of many sizes; runs appear, are merged and replaced, and no id is loaded twice."""
+    sent: list[str] = []
+    for batch, size in enumerate((3, 25, 4, 4, 4, 11, 10)):
+        new = [f"E{batch}-{i}" for i in range(size)]
+        again = sent[:: max(1, len(sent) // 7)]
+        result = load_batch(indexed, events(*[payload(event_id=i) for i in new + again]), batch, options=ONCE)
+        assert (result.inserted, result.skipped) == (size, len(again))
+        sent += new
+    at = indexed.commit_record()
+    assert sum(run[1] for run in at.runs) + sum(n for _, n in at.loose) == len(sent) == indexed.table("fact_sales").count()
+    assert len(at.runs) < 4 and {run[2] for run in at.runs} <= {4, 16}
+    held = sorted(r[0] for load, _, buckets in at.runs for r in KnownIds(indexed, at).run(load, buckets).collect())
+    assert len(held) == sum(run[1] for run in at.runs) and set(held) <= set(sent)
+    written = {int(n.removeprefix("load=")) for n in os.listdir(f"{indexed.root}/known_ids")}
+    assert written == {run[0] for run in at.runs}  # files of merged runs are gone
+    result = load_batch(indexed, events(*[payload(event_id=i) for i in sent]), 99, options=ONCE)
+    assert (result.inserted, result.skipped) == (0, len(sent))
+
+
+def test_runs_are_neither_shuffled_nor_read_whole(spark, events, indexed):
+    load_batch(indexed, events(*[payload(event_id=f"E{i}") for i in range(30)]), 0, options=ONCE)
+    known = KnownIds(indexed, indexed.commit_record())
+    batch = spark.createDataFrame([("E1",), ("N1",), ("N2",)], "event_id string")
+    joined = known.unseen(batch.hint("shuffle_merge"), small=False)
+    assert sorted(r[0] for r in joined.collect()) == ["N1", "N2"]
+    plan = plan_of(joined).split("== Initial Plan ==")[0]
+    stored_side = plan[plan.index("FileScan parquet") - 200 :] if "FileScan parquet" in plan else plan
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1, plan
+    assert "Exchange" not in stored_side.split("FileScan parquet")[0].rsplit("Sort", 1)[-1]
+    few = known.unseen(batch, small=True, few=["E1", "N1", "N2"])
+    assert sorted(r[0] for r in few.collect()) == ["N1", "N2"]
+    # Spark skips buckets in any case, but only names them where it reads by bucket.
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        plan = plan_of(known.unseen(batch, small=True, few=["E1", "N1", "N2"]))
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    chosen = re.search(r"SelectedBucketsCount: (\d+) out of 4", plan)
+    assert chosen and int(chosen[1]) < 4, plan
+    assert "PushedFilters: [In(event_id, [E1,N1,N2])" in plan
+
+
+def test_a_mart_from_before_the_index(spark, events, indexed):
+    load_batch(indexed, events(*[payload(event_id=f"E{i}") for i in range(6)]), 0, options=ONCE)
+    at = indexed.commit_record()
+    old = Commit(**{**vars(at), "number": at.number + 1, "runs": [], "loose": None, "buckets": {}, "snapshots": at.snapshots})
+    for dim in merge.DIMENSIONS:  # whole snapshots
+        rows = indexed.table(dim.table, at)
+        spark.createDataFrame(rows.collect(), rows.schema).write.mode("overwrite").parquet(indexed.path(dim.table, at.load))
+    indexed.publish(old)
+    result = load_batch(indexed, events(payload(event_id="E3"), payload(event_id="N", customer_name="New")), 1, options=ONCE)
+    assert (result.inserted, result.skipped) == (1, 1)
+    now = indexed.commit_record()
+    assert [run[1] for run in now.runs] == [7] and now.loose == []
+    assert [r.customer_name for r in indexed.table("dim_customer").collect()] == ["New"]
+
+
+def test_one_changed_member_rewrites_one_bucket(events, mart):
+    def files(table):
+        return {str(p.relative_to(mart.root)) for p in Path(mart.root, table).rglob("part-*")}
+
+    texts = [payload(event_id=f"E{i}", customer_id=f"C{i}", product_id=f"P{i}") for i in range(80)]
+    load_batch(mart, events(*texts), 0, options=ONCE)
+    before, customers, products = mart.commit_record(), files("dim_customer"), files("dim_product")
+    load_batch(mart, events(payload(event_id="X", customer_id="C7", customer_name="Bea", product_id="P7")), 1, options=ONCE)
+    after = mart.commit_record()
+    changed = [b for b, (x, y) in enumerate(zip(before.buckets["dim_customer"], after.buckets["dim_customer"])) if x != y]
+    assert len(changed) == 1 and after.buckets["dim_product"] == before.buckets["dim_product"]
+    assert {f.split("/")[2] for f in files("dim_customer") - customers} == {f"bucket={changed[0]}"}
+    assert files("dim_product") == products
+    assert mart.table("dim_customer").count() == 80 and mart.table("dim_customer", before).filter("customer_name = 'Bea'").count() == 0
+    assert [r.customer_id for r in mart.table("dim_customer").filter("customer_name = 'Bea'").collect()] == ["C7"]
+
+
+def test_later_copies_equal_first_per_key(spark, tmp_path):
+    rows = [(f"k{i % 40}" if i % 11 else None, None if i % 7 == 0 else i % 3, f"v{i % 2}", i % 5) for i in range(400)]
+    frame = spark.createDataFrame(rows, "event_id string, n int, name string, x int")
+    frame = frame.withColumn("kafka_timestamp", F.timestamp_seconds("n")).drop("n")
+    hash_ = F.xxhash64("name", "x", "kafka_timestamp")
+    frame.withColumns({"hash": hash_, "row": F.monotonically_increasing_id()}).write.parquet(str(tmp_path / "rows"))
+    numbered = spark.read.parquet(str(tmp_path / "rows"))
+    gone = later_copies(numbered, duplicate_keys(numbered, "event_id"))
+    kept = numbered.filter("event_id IS NOT NULL").join(gone, "row", "left_anti").select(*frame.columns)
+    expected = first_per_key(frame.filter("event_id IS NOT NULL").select("event_id", "name", "x", "kafka_timestamp")).select(*frame.columns)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, expected.collect()))
+    assert kept.count() == 40
+    # No other column is read or moved.
+    read = re.findall(r"ReadSchema: struct<(\S*)>", plan_of(gone))
+    assert {field.split(":")[0] for part in read for field in part.split(",")} <= {"event_id", "kafka_timestamp", "hash", "row"}
+
+
+def test_running_sums_over_many_tasks(spark):
+    """As many tasks as a large load has, on both levels."""
+    counts = spark.range(0, 30_000, 3).selectExpr("id AS task", "id % 7 AS wanted").repartition(5)
+    found = {r.task: r.before for r in running_sums(counts).collect()}
+    total = 0
+    for task in range(0, 30_000, 3):
+        assert found[task] == total
+        total += task % 7
+
+
+PUBLISH = """
+import sys
+sys.path.insert(0, {repo!r})
+from eventmart.mart import Commit, ConflictError, Mart
+from eventmart.session import build_session
+spark = build_session("p", "local[1]", 1, **{{"spark.ui.enabled": "false"}})
+mart = Mart(spark, {root!r})
+won = []
+for number in range(1, 41):
+    while not mart._files.exists({root!r} + "/go"):
+        pass
+    try:
+        mart.publish(Commit(number, {me} * 1000 + number))
+        won.append(number)
+    except ConflictError:
+        pass
+print("WON", won)
+"""
+
+
+def test_two_processes_that_publish_the_same_numbers(mart, tmp_path):
+    """Of each number one process is told that it published, and its commit is the one that stays."""
+    mart.bootstrap()
+    repo = str(Path(__file__).parent.parent)
+    run = [
+        subprocess.Popen([sys.executable, "-c", PUBLISH.format(repo=repo, root=mart.root, me=me)], stdout=subprocess.PIPE, stderr=subprocess.DEVNULL)
+        for me in (1, 2)
+    ]
+    Path(mart.root, "go").touch()
+    won = [eval(p.communicate(timeout=120)[0].decode().split("WON ")[1]) for p in run]
+    assert sorted(won[0] + won[1]) == list(range(1, 41))
+    for number in range(1, 41):
+        assert mart.commit_record(number).load == (1 if number in won[0] else 2) * 1000 + number
+
+
+def test_claims_are_never_shared(mart):
+    mart.bootstrap()
+    at = mart.commit_record()
+    claims = [mart.claim(at) for _ in range(3)] + [Mart(mart.spark, mart.root).claim(at)]
+    assert claims == [1, 2, 3, 4]
