@@ -16,15 +16,15 @@ with a marginal of at least one half, as code point offsets, end exclusive.
 
 Model and labelled words come from a sample of at most SAMPLE labelled texts of
 each class, taken whole in the order of the hash of doc_id until they have
-SAMPLE_CHARS together; equal texts count once. Only a text of over SAMPLE_CHARS by
-itself can't be drawn. The sample and the model, whose features are hashed to a fixed number, are all that the driver
-holds. Scoring reads whole texts in place, without a shuffle.
+SAMPLE_CHARS together; equal texts count once. A text of over SAMPLE_CHARS by itself is
+drawn where its class has no shorter one. The sample and the model, whose features are
+hashed to a fixed number, are all that the driver holds. Scoring reads whole texts in
+place, without a shuffle.
 
 Cases: a null or empty text has no words and the lowest score. Rows with a null
 doc_id are scored, never learned from and never held out. Labels without a
-document, null labels and doc_ids that are labelled both ways are left out. Where
-no text is labelled with a class, every score is next to 0 (to 1 if all are toxic);
-where texts are, but none of them is in the sample, that is an error. Rows that
+document, null labels, and doc_ids and texts that are labelled both ways are left out. Where
+that leaves no text of a class, every score is next to 0 (to 1 if all are toxic). Rows that
 repeat are scored as often. Other columns are ignored by ``scores`` and handed
 through by ``without_toxic``.
 """
@@ -292,17 +292,20 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
     hashed = named.withColumn("hash", F.xxhash64("text"))
     # Lengths are known before the draw, so what is drawn is what is used.
-    eligible = stored(
+    labelled = stored(
         hashed.groupBy("doc_id", "hash").agg(F.max(F.length("text")).alias("chars")).join(learnable, "doc_id"),
         "toxicity-labelled", narrow=True,
     )
+    both_ways = labelled.groupBy("hash").agg(F.min("toxic").alias("low"), F.max("toxic").alias("high")).filter("low <> high")
+    eligible = labelled.join(both_ways, "hash", "left_anti")
     counts = Counter({row.toxic: row.n for row in eligible.groupBy("toxic").agg(F.count("*").alias("n")).collect()})
     chosen = []
     for toxic in counts:
-        drawn = eligible.filter((F.col("toxic") == toxic) & (F.col("chars") <= sample_chars))
         total = 0
-        for row in drawn.orderBy(F.xxhash64("doc_id"), "doc_id", "hash").limit(sample).collect():
-            if total >= sample_chars:
+        # Those that are longer than the whole sample may be come last.
+        order = (F.col("chars") > sample_chars, F.xxhash64("doc_id"), "doc_id", "hash")
+        for row in eligible.filter(F.col("toxic") == toxic).orderBy(*order).limit(sample).collect():
+            if total and (total >= sample_chars or row.chars > sample_chars):
                 break
             total += row.chars
             chosen.append((row.doc_id, row.hash, toxic))
@@ -314,9 +317,6 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_chars
     for _, text, label in both:
         by_text.setdefault(text, label)
     used = Counter(by_text.values())
-    for toxic in counts:
-        if not used[toxic]:
-            raise ValueError(f"{counts[toxic]} texts are labelled {'toxic' if toxic else 'clean'}, but the sample has none of them")
     ratio = (counts[False] / max(1, used[False])) / (counts[True] / max(1, used[True]) or 1.0)
     return learn(list(by_text), list(by_text.values()), ratio)
 

@@ -122,5 +122,15 @@ def test_long_texts_are_drawn_whole(spark):
     assert sum(found[k] != toxic for k, _, toxic in rows) <= 2
     # Few long texts reach the budget, but none is cut or left out for its length.
     assert T.train(docs, labels, sample_chars=60_000).weights
-    with pytest.raises(ValueError, match="labelled toxic"):
-        T.train(docs, labels, sample_chars=10_000)
+    # A class without a shorter text gives its first one, whatever its length.
+    assert T.train(docs, labels, sample_chars=10_000).weights
+
+
+def test_texts_labelled_both_ways(spark):
+    """They teach nothing; what is left of the classes decides."""
+    labels = spark.createDataFrame([(k, k % 2) for k in range(8)], "doc_id long, toxic int")
+    for texts in (["same words"] * 8, [""] * 8, [None] * 8):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        assert [r.predicted for r in T.scores(docs, T.train(docs, labels)).collect()] == [0] * 8
+    mixed = spark.createDataFrame(list(enumerate(["same"] * 6 + ["clean", "vile"])), "doc_id long, text string")
+    assert {r.doc_id for r in T.scores(mixed, T.train(mixed, labels)).collect()} == set(range(8))
