@@ -8,21 +8,20 @@ article in an element that only its name marks is left out where the page has
 another article, and counts where it has none, unless the name is one of comments
 or adverts.
 
-The pages of a host are taken together. A host of over SHARD_PAGES is cut into
-shards of about so many distinct texts, so a host of any size spreads over many
-tasks; each shard gives its distinct passages as hashes of 64 bits, with the texts
-that have them, and these are added up over all shards, by parts of the hash, so
-the cut changes no result. In each shard the pages' token streams are
-concatenated, and suffixes are sorted by their first RUN tokens by prefix
-doubling; equal neighbours from distinct pages are repeated passages. Equal
-streams count as one page, for a copied page is no boilerplate. A repeated passage
-is boilerplate where MIN_TEXTS page texts and a SHARE of them all have it.
-Near-equal pages (another date, a changed word) count about once there: by each of
-KEYS least hashes one page text of those with an equal hash counts, and counts are
-means over the KEYS. In a page without an article element, blocks that
-boilerplate covers whole are removed; no block is cut. Inside an
-article repeats are counted, not removed: authors repeat themselves, and articles
-are copied, and markup has already told the article from its surroundings.
+The pages of a host are taken together, cut into shards of about SHARD_TOKENS. In a
+shard the pages' token streams are concatenated, and suffixes are sorted by their
+first RUN tokens by prefix doubling; equal neighbours from distinct pages are repeated
+passages. Equal streams count as one page, for a copied page is no boilerplate.
+Near-equal pages (another date, a changed word) count about once: by each of KEYS least
+hashes one page text of those with an equal hash counts, and counts are means over the
+KEYS. A passage is boilerplate where MIN_TEXTS page texts of the host and a SHARE of
+them all have it. What has the share of a host has it in one of its shards at least, so
+each shard only names the passages that reach the share within it, by hashes of 64
+bits; all shards then count the named ones, and the sums decide, so the cut changes no result.
+
+A block that boilerplate covers whole is removed where markup has not told that it is
+main text: in a page without an article element, and in an article below a name of
+which one part marks other content and another is unknown. No block is cut.
 
 Cases: null or empty html, or html without text, gives an empty text. Null urls
 form a host of their own. Repeated rows are returned as often. Unclosed elements
@@ -32,7 +31,9 @@ end where HTML says, or with their parent. Other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,8 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.tables import by_batch, join_measured, stored
 
-SHARD_PAGES = 256
+SHARD_TOKENS = 2**18
 RUN = 8  # tokens, a power of two
-PART_TOKENS = 2**20  # a host's passages meet in parts of about so many
 # Boilerplate is on MIN_TEXTS page texts of a host at least, and on this share of them; near-equal texts count once.
 MIN_TEXTS = 3
 SHARE = (1, 4)
@@ -57,12 +57,6 @@ FACTORS = [
     for k in range(KEYS)
 ]
 
-PACKED = pa.schema(
-    [("host", pa.string())]
-    + [(name, pa.int64()) for name in ("shard", "total", "part", "size")]
-    + [(name, pa.binary()) for name in ("hashes", "texts", "weights")]
-)
-
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -71,8 +65,10 @@ INLINE = frozenset(
 )
 SILENT = frozenset(
     "script style noscript template svg math iframe object canvas audio video head title select option button "
-    "textarea input nav header footer aside form menu dialog fieldset".split()
+    "textarea input nav header footer aside menu dialog fieldset".split()
 )
+# Silent parts of a line of text, which go on after them.
+LINE = INLINE | {"button", "select", "textarea", "svg", "canvas", "audio", "video"}
 MAIN = frozenset({"article", "main"})
 HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
 CLOSE_SELF = frozenset("li dt dd tr td th option".split())
@@ -83,53 +79,80 @@ MARKS = frozenset(
     "consent gdpr notice notices alert popup modal overlay sidebar side nav navbar navigation menu menubar breadcrumb "
     "breadcrumbs footer header masthead comment comments disqus respond replies share sharing social related "
     "recommended newsletter subscribe signup login search pagination pager widget complementary contentinfo "
-    "toolbar skip".split()
+    "toolbar skip commentlist".split()
 )
-COMMENTS = frozenset("comment comments disqus respond replies ad ads advert advertisement promo sponsored".split())
+COMMENTS = frozenset("comment comments commentlist disqus respond replies ad ads advert advertisement promo sponsored".split())
 # Words that make a compound with one of MARKS, such as main-nav or ad-slot-1. Any other word, as in has-sidebar,
 # no-comments, menu-open or share-price, says that the name is about something else.
 PARTS = frozenset(
     "site page main global top bottom left right center upper lower primary secondary block blocks box boxes bar bars "
     "container wrapper wrap inner outer section area region zone slot unit list lists link links item items icon icons "
     "button buttons btn form field dialog message policy panel pane group row column col post posts article articles "
-    "entry story stories user reader blog body text title content widgets mobile desktop sticky fixed inline google".split()
+    "entry story stories user reader blog body text title content widgets mobile desktop sticky fixed inline google "
+    "thread leaderboard cta dark light reviews and v".split()
 )
 SPACE = re.compile(r"\s+")
+NUMBER = re.compile(r"v?\d")
 
 
 def marked(names: str, marks: frozenset[str]) -> bool:
     """Whether one of the names is a word of ``marks``, or a compound of one with other MARKS, PARTS and numbers."""
     for name in names.lower().split():
         words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
-        if not marks.isdisjoint(words) and all(w in MARKS or w in PARTS or w[0].isdigit() for w in words):
+        if not marks.isdisjoint(words) and all(w in MARKS or w in PARTS or NUMBER.match(w) for w in words):
             return True
     return False
 
 
+def mentions(names: str) -> bool:
+    """Whether one of the names holds a word of MARKS."""
+    return not MARKS.isdisjoint(re.split(r"[^a-z0-9]+", names.lower()))
+
+
+class Block(NamedTuple):
+    """A block of text; whether it is inside an article, and below a name that may mark other content there."""
+
+    text: str
+    main: bool
+    unsure: bool
+
+
+class Open(NamedTuple):
+    """An open element: its tag, and what holds inside."""
+
+    tag: str
+    silent: bool = False
+    main: bool = False
+    below: bool = False  # in an article below an element that is silent by its name
+    closed: bool = False  # silent for articles too
+    unsure: bool = False
+
+
 class Blocks(HTMLParser):
-    """Collects (text, inside an article, inside one below an element that is silent by its name) of blocks.
+    """Collects blocks, each with whether it is in an article below a name that silences.
 
-    An article ends a silence that came from the name of an element around it, but
-    for names of comments and adverts, and not one that came from a tag.
+    An article ends a silence that came from a form or from the name of an element around it,
+    but for names of comments and adverts, and not one that came from another tag.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        # tag; from here: silent, article, article below a silent name, silent also for articles
-        self.open: list[tuple[str, bool, bool, bool, bool]] = []
-        self.silent = self.main = self.below = self.closed = False
-        self.found: list[tuple[str, bool, bool]] = []
+        self.open: list[Open] = []
+        self.count: Counter[str] = Counter()  # open elements by tag
+        self.now = Open("")
+        self.found: list[tuple[Block, bool]] = []
         self.held: list[str] = []
 
     def flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.held)).strip()
         self.held = []
         if text:
-            self.found.append((text, self.main, self.below))
+            self.found.append((Block(text, self.now.main, self.now.unsure), self.now.below))
 
     def _cut(self, depth: int) -> None:
+        self.count.subtract(o.tag for o in self.open[depth:])
         del self.open[depth:]
-        self.silent, self.main, self.below, self.closed = self.open[-1][1:] if self.open else (False,) * 4
+        self.now = self.open[-1] if self.open else Open("")
 
     def handle_starttag(self, tag, attrs):
         if tag in INLINE:
@@ -137,28 +160,40 @@ class Blocks(HTMLParser):
                 self.held.append(" ")
             if tag in VOID:
                 return
-        else:
+        elif tag not in LINE:
             self.flush()
             self._imply(tag)
             if tag in VOID:
                 return
-        names = " ".join(value for name, value in attrs if name in ("class", "id", "role") and value)
-        marks = COMMENTS if tag in MAIN or tag in HEADINGS else frozenset() if tag in ("html", "body") else MARKS
+        now, main = self.now, tag in MAIN
+        given = {name: value for name, value in attrs if name in ("class", "id", "role") and value}
+        if tag in HEADINGS or (now.main and tag == "section"):  # generators name these after what they say
+            given.pop("id", None)
+        names = " ".join(given.values())
+        marks = MARKS
+        if tag in ("html", "body"):
+            marks = frozenset()
+        elif main or tag in HEADINGS or (now.main and tag == "p"):
+            marks = COMMENTS
         named = bool(names) and marked(names, marks)
-        closed = self.closed or tag in SILENT or (named and (tag in MAIN or marked(names, COMMENTS)))
-        opens = tag in MAIN and self.silent and not closed
+        closed = now.closed or tag in SILENT or (named and (main or marked(names, COMMENTS)))
+        opens = main and now.silent and not closed
         # Inside an article a silent part stays silent, whatever it holds.
-        closed = closed or (named and (self.main or tag in MAIN))
-        silent = closed or named or (self.silent and not opens)
-        if silent != self.silent:
+        closed = closed or ((named or tag == "form") and (now.main or main))
+        silent = closed or named or tag == "form" or (now.silent and not opens)
+        unsure = not main and (now.unsure or (now.main and bool(names) and marks is MARKS and mentions(names)))
+        if tag not in LINE and (silent != now.silent or unsure != now.unsure):
             self.flush()
-        self.open.append((tag, silent, self.main or tag in MAIN, self.below or opens, closed))
-        self.silent, self.main, self.below, self.closed = self.open[-1][1:]
+        self.now = Open(tag, silent, now.main or main, now.below or opens, closed, unsure)
+        self.open.append(self.now)
+        self.count[tag] += 1
 
     def _imply(self, tag: str) -> None:
         """End an open paragraph, or an open item before the next."""
+        if not self.count["p"] and not (tag in CLOSE_SELF and self.count[tag]):
+            return
         for depth in range(len(self.open) - 1, -1, -1):
-            name = self.open[depth][0]
+            name = self.open[depth].tag
             if name == "p" or (tag in CLOSE_SELF and name == tag):
                 self._cut(depth)
                 return
@@ -166,30 +201,34 @@ class Blocks(HTMLParser):
                 return
 
     def handle_endtag(self, tag):
-        if tag not in INLINE:
+        if tag not in LINE:
             self.flush()
+        if not self.count[tag]:
+            return
         for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
-                if self.open[depth][1] != (self.open[depth - 1][1] if depth else False):
-                    self.flush()
+            if self.open[depth].tag == tag:
                 self._cut(depth)
                 return
-            if tag in INLINE and self.open[depth][0] in CONTAINERS:
+            if tag in INLINE and self.open[depth].tag in CONTAINERS:
                 return
 
     def handle_data(self, data):
-        if not self.silent:
+        if not self.now.silent:
             self.held.append(data)
 
 
-def blocks(html: str | None) -> list[tuple[str, bool]]:
+def blocks(html: str | None) -> list[Block]:
+    text = html or ""
+    comment = text.rfind("<!--")
+    if comment >= 0 and text.find("-->", comment) < 0 and text.find("--!>", comment) < 0:
+        text = text[:comment]  # a comment without an end takes the rest
     parser = Blocks()
-    parser.feed(html or "")
+    parser.feed(text)
     parser.close()
     parser.flush()
     # Articles below silent names, such as teasers in a sidebar, only count where the page has no other.
-    other = any(main and not below for _, main, below in parser.found)
-    return [(text, main) for text, main, below in parser.found if not (below and other)]
+    other = any(block.main and not below for block, below in parser.found)
+    return [block for block, below in parser.found if not (below and other)]
 
 
 def _sequence(streams: list[list[str]]) -> tuple[dict[str, int], list[np.ndarray], np.ndarray, np.ndarray]:
@@ -236,24 +275,8 @@ def _cut(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     return [flat[e - s : e] for e, s in zip(ends, sizes, strict=True)]
 
 
-def repeated(streams: list[list[str]], run: int = RUN, mark: str | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each token stream, which tokens lie in a passage of ``run`` tokens that a different stream has too.
-
-    The second array counts passages without ``mark`` only.
-    """
-    number, ids, tokens, sizes = _sequence(streams)
-    n = len(tokens)
-    same: dict[bytes, int] = {}
-    page = np.repeat(np.array([same.setdefault(x.tobytes(), k) for k, x in enumerate(ids)], np.int64), sizes + 1)
-    rank = _ranks(tokens, len(number), run)
-    hit = _carriers(rank, page, np.ones((1, len(streams))))[0][rank] > 1 if n else np.zeros(0, bool)
-    marks = np.append(0, np.cumsum(tokens == number.get(mark, -1)))
-    inner = hit & (marks[np.minimum(np.arange(n) + run, n)] == marks[:n])
-    return list(zip(_cut(_cover(hit, run), sizes), _cut(_cover(inner, run), sizes), strict=True))
-
-
-def stream_of(page: list[tuple[str, bool]]) -> list[str]:
-    return [t for text, _ in page for t in (*text.split(" "), MARK)]
+def stream_of(page: list[Block]) -> list[str]:
+    return [t for block in page for t in (*block.text.split(" "), MARK)]
 
 
 def sketch(stream: list[str]) -> tuple[int, ...]:
@@ -292,48 +315,6 @@ def boilerplate(weight: np.ndarray, total: int) -> np.ndarray:
     return (weight >= MIN_TEXTS * KEYS) & (weight * SHARE[1] >= total * SHARE[0])
 
 
-def _chosen(pages: list[list[tuple[str, bool]]], every: list[np.ndarray], often: list[np.ndarray]) -> list[tuple[str, int]]:
-    """Text and number of repeated tokens, from the tokens in repeated passages and in boilerplate."""
-    out = []
-    for page, own, boiler in zip(pages, every, often, strict=True):
-        article = any(main for _, main in page)
-        texts, count, at = [], 0, 0
-        for text, main in page:
-            size = text.count(" ") + 1
-            here = slice(at, at + size)
-            at += size + 1
-            if article and not main:
-                continue
-            count += int(own[here].sum())
-            if article or not boiler[here].all():
-                texts.append(text)
-        out.append(("\n\n".join(texts), count))
-    return out
-
-
-def page_texts(
-    pages: list[list[tuple[str, bool]]], run: int = RUN, sketches: list[tuple[int, ...]] | None = None
-) -> list[tuple[str, int]]:
-    """Main text of each page of a host that is one shard, and how many of its tokens are repeated on other pages.
-
-    Of a page without an article, blocks that boilerplate covers whole are left out.
-    """
-    streams = [stream_of(page) for page in pages]
-    sketches = sketches or [sketch(s) for s in streams]
-    number, ids, tokens, sizes = _sequence(streams)
-    if not len(tokens):
-        return []
-    same: dict[tuple[int, ...], int] = {}
-    first = np.array([same.setdefault(own, k) for k, own in enumerate(sketches)], np.int64)
-    weight = np.array(weights(sketches))
-    rank = _ranks(tokens, len(number), run)
-    texts, weighed = _carriers(rank, np.repeat(first, sizes + 1), np.array([np.ones(len(pages)), weight]))
-    often = boilerplate(weighed, int(weight[np.unique(first)].sum()))
-    return _chosen(
-        pages, _cut(_cover(texts[rank] > 1, run), sizes), _cut(_cover(often[rank], run), sizes)
-    )
-
-
 def _passages(streams: list[list[str]], run: int) -> tuple[np.ndarray, np.ndarray]:
     """Of all streams in a row, each followed by an end mark: a hash of the passage at each token, and if there is a whole one."""
     number, _, tokens, sizes = _sequence(streams)
@@ -347,78 +328,81 @@ def _passages(streams: list[list[str]], run: int) -> tuple[np.ndarray, np.ndarra
     return out * MIX, left >= run
 
 
-def _pack(numbers: np.ndarray) -> bytes:
-    """Numbers as bytes, the highest of all first, so that equal ones lie together."""
-    return pa.compress(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
-
-
-def _unpack(packed: bytes, size: int) -> np.ndarray:
-    flat = pa.decompress(packed, decompressed_size=8 * size, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(8, size).T).view("<u8").ravel()
+def shard_candidates(streams: list[list[str]], weight: list[int], run: int = RUN) -> np.ndarray:
+    """Hashes of the passages that a shard's distinct texts have in the share that makes boilerplate."""
+    number, _, tokens, sizes = _sequence(streams)
+    if not len(tokens):
+        return np.empty(0, np.uint64)
+    rank = _ranks(tokens, len(number), run)
+    weighed = _carriers(rank, np.repeat(np.arange(len(streams)), sizes + 1), np.array([weight]))[0]
+    often = (weighed > 0) & (weighed * SHARE[1] >= sum(weight) * SHARE[0])
+    hashes, whole = _passages(streams, run)
+    return np.unique(hashes[whole & often[rank]])
 
 
-def shard_passages(streams: list[list[str]], weight: list[int], parts: int, run: int = RUN) -> list[tuple]:
-    """Distinct passages of a shard's distinct texts, by parts of the hash: part, size, hashes in order, texts, weights."""
-    number, _, tokens, sizes = _sequence(streams)
+def held_candidates(streams: list[list[str]], named: list[np.ndarray], run: int = RUN) -> list[np.ndarray]:
+    """Of each text's passages, the distinct ones among those named."""
     hashes, whole = _passages(streams, run)
-    if not whole.any():
-        return []
-    rank = _ranks(tokens, len(number), run)
-    page = np.repeat(np.arange(len(streams)), sizes + 1)
-    texts, weighed = _carriers(rank, page, np.array([np.ones(len(streams)), weight]))
-    hashes, at = np.unique(hashes[whole], return_index=True)
-    rank = rank[whole][at]
-    part = hashes % np.uint64(parts)
+    sizes = np.array([len(s) for s in streams], np.int64)
     out = []
-    for k in np.unique(part):
-        own = part == k
-        held = hashes[own]
-        gaps = np.diff(held, prepend=np.uint64(0))
-        out.append((int(k), len(held), _pack(gaps), _pack(texts[rank[own]]), _pack(weighed[rank[own]])))
+    for own, valid, wanted in zip(_cut(hashes, sizes), _cut(whole, sizes), named, strict=True):
+        out.append(np.intersect1d(own[valid], wanted))
     return out
 
 
-def merge_passages(sizes: list[int], packed: list[tuple[bytes, bytes, bytes]], total: int) -> list[tuple[bytes, bytes]]:
-    """For one part of a host's passages, from each shard: bits of those on several texts, bits of boilerplate."""
-    hashes = np.concatenate([np.cumsum(_unpack(h, n), dtype=np.uint64) for n, (h, _, _) in zip(sizes, packed, strict=True)])
-    values, at = np.unique(hashes, return_inverse=True)
-    sums = []
-    for k in (1, 2):
-        numbers = np.concatenate([_unpack(p[k], n) for n, p in zip(sizes, packed, strict=True)])
-        sums.append(np.bincount(at, numbers, len(values)).astype(np.int64)[at])
-    several, often = sums[0] > 1, boilerplate(sums[1], total)
-    ends = np.cumsum(sizes)
-    return [
-        (np.packbits(several[e - n : e]).tobytes(), np.packbits(often[e - n : e]).tobytes())
-        for e, n in zip(ends, sizes, strict=True)
-    ]
-
-
-def shard_texts(
-    pages: list[list[tuple[str, bool]]], parts: int, found: dict[int, tuple[bytes, bytes]], run: int = RUN
-) -> list[tuple[str, int]]:
-    """Main text and number of repeated tokens of a shard's pages, by what all shards of the host have together."""
-    streams = [stream_of(page) for page in pages]
+def decides(page: list[Block]) -> bool:
+    """Whether boilerplate can change a page's text."""
+    return any(b.unsure for b in page) or not any(b.main for b in page)
+
+
+def page_texts(pages: list[list[Block]], often: list[np.ndarray], run: int = RUN) -> list[str]:
+    """Main text of pages, each with the hashes of its host's boilerplate."""
+    use = [k for k, page in enumerate(pages) if decides(page) and len(often[k])]
+    streams = [stream_of(pages[k]) for k in use]
     sizes = np.array([len(s) for s in streams], np.int64)
-    hashes, whole = _passages(streams, run)
-    values, at = np.unique(hashes[whole], return_inverse=True)
-    part = values % np.uint64(parts)
-    marks = np.zeros((2, len(values)), bool)
-    for k, bits in found.items():
-        own = np.flatnonzero(part == np.uint64(k))
-        for row, packed in zip(marks, bits, strict=True):
-            row[own] = np.unpackbits(np.frombuffer(packed, np.uint8), count=len(own)).astype(bool)
-    covered = []
-    for row in marks:
-        starts = np.zeros(len(hashes), bool)
-        starts[whole] = row[at]
-        covered.append(_cut(_cover(starts, run), sizes))
-    return _chosen(pages, *covered)
+    covered = {}
+    if use:
+        hashes, whole = _passages(streams, run)
+        for k, own, valid in zip(use, _cut(hashes, sizes), _cut(whole, sizes), strict=True):
+            covered[k] = _cover(valid & np.isin(own, often[k]), run)
+    out = []
+    for k, page in enumerate(pages):
+        article, texts, at = any(b.main for b in page), [], 0
+        for block in page:
+            here = slice(at, at + block.text.count(" ") + 1)
+            at = here.stop + 1
+            if article and not block.main:
+                continue
+            if k in covered and (block.unsure or not article) and covered[k][here].all():
+                continue
+            texts.append(block.text)
+        out.append("\n\n".join(texts))
+    return out
+
+
+def host_boilerplate(shards: list[list[list[str]]], run: int = RUN) -> np.ndarray:
+    """Hashes of a host's boilerplate, from the token streams of its pages; the three steps of :func:`main_text` in one."""
+    sketches = {sketch(s): (n, s) for n, shard in enumerate(shards) for s in shard}
+    weight = dict(zip(sketches, weights(list(sketches)), strict=True))
+    total = sum(weight.values())
+    named = [np.empty(0, np.uint64)]
+    for n in range(len(shards)):
+        own = [(s, weight[key]) for key, (at, s) in sketches.items() if at == n and weight[key]]
+        named.append(shard_candidates([s for s, _ in own], [w for _, w in own], run))
+    wanted = np.unique(np.concatenate(named))
+    sums: Counter[int] = Counter()
+    for key, (_, stream) in sketches.items():
+        for found in held_candidates([stream], [wanted], run):
+            sums.update(dict.fromkeys(found.tolist(), 0))
+            for value in found.tolist():
+                sums[value] += weight[key]
+    values = np.array(sorted(sums), np.uint64)
+    return values[boilerplate(np.array([sums[int(v)] for v in values], np.int64), total)] if len(values) else values
 
 
 def _squeeze(text: str) -> bytes:
     data = text.encode("utf-8", "surrogatepass")
-    return len(data).to_bytes(8) + pa.Codec("zstd", compression_level=6).compress(data, asbytes=True)
+    return len(data).to_bytes(8) + pa.Codec("zstd", compression_level=1).compress(data, asbytes=True)
 
 
 def _unsqueeze(packed: bytes) -> str:
@@ -426,119 +410,99 @@ def _unsqueeze(packed: bytes) -> str:
     return pa.decompress(packed[8:], decompressed_size=size, codec="zstd", asbytes=True).decode("utf-8", "surrogatepass")
 
 
-def _to_bytes(page: list[tuple[str, bool]]) -> bytes:
-    return _squeeze("\n".join(f"{int(main)}{text}" for text, main in page))
+def _to_bytes(page: list[Block]) -> bytes:
+    return _squeeze("\n".join(f"{b.main + 2 * b.unsure}{b.text}" for b in page))
 
 
-def _from_bytes(packed: bytes) -> list[tuple[str, bool]]:
+def _from_bytes(packed: bytes) -> list[Block]:
     text = _unsqueeze(packed)
-    return [(block[1:], block[0] == "1") for block in text.split("\n")] if text else []
+    return [Block(b[1:], b[0] in "13", b[0] in "23") for b in text.split("\n")] if text else []
 
 
-def main_text(pages: DataFrame, shard_pages: int = SHARD_PAGES, run: int = RUN, part_tokens: int = PART_TOKENS) -> DataFrame:
-    """Per page row: page_id, url, text, n_chars, n_repeated."""
+def _by_host(rows: DataFrame, hashes: DataFrame, how: str) -> DataFrame:
+    """Rows with the hashes of their host; broadcast where they were measured to be small."""
+    size = hashes.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("hashes") * 8 + 64), F.lit(0)).alias("bytes")).first()
+    return join_measured(rows, hashes, "host", how, row_bytes=-(-size.bytes // max(1, size.n)), rows=size.n)
+
+
+def main_text(pages: DataFrame, shard_tokens: int = SHARD_TOKENS, run: int = RUN) -> DataFrame:
+    """Per page row: page_id, url, text, n_chars."""
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[^/]*//([^/?#]*)", 1)), F.lit(""))
     given = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
-    counts = stored(given.groupBy(host.alias("host")).agg(F.count("*").alias("n")), "html-hosts")
     keys = [f"k{t}" for t in range(KEYS)]
-    names = ["blocks", "n_tokens", "t1", "t2", *keys]
+    names = ["blocks", "decides", "n_tokens", "t1", "t2", *keys]
 
-    def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
+    def parse(rows: pa.RecordBatch) -> pa.RecordBatch:
         found = [blocks(html) for html in rows.column(2).to_pylist()]
         streams = [stream_of(page) for page in found]
         sketches = np.array([sketch(s) for s in streams], np.int64).reshape(-1, 2 + KEYS)
-        columns = [pa.array(map(_to_bytes, found), pa.binary()), pa.array([len(s) for s in streams], pa.int64())]
-        return pa.RecordBatch.from_arrays([*rows.columns[:2], *columns, *map(pa.array, sketches.T.copy())], ["page_id", "url", *names])
-
-    longs = ", ".join(f"{name} long" for name in names[1:])
-    parsed = by_batch(given, batch, f"page_id long, url string, blocks binary, {longs}").withColumn("host", host)
-    placed = stored(
-        join_measured(parsed, counts, "host", row_bytes=64)
-        .withColumn("large", (F.col("n") > shard_pages).cast("int")).drop("n")
-        .withColumn("row", F.monotonically_increasing_id()),
-        "html-blocks", "large",
-    )
-    whole, large = placed.filter("large = 0"), placed.filter("large = 1")
-    kind = "n_chars long, n_repeated long"
-
-    def result(table: pa.Table, texts: list[tuple[str, int]], kept: list[str], packed: bool) -> pa.Table:
         columns = [
-            pa.array([_squeeze(t) if packed else t for t, _ in texts], pa.binary() if packed else pa.string()),
-            pa.array([len(t) for t, _ in texts], pa.int64()), pa.array([n for _, n in texts], pa.int64()),
+            pa.array(map(_to_bytes, found), pa.binary()), pa.array(map(decides, found), pa.bool_()),
+            pa.array([len(s) for s in streams], pa.int64()),
         ]
-        return pa.table([*(table[name] for name in kept), *columns], names=[*kept, "text", "n_chars", "n_repeated"])
-
-    def one_host(table: pa.Table) -> pa.Table:
-        found = [_from_bytes(b) for b in table["blocks"].to_pylist()]
-        sketches = list(zip(*(table[name].to_pylist() for name in ("t1", "t2", *keys)), strict=True))
-        return result(table, page_texts(found, run, sketches), ["page_id", "url"], False)
+        return pa.RecordBatch.from_arrays([*rows.columns[:2], *columns, *map(pa.array, sketches.T.copy())], ["page_id", "url", *names])
 
-    small = whole.select("page_id", "url", "blocks", "t1", "t2", *keys, "host").groupBy("host").applyInArrow(
-        one_host, f"page_id long, url string, text string, {kind}"
-    )
+    longs = ", ".join(f"{name} long" for name in names[2:])
+    parsed = by_batch(given, parse, f"page_id long, url string, blocks binary, decides boolean, {longs}")
+    placed = stored(parsed.withColumns({"host": host, "row": F.monotonically_increasing_id()}), "html-blocks")
 
-    # Larger hosts: distinct texts in shards, whose passages meet by parts of their hashes.
+    # One row for each distinct text, with its weight; near copies of others weigh nothing and need not be looked at.
     ident = ["host", "t1", "t2"]
     texts = stored(
-        large.groupBy(*ident).agg(F.min("row").alias("row"), F.min("n_tokens").alias("n_tokens"), *(F.min(k).alias(k) for k in keys)),
+        placed.groupBy(*ident).agg(F.min("row").alias("row"), F.min("n_tokens").alias("n_tokens"), *(F.min(k).alias(k) for k in keys)),
         "html-texts",
     )
     each = F.explode(F.array(*(F.struct(F.lit(t).alias("t"), F.col(k).alias("key")) for t, k in enumerate(keys))))
-    counted = (
-        texts.select("host", "t1", each.alias("k")).groupBy("host", "k.t", "k.key").agg(F.min("t1").alias("t1"))
-        .groupBy("host", "t1").agg(F.count("*").alias("weight"))
+    least = F.min(F.struct("t1", "t2")).alias("least")
+    weighed = (
+        texts.select("host", "t1", "t2", each.alias("k")).groupBy("host", "k.t", "k.key").agg(least)
+        .groupBy("host", "least.t1", "least.t2").agg(F.count("*").alias("weight"))
     )
-    counted = stored(counted, "html-weights")
-    totals = counted.groupBy("host").agg(F.sum("weight").alias("total"))
-    sizes = texts.groupBy("host").agg(
-        F.ceil(F.count("*") / shard_pages).cast("long").alias("shards"),
-        F.ceil((F.sum("n_tokens") + 1) / part_tokens).cast("long").alias("parts"),
+    weighed = stored(texts.select(*ident, "row", "n_tokens").join(weighed, ident), "html-weights")
+    hosts = stored(
+        weighed.groupBy("host").agg(
+            F.sum("weight").alias("total"), F.ceil((F.sum("n_tokens") + 1) / shard_tokens).cast("long").alias("shards")
+        ),
+        "html-hosts",
     )
-    hosts = stored(totals.join(sizes, "host"), "html-large-hosts")
-    weighed = join_measured(texts.select(*ident, "row"), counted, ["host", "t1"], "left", row_bytes=64)
+    placing = F.pmod(F.xxhash64("t1", "t2"), "shards").alias("shard")
     chosen = stored(
-        join_measured(weighed, hosts, "host", row_bytes=64).select(
-            "row", F.pmod(F.xxhash64("t1", "t2"), "shards").alias("shard"), "parts", "total",
-            F.coalesce("weight", F.lit(0)).alias("weight"),
-        ),
-        "html-chosen",
+        join_measured(weighed, hosts.select("host", "shards"), "host", row_bytes=64).select("row", placing, "weight"), "html-chosen"
     )
-    sharded = join_measured(
-        large.select("row", *ident, "blocks"), chosen, "row", row_bytes=48
-    ).select(*ident, "blocks", "shard", "parts", "total", "weight")
+    looked_at = join_measured(placed.select("row", "host", "blocks"), chosen, "row", row_bytes=32).drop("row")
 
-    def emit(table: pa.Table) -> pa.Table:
+    def name(table: pa.Table) -> pa.Table:
         streams = [stream_of(_from_bytes(b)) for b in table["blocks"].to_pylist()]
-        found = shard_passages(streams, table["weight"].to_pylist(), table["parts"][0].as_py(), run)
-        fixed = [table[name][0].as_py() for name in ("host", "shard", "total")]
-        rows = [(*fixed, *own) for own in found]
-        return pa.Table.from_pylist([dict(zip(PACKED.names, row, strict=True)) for row in rows], PACKED)
-
-    def merge(table: pa.Table) -> pa.Table:
-        packed = list(zip(*(table[name].to_pylist() for name in ("hashes", "texts", "weights")), strict=True))
-        bits = merge_passages(table["size"].to_pylist(), packed, table["total"][0].as_py())
-        columns = [table["host"], table["shard"], table["part"], *(pa.array([b[k] for b in bits], pa.binary()) for k in (0, 1))]
-        return pa.table(columns, names=["host", "shard", "part", "several", "often"])
-
-    merged = sharded.groupBy("host", "shard").applyInArrow(
-        emit, "host string, shard long, total long, part long, size long, hashes binary, texts binary, weights binary"
-    ).groupBy("host", "part").applyInArrow(merge, "host string, shard long, part long, several binary, often binary")
-
-    def finish(table: pa.Table, found: pa.Table) -> pa.Table:
-        own = [_from_bytes(b) for b in table["blocks"].to_pylist()]
-        bits = {k: (a, b) for k, a, b in zip(*(found[name].to_pylist() for name in ("part", "several", "often")), strict=True)}
-        texts = shard_texts(own, table["parts"][0].as_py(), bits, run) if own else []
-        return result(table, texts, ident, True)
-
-    by_text = sharded.groupBy("host", "shard").cogroup(merged.groupBy("host", "shard")).applyInArrow(
-        finish, f"host string, t1 long, t2 long, text binary, {kind}"
-    )
-
-    def unpack(rows: pa.RecordBatch) -> pa.RecordBatch:
-        texts = pa.array([_unsqueeze(b) for b in rows.column(2).to_pylist()], pa.string())
-        return pa.RecordBatch.from_arrays([*rows.columns[:2], texts, *rows.columns[3:]], rows.schema.names)
-
-    # A text's copies are joined to it; adaptive execution splits a text of many copies.
-    out = large.select("page_id", "url", *ident).join(by_text, ident)
-    out = by_batch(out.select("page_id", "url", "text", "n_chars", "n_repeated"), unpack, small.schema)
-    return small.unionByName(out)
+        found = shard_candidates(streams, table["weight"].to_pylist(), run)
+        return pa.table([pa.repeat(table["host"][0], len(found)), pa.array(found.view(np.int64))], ["host", "hash"])
+
+    named = looked_at.groupBy("host", "shard").applyInArrow(name, "host string, hash long").distinct()
+    named = stored(named.groupBy("host").agg(F.collect_list("hash").alias("hashes")), "html-candidates")
+
+    def weigh(rows: pa.RecordBatch) -> pa.RecordBatch:
+        hosts, blocks_, weight, wanted = (rows.column(rows.schema.get_field_index(n)) for n in ("host", "blocks", "weight", "hashes"))
+        sets = [np.array(h, np.int64).view(np.uint64) for h in wanted.to_pylist()]
+        found = held_candidates([stream_of(_from_bytes(b)) for b in blocks_.to_pylist()], sets, run)
+        sums: Counter[tuple[str, int]] = Counter()
+        for own, times, values in zip(hosts.to_pylist(), weight.to_pylist(), found, strict=True):
+            for value in values.view(np.int64).tolist():
+                sums[own, value] += times
+        columns = [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.int64()), pa.array([*sums.values()], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["host", "hash", "weight"])
+
+    sums = by_batch(_by_host(looked_at, named, "inner"), weigh, "host string, hash long, weight long")
+    sums = sums.groupBy("host", "hash").agg(F.sum("weight").alias("weight")).filter(F.col("weight") >= MIN_TEXTS * KEYS)
+    enough = F.col("weight") * SHARE[1] >= F.col("total") * SHARE[0]
+    often = join_measured(sums, hosts.select("host", "total"), "host", row_bytes=64).filter(enough)
+    often = stored(often.groupBy("host").agg(F.collect_list("hash").alias("hashes")), "html-boilerplate")
+
+    def finish(rows: pa.RecordBatch) -> pa.RecordBatch:
+        own = [_from_bytes(b) for b in rows.column(2).to_pylist()]
+        sets = [np.array(h or [], np.int64).view(np.uint64) for h in rows.column(3).to_pylist()]
+        texts = page_texts(own, sets, run)
+        columns = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
+        return pa.RecordBatch.from_arrays([*rows.columns[:2], *columns], ["page_id", "url", "text", "n_chars"])
+
+    last = _by_host(placed.select("page_id", "url", "blocks", "decides", "host"), often, "left")
+    last = last.select("page_id", "url", "blocks", F.when(F.col("decides"), F.col("hashes")).alias("hashes"))
+    return by_batch(last, finish, "page_id long, url string, text string, n_chars long")
