@@ -15,7 +15,7 @@ one after the other; a task holds one turn at a time, however long a
 conversation is. Escaping is done before that, where the rows are read.
 
 Cases: a null text or role is empty. Rows are ordered by turn, null first; turns
-of the same number by role, then text. Repeated rows are turns of their own. Rows
+of the same number by role, then escaped text. Repeated rows are turns of their own. Rows
 with a null conv_id form one conversation. Other columns are ignored. A
 conversation has at least one row; an empty table has none.
 """

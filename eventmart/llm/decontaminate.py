@@ -20,14 +20,13 @@ through by ``decontaminated`` and ignored otherwise.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.tables import by_batch, stored, utf8
+from eventmart.llm.tables import by_batch, free_name, join_measured, stored, utf8
 
 WINDOW = 13
 # A document is contaminated if at least one word in SHARE lies in a window.
@@ -158,24 +157,21 @@ def contamination(
     )
 
 
-def items_digest(names: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
-
-
 def decontaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, group_bytes: int = GROUP_BYTES
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that are not contaminated.
 
-    With one group of items the rows are judged where they are read. Otherwise
-    they carry their text's hash, by which equal texts share one judgement.
+    With one group of items the rows are judged where they are read. Otherwise they get
+    numbers in a stored copy, and each row is judged under its own.
     """
     grouped, groups = _item_groups(benchmark, group_bytes)
     if groups > 1:
-        text = F.coalesce("text", F.lit(""))
-        judged = contamination(docs.select(F.xxhash64(text).alias("doc_id"), "text"), benchmark, window, share, group_bytes)
-        bad = stored(judged.filter("contaminated").select(F.col("doc_id").alias("__text")).distinct(), "decontaminate-bad")
-        return docs.withColumn("__text", F.xxhash64(text)).join(bad, "__text", "left_anti").drop("__text")
+        number = free_name("number", docs)
+        rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "decontaminate-numbered")
+        judged = contamination(rows.select(F.col(number).alias("doc_id"), "text"), benchmark, window, share, group_bytes)
+        bad = stored(judged.filter("contaminated").select(F.col("doc_id").alias(number)), "decontaminate-bad")
+        return join_measured(rows, bad, number, "left_anti", row_bytes=16).drop(number)
     search = searchers([(r.item_id, r.text.encode()) for r in grouped.toLocalIterator()], window)
     at = docs.columns.index("text")
 

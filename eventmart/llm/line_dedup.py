@@ -15,7 +15,10 @@ keeper, the largest doc_id.
 
 Cases: a null text counts as empty, that is one empty line. A null doc_id sorts
 below all others and counts as one document. Rows that share a doc_id are one
-document: they keep or lose a line together. Other columns are handed through.
+document: they keep or lose a line together. What a row loses is gathered by its
+document and a hash of its own text, so a doc_id of many rows is no group of its own; a
+line that two texts under one id and one hash lose together belongs to both. Other columns are
+handed through, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,10 +26,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.tables import by_batch, join_measured, stored, utf8
+from eventmart.llm.tables import by_batch, free_name, join_measured, stored, utf8
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -47,21 +50,26 @@ def line_hash(line: bytes, min_chars: int = MIN_CHARS) -> bytes | None:
     return xxhash.xxh3_128_digest(key.translate(LOWER))
 
 
+def _doc() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST))
+
+
 def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row for each document row and distinct key: doc (long), h1, h2 (halves of the hash)."""
+    """One row for each document row and distinct key: doc, body (a hash of the text), h1, h2 (halves of the line's hash)."""
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-        docs, hashes = [], []
-        for doc, text in zip(rows.column(0).to_pylist(), utf8(rows.column(1)), strict=True):
+        docs, bodies, hashes = [], [], []
+        for doc, body, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), utf8(rows.column(2)), strict=True):
             own = {h for line in (text or b"").split(b"\n") if (h := line_hash(line, min_chars))}
             docs += [doc] * len(own)
+            bodies += [body] * len(own)
             hashes += own
         pairs = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
-        columns = [pa.array(docs, pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])]
-        return pa.RecordBatch.from_arrays(columns, ["doc", *KEY])
+        columns = [pa.array(docs, pa.int64()), pa.array(bodies, pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])]
+        return pa.RecordBatch.from_arrays(columns, ["doc", "body", *KEY])
 
-    narrow = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("doc"), "text")
-    return by_batch(narrow, batch, "doc long, h1 long, h2 long")
+    narrow = docs.select(_doc().alias("doc"), F.xxhash64("text").alias("body"), "text")
+    return by_batch(narrow, batch, "doc long, body long, h1 long, h2 long")
 
 
 def _sorted_run(frame: DataFrame, name: str) -> DataFrame:
@@ -108,16 +116,16 @@ def merge_runs(runs: list[DataFrame]) -> DataFrame:
 def drops(
     docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES, fan_in: int = FAN_IN
 ) -> DataFrame:
-    """doc and hashes (array of 16-byte keys) of the lines each document loses; documents that lose none are left out."""
-    bare = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("doc"))
+    """doc, body and hashes (array of 16-byte keys) of the lines each text loses; texts that lose none are left out."""
+    bare = docs.select(_doc().alias("doc"))
     cuts = bare.approxQuantile("doc", [k / batches for k in range(1, batches)], 0.01) if batches > 1 else []
     batch = sum((F.when(F.col("doc") < F.lit(int(cut)), 1).otherwise(0) for cut in cuts), F.lit(0))
     lines = stored(line_hashes(docs, min_chars).withColumn("batch", batch), "lines", "batch", narrow=True)
     runs = line_runs(lines, batches, fan_in)
     frequent = stored(merge_runs(runs).filter(F.col("n_docs") >= min_docs).select(*KEY, "keeper"), "line-frequent")
     lost = join_measured(lines, frequent, KEY, row_bytes=24).filter(F.col("doc") != F.col("keeper"))
-    keyed = lost.select("doc", F.struct(*KEY).alias("h"))
-    return stored(keyed.groupBy("doc").agg(F.collect_set("h").alias("hashes")), "line-drops")
+    keyed = lost.select("doc", "body", F.struct(*KEY).alias("h"))
+    return stored(keyed.groupBy("doc", "body").agg(F.collect_set("h").alias("hashes")), "line-drops")
 
 
 def dedup_lines(
@@ -130,11 +138,12 @@ def dedup_lines(
     """
     gone = drops(docs, min_chars, min_docs, batches, fan_in)
     size = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()
-    gone = gone.select(F.col("doc").alias("__doc"), F.col("hashes").alias("__hashes"))
     given = docs.drop("n_lines", "n_dropped")
     names = given.columns
-    keyed = given.withColumn("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)))
-    joined = join_measured(keyed, gone, "__doc", "left", row_bytes=16, rows=size[0] + size[1])
+    doc, body, hashes = (free_name(name, given) for name in ("doc", "body", "hashes"))
+    gone = gone.select(F.col("doc").alias(doc), F.col("body").alias(body), F.col("hashes").alias(hashes))
+    keyed = given.withColumns({doc: _doc(), body: F.xxhash64("text")})
+    joined = join_measured(keyed, gone, [doc, body], "left", row_bytes=16, rows=size[0] + size[1])
     at = names.index("text")
 
     def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -155,5 +164,5 @@ def dedup_lines(
         return pa.RecordBatch.from_arrays(columns, [*names, "n_lines", "n_dropped"])
 
     out = given.withColumns({"n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long")}).schema
-    whole = joined.drop("__doc")  # the given columns in their order, then the hashes
+    whole = joined.select(*(F.col(f"`{c}`") for c in names), hashes)
     return by_batch(whole, batch, out)

@@ -76,6 +76,14 @@ def by_batch(frame: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
     return frame.mapInArrow(run, schema)
 
 
+def free_name(name: str, frame: DataFrame) -> str:
+    """A name that no column of the frame has, in whichever case."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(column: pa.Array) -> list:
     """The texts of a column as bytes, None for null."""
     return column.cast(pa.large_binary()).to_pylist()

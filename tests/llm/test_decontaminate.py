@@ -61,11 +61,11 @@ def test_equals_brute_force(spark, group_bytes):
 def test_contaminated_rows_go_and_columns_stay(spark, group_bytes):
     docs, items = tables()
     bad = [not row[4] for row in brute(docs, items)]
-    given = spark.createDataFrame([(*d, "e") for d in docs], "doc_id long, text string, n_words string")
+    given = spark.createDataFrame([(*d, "e", "n", "t") for d in docs], "doc_id long, text string, n_words string, number string, __text string")
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     kept = D.decontaminated(given, benchmark, group_bytes=group_bytes)
     assert kept.columns == given.columns
-    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(repr((*d, "e")) for d, keep in zip(docs, bad) if keep)
+    assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(repr((*d, "e", "n", "t")) for d, keep in zip(docs, bad) if keep)
 
 
 def test_empty_tables(spark):

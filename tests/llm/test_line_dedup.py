@@ -30,14 +30,22 @@ def test_equals_brute_force(spark, docs, prose, batches, fan_in):
     rows = list(enumerate(prose)) + [(200 + k, f"own {k}\n {line.upper()} \r\nend\n{line}") for k in range(20)]
     rows += [(210, "row of the same document\n" + line), (None, line), (None, f"{line}\n{line}"), (230, "é" * 19), (231, "é" * 19), (232, "é" * 19)]
     rows += [(240 + k, "é" * 20) for k in range(3)] + [(250 + k, "É" * 20) for k in range(2)] + [(-5, line)]
-    given = docs(*rows, extra=("n_lines", "doc", "h1"))
+    given = docs(*rows, extra=("n_lines", "doc", "h1", "Body", "hashes", "__doc", "__hashes"))
     found = L.dedup_lines(given, batches=batches, fan_in=fan_in)
-    assert found.columns == ["doc_id", "text", "lang", "source", "n_chars", "doc", "h1", "n_lines", "n_dropped"]
+    assert found.columns == ["doc_id", "text", "lang", "source", "n_chars", "doc", "h1", "Body", "hashes", "__doc", "__hashes", "n_lines", "n_dropped"]
     got = [(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in found.collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, brute(rows)))
     assert sum(n for *_, n in got) > 20
 
 
+def test_many_rows_under_one_id_are_gathered_by_text(spark, docs):
+    line = "a line that many of the documents share"
+    rows = [(7, f"text {k % 50}\n{line}") for k in range(300)] + [(8, line), (9, f"{line}\nend"), (None, line)]
+    found = [(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in L.dedup_lines(docs(*rows)).collect()]
+    assert sorted(map(repr, found)) == sorted(map(repr, brute(rows)))
+    assert L.drops(docs(*rows)).filter("doc = 7").count() == 50
+
+
 def test_runs_stay_few_and_hold_each_keeper_once(spark):
     rows = [(doc, doc % 5, 0, 3 - doc // 10) for doc in range(40)]
     lines = spark.createDataFrame(rows, "doc long, h1 long, h2 long, batch int")
