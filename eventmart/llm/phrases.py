@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.tables import by_batch, stored, utf8
+from eventmart.llm.tables import by_batch, join_measured, stored, utf8
 
 ORDER = 5
 LEAST = 100
@@ -197,7 +197,7 @@ def collocations(
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
     windows = counted_windows(texts, frequent_pairs(texts, least, bits), order)
     counts = stored(phrase_counts(stored(windows, "phrase-windows"), order, least), "phrase-counts")
-    totals = counts.filter("words IS NULL").select("lang", F.col("f").alias("n"))
+    totals = stored(counts.filter("words IS NULL").select("lang", F.col("f").alias("n")), "phrase-totals")
     phrases = counts.filter("words IS NOT NULL").select("lang", "words", _joined(F.col("words")).alias("phrase"), "f")
     candidates = phrases.filter(F.size("words") > 1)
 
@@ -222,7 +222,7 @@ def collocations(
     ).drop("words")
     left = phrases.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l"))
     right = phrases.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r"))
-    parts = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).join(totals, "lang")
+    parts = join_measured(cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]), totals, "lang")
     wide = "decimal(19,0)"
     score = F.call_function(
         "div", (F.col("a") * 1000).cast(wide) * F.col("n").cast(wide), F.col("l").cast(wide) * F.col("r").cast(wide)
