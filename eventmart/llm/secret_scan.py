@@ -57,6 +57,8 @@ RULES = (
 
 BREAK = None
 MOST_ALTERNATIVES = 64
+# Matches whose positions are added up in one go.
+BLOCK = 256
 
 
 def _expand(tree) -> list[tuple]:
@@ -127,34 +129,66 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> tuple[DataFr
     return stored(kinds, "secret-candidates"), queries
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _matches(rule: Rule) -> Column:
-    """Matches of a rule in ``text`` as array of (start, end)."""
+    """Matches of a rule in ``text`` as array of (start, end).
+
+    Positions are added up within blocks of matches and then over the blocks, so that
+    no step copies an array that grows with the text.
+    """
     pattern = F.lit(rule.pattern)
     zipped = F.arrays_zip(
         F.split("text", rule.pattern, -1).alias("gap"),
         F.regexp_extract_all("text", pattern, F.lit(0)).alias("hit"),
         F.regexp_extract_all("text", pattern, F.lit(rule.measured)).alias("part"),
     )
+    zero = F.lit(0).cast("long")
 
     def step(seen: Column, x: Column) -> Column:
         start = seen["at"] + F.length(x["gap"])
         end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        # Written as text, for appending to a text copies less than rebuilding an array.
-        span = F.when(F.length(x["part"]) >= rule.least, F.concat_ws(":", start, end)).otherwise("")
-        return F.struct(
-            end.cast("long").alias("at"),
-            F.when(span == "", seen["out"]).otherwise(F.concat(seen["out"], span, F.lit(","))).alias("out"),
+        span = F.array(F.struct(start.alias("start"), end.alias("end")))
+        out = F.when(F.length(x["part"]) >= rule.least, F.concat(seen["out"], span)).otherwise(seen["out"])
+        return F.struct(end.alias("at"), out.alias("out"))
+
+    def blocks(found: Column) -> Column:
+        """Length and spans of each block, counted from its beginning."""
+        first = F.struct(zero.alias("at"), _no_spans().alias("out"))
+        firsts = F.sequence(F.lit(1), F.size(found), F.lit(BLOCK))
+        return F.transform(firsts, lambda at: F.aggregate(F.slice(found, at, F.lit(BLOCK)), first, step))
+
+    def moved(parts: Column) -> Column:
+        """The spans of all blocks, counted from the beginning of the text."""
+        first = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("starts"))
+        starts = F.aggregate(
+            parts, first,
+            lambda seen, part: F.struct(
+                (seen["at"] + part["at"]).alias("at"), F.concat(seen["starts"], F.array(seen["at"])).alias("starts")
+            ),
+            lambda seen: seen["starts"],
         )
+        return F.flatten(F.zip_with(parts, starts, lambda part, at: F.transform(part["out"], lambda s: _move(s, at))))
+
+    return _let(_let(zipped, blocks), moved)
+
+
+def _no_spans() -> Column:
+    return F.array().cast("array<struct<start:bigint,end:bigint>>")
+
 
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    return F.aggregate(zipped, first, step, lambda seen: F.rtrim(seen["out"], F.lit(",")))
+def _move(span: Column, by: Column) -> Column:
+    return F.struct((span["start"] + by).alias("start"), (span["end"] + by).alias("end"))
 
 
 def _span(rank: int, rule: Rule):
-    """From a listed match to its struct."""
+    """From a match to its struct."""
     return lambda s: F.struct(
-        F.split(s, ":")[0].cast("long").alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"),
-        F.split(s, ":")[1].cast("long").alias("end"), F.lit(rule.base).alias("base"),
+        s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"),
+        s["end"].alias("end"), F.lit(rule.base).alias("base"),
     )
 
 
@@ -176,6 +210,5 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         due = F.col("text").rlike(likely)
         if queries[rule.kind]:
             due = F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False)) & due
-        listed = F.when(due, _matches(rule)).otherwise("")
-        arrays.append(F.transform(F.filter(F.split(listed, ","), lambda s: s != ""), _span(rank, rule)))
+        arrays.append(F.transform(F.when(due, _matches(rule)).otherwise(_no_spans()), _span(rank, rule)))
     return joined.select("doc_id", F.array_sort(F.concat(*arrays)).alias("spans"))
