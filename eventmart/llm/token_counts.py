@@ -10,7 +10,9 @@ In each task the distinct pre-tokens are inserted into a trie of bytes. The best
 score of a prefix depends on the prefix alone, so it is computed once at its node
 and shared by all pre-tokens that begin with it; the number of pieces at a
 terminal node is the pre-token's count. A trie that outgrows MAX_NODES is begun
-anew, which bounds a task's memory and changes no result. Nothing is shuffled.
+anew, and a pre-token of more than LONG bytes gets no nodes: the same recurrence
+runs over a window as long as the longest piece. Both bound a task's memory and
+change no result. Nothing is shuffled.
 
 Every byte is a piece, so every text can be cut. Cases: a null or empty text has
 no tokens. Rows are returned as often as given, with a null doc_id too. Other
@@ -34,6 +36,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the pattern that goes with the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 MAX_NODES = 300_000
+LONG = 256
 
 
 def read_vocabulary(path: str = VOCABULARY) -> dict[bytes, float]:
@@ -64,6 +67,8 @@ class Trie:
         known = self.terminal.get(word)
         if known is not None:
             return known
+        if len(word) > LONG:
+            return self._count_long(word)
         if len(self.best) + len(word) > self.max_nodes:
             self.clear()
         children, best, pieces, scores = self.children, self.best, self.pieces, self.scores
@@ -89,6 +94,22 @@ class Trie:
         self.terminal[word] = pieces[node]
         return pieces[node]
 
+    def _count_long(self, word: bytes) -> int:
+        """Pieces of a pre-token that is too long for the trie; keeps as many positions as the longest piece has bytes."""
+        scores, longest = self.scores, self.longest
+        best, pieces = [0.0] * longest, [0] * longest  # of position p at p modulo their length
+        for end in range(1, len(word) + 1):
+            score, count = -math.inf, 0
+            for start in range(max(0, end - longest), end):
+                piece = scores.get(word[start:end])
+                if piece is not None:
+                    total = best[start % longest] + piece
+                    number = pieces[start % longest] + 1
+                    if total > score or (total == score and number < count):
+                        score, count = total, number
+            best[end % longest], pieces[end % longest] = score, count
+        return pieces[len(word) % longest]
+
 
 def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, max_nodes: int = MAX_NODES) -> DataFrame:
     """Per document row: doc_id, n_pretokens, n_tokens."""

@@ -31,6 +31,16 @@ def test_trie_equals_brute_force():
         assert [trie.count(w) for w in words] == [brute(w, scores) for w in words]
 
 
+def test_long_words_need_no_nodes(monkeypatch):
+    random.seed(3)
+    monkeypatch.setattr(C, "LONG", 6)
+    scores = small_scores()
+    words = ["".join(random.choices("abc ", k=random.randint(1, 60))).encode() for _ in range(200)]
+    trie = C.Trie(scores)
+    assert [trie.count(w) for w in words] == [brute(w, scores) for w in words]
+    assert max(map(len, trie.terminal)) <= 6
+
+
 def test_prefixes_are_computed_once():
     trie = C.Trie(small_scores())
     trie.count(b"abcabc")
