@@ -1,10 +1,10 @@
 """Exact de-duplication by progressive refinement: length, prefix hash, full hash.
 
 Texts are equal if they are identical after deleting white space (0x09-0x0D and
-0x20). Rows are grouped by the length of what is left, rows of lengths that
-occur twice by a hash of its first characters, and only rows whose length and
-prefix both occur twice are hashed in full. Which rows those are is told by a bitmap of
-fixed size, so the second scan hashes them in place and no text is shuffled; a
+0x20). The lengths of what is left are counted first. Only rows of a length that
+occurs twice get a hash of their first characters, and only rows whose length and
+prefix both occur twice are hashed in full. Which rows those are is told by bitmaps of
+fixed size, so each scan hashes them in place and no text is shuffled; a
 false hit costs a hash and changes nothing, because groups are formed by the
 full hash. Groups are aggregated before they are shuffled, and a group of any
 size is one row after that.
@@ -33,52 +33,76 @@ def normalized(text: str = "text") -> Column:
     return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+", "")
 
 
-def _with_keys(docs: DataFrame) -> DataFrame:
+def _measured(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.length(F.coalesce("text", F.lit(""))).alias("chars"),
         normalized().alias("norm"),
-    ).select(
-        "*",
-        F.length("norm").alias("size"),
-        F.xxhash64(F.substring("norm", 1, PREFIX_CHARS)).alias("prefix"),
-    )
+    ).select("*", F.length("norm").alias("size"))
 
 
-def shared_prefixes(docs: DataFrame) -> DataFrame:
-    """(size, prefix) that at least two rows have in common."""
-    keys = stored(_with_keys(docs).groupBy("size", "prefix").agg(F.count("*").alias("n")), "exact-keys")
-    lengths = keys.groupBy("size").agg(F.sum("n").alias("n")).filter("n > 1").select("size")
-    return keys.join(lengths, "size", "left_semi").filter("n > 1").select("size", "prefix")
+def _bitmap(keys: DataFrame) -> DataFrame:
+    """The rows of ``keys`` as bits, (bucket, bits), of their hashes."""
+    bucket, bit = _spot(*keys.columns)
+    rows = keys.select(bucket.alias("bucket"), bit.cast("long").alias("bit"))
+    return stored(rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), "exact-bitmap")
 
 
-def exact_duplicates(docs: DataFrame, **extra: Column) -> DataFrame:
-    """One row for each document row: doc_id, keep_id, group_size, kept.
+def _spot(*columns: str) -> tuple[Column, Column]:
+    spot = F.pmod(F.xxhash64(*columns), F.lit(BITMAP_BITS))
+    return F.floor(spot / 32_768).cast("int"), F.pmod(spot, F.lit(32_768)).cast("int")
 
-    ``extra`` are further columns computed while the text is read; they may use
-    ``norm``, the text without white space, and must not be named like a column used here.
-    """
-    spot = F.pmod(F.xxhash64("size", "prefix"), F.lit(BITMAP_BITS))
-    bucket, bit = F.floor(spot / 32_768).cast("int"), F.pmod(spot, F.lit(32_768)).cast("int")
-    bitmap = stored(
-        shared_prefixes(docs)
-        .select(bucket.alias("bucket"), bit.cast("long").alias("bit"))
-        .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")),
-        "exact-bitmap",
-    )
+
+def _marked(rows: DataFrame, bitmap: DataFrame, *columns: str, name: str) -> DataFrame:
+    """Whether the bit of a row's columns is set, as column ``name``."""
+    bucket, bit = _spot(*columns)
     byte = F.conv(F.hex(F.expr("substring(bits, bit div 8 + 1, 1)")), 16, 10).cast("int")
     shared = F.expr("bits IS NOT NULL") & (F.expr("shiftright(byte, bit % 8)").bitwiseAND(F.lit(1)) == 1)
-    rows = stored(
-        _with_keys(docs).withColumns({"bucket": bucket, "bit": bit})
-        .join(F.broadcast(bitmap), "bucket", "left")
-        .withColumn("byte", byte)
-        .select(
-            F.monotonically_increasing_id().alias("row"), "doc_id", "chars", "size",
-            F.when(shared, F.sha2("norm", 256)).alias("full"),
+    # A bitmap has at most 1,024 rows.
+    held = rows.withColumns({"bucket": bucket, "bit": bit}).join(F.broadcast(bitmap), "bucket", "left")
+    return held.withColumn("byte", byte).withColumn(name, shared).drop("bucket", "bit", "bits", "byte")
+
+
+def shared_lengths(docs: DataFrame) -> DataFrame:
+    """Lengths that at least two rows have in common."""
+    return _measured(docs).groupBy("size").agg(F.count("*").alias("n")).filter("n > 1").select("size")
+
+
+def _with_prefix(docs: DataFrame, lengths: DataFrame) -> DataFrame:
+    """Measured rows with a hash of their first characters where their length is shared."""
+    prefix = F.xxhash64(F.substring("norm", 1, PREFIX_CHARS))
+    rows = _marked(_measured(docs), lengths, "size", name="same_size")
+    return rows.withColumn("prefix", F.when(F.col("same_size"), prefix))
+
+
+def shared_prefixes(docs: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(size, prefix) that at least two rows have in common, given the bitmap of shared lengths."""
+    rows = _with_prefix(docs, lengths).filter("same_size")
+    return rows.groupBy("size", "prefix").agg(F.count("*").alias("n")).filter("n > 1").select("size", "prefix")
+
+
+def hashed(docs: DataFrame, **extra: Column) -> DataFrame:
+    """A row for each document row with the hashes it needed: ``prefix`` and ``full`` are null where one did not do it."""
+    lengths = _bitmap(shared_lengths(docs))
+    prefixes = _bitmap(shared_prefixes(docs, lengths))
+    rows = _marked(_with_prefix(docs, lengths), prefixes, "size", "prefix", name="same_prefix")
+    return stored(
+        rows.select(
+            F.monotonically_increasing_id().alias("row"), "doc_id", "chars", "size", "prefix",
+            F.when(F.col("same_size") & F.col("same_prefix"), F.sha2("norm", 256)).alias("full"),
             *(column.alias(name) for name, column in extra.items()),
         ),
         "exact-rows",
     )
+
+
+def exact_duplicates(docs: DataFrame, **extra: Column) -> DataFrame:
+    """One row for each document row: doc_id, keep_id, group_size, kept.
+
+    ``extra`` are further columns computed while the text is read; they may use
+    ``norm``, the text without white space, and must not be named like a column used here.
+    """
+    rows = hashed(docs, **extra)
     groups = stored(
         rows.filter("full IS NOT NULL")
         .groupBy("size", "full")

@@ -28,9 +28,15 @@ def test_same_length_and_prefix_is_not_enough(spark, docs):
     assert [(r.group_size, r.kept, r.chars_left) for r in found] == [(1, True, 101)] * 3
 
 
-def test_only_shared_prefixes_survive(spark, docs):
-    found = E.shared_prefixes(docs("abc", "a b c", "abd", "abcd"))
-    assert [(r.size) for r in found.collect()] == [3]
+def test_only_shared_lengths_and_prefixes_are_hashed(spark, docs):
+    start = "x" * 100
+    given = docs("abc", "a b c", "abd", "abcde", start + "a", start + "b", "y" * 101, "z" * 50)
+    assert sorted(r.size for r in E.shared_lengths(given).collect()) == [3, 101]
+    lengths = E._bitmap(E.shared_lengths(given))
+    assert sorted(r.size for r in E.shared_prefixes(given, lengths).collect()) == [3, 101]
+    found = E.hashed(given).orderBy("doc_id").collect()
+    assert [r.prefix is not None for r in found] == [True, True, True, False, True, True, True, False]
+    assert [r.full is not None for r in found] == [True, True, False, False, True, True, False, False]
 
 
 def test_empty_table(spark, docs):
