@@ -9,8 +9,10 @@ when the whole node is short. All amounts are whole numbers of tokens; less than
 one token for each child is lost to rounding down.
 
 A leaf that gets n times its tokens and a rest gives n whole epochs and, of the
-epoch after them, the prefix of a seeded order that fits into the rest. The
-order is that of a hash of seed, epoch and doc_id. Where the prefix ends is
+epoch after them, the shortest prefix of a seeded order that holds the rest: the
+document that crosses the end is the last one, so a leaf gives what it is given and less
+than a document more, and one of few long documents is not empty. The
+order is that of a hash of seed, epoch, doc_id and text. Where the prefix ends is
 found by adding up tokens by the leading digits of the hash, then by the next
 digits within the one bucket that holds the end, then document by document
 within that, so no window runs over all documents of a leaf.
@@ -19,8 +21,8 @@ Tokens are words: runs of other than white space (0x09-0x0D, 0x20). Built-in
 functions only.
 
 Cases: null domain, language or source are the node ''. A null text has no
-tokens. Rows that share a leaf and a doc_id come next to each other in the order
-and are taken together or not at all. A leaf without a token gives no rows. An
+tokens. Rows that share a doc_id, or have none, are taken one by one unless their leaf and text
+are equal too; such copies are one document. A leaf without a token gives no rows. An
 empty table gives an empty table. A null doc_id is ordered as ''. Weights not listed are 1; zero or less is an error.
 """
 
@@ -99,17 +101,23 @@ def leaf_budgets(
     return nodes.withColumnRenamed("budget", "given")
 
 
+def _identity(doc_id: Column, text: Column) -> Column:
+    """What tells documents apart in the order."""
+    content = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), content)
+
+
 def _hash(seed: int, epoch: Column) -> Column:
-    text = F.concat(F.lit(f"{seed}:"), epoch.cast("string"), F.lit(":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    text = F.concat(F.lit(f"{seed}:"), epoch.cast("string"), F.lit(":"), F.col("identity"))
     return F.md5(text.cast("binary"))
 
 
 def _end(rows: DataFrame, ends: DataFrame, bucket: Column) -> DataFrame:
-    """For each leaf, the first bucket that no longer fits whole (null if all fit), and what is left for it."""
+    """For each leaf with a rest, the bucket that reaches it, and what of the rest is left for this bucket."""
     sums = rows.groupBy(*TREE, bucket.alias("bucket")).agg(F.sum("tokens").alias("tokens"))
     through = F.sum("tokens").over(Window.partitionBy(*TREE).orderBy("bucket"))
-    run = sums.withColumn("through", through).join(ends.select(*TREE, "rest"), list(TREE)).filter("through > rest")
-    # Sums only grow, so the smallest sum and bucket beyond the rest belong to one row.
+    due = ends.filter("rest > 0").select(*TREE, "rest")
+    run = sums.withColumn("through", through).join(due, list(TREE)).filter("through >= rest")
     first = run.groupBy(*TREE).agg(F.min("bucket").alias("bucket"), F.min("rest").alias("rest"))
     at = run.join(first.select(*TREE, "bucket"), [*TREE, "bucket"])
     return at.select(*TREE, "bucket", (F.col("rest") - F.col("through") + F.col("tokens")).alias("rest"))
@@ -119,7 +127,7 @@ def plan(
     docs: DataFrame, weights=None, budget_share=BUDGET_SHARE, max_epochs: int = MAX_EPOCHS, seed: int = SEED
 ) -> DataFrame:
     """For each leaf: tokens, given, epochs (whole ones) and last_hash (end of the prefix of the next)."""
-    rows = stored(_tree_columns(docs).select(*TREE, "doc_id", "tokens"), "mixing-rows", narrow=True)
+    rows = stored(_tree_columns(docs).select(*TREE, "identity", "tokens"), "mixing-rows", narrow=True)
     leaves = rows.groupBy(*TREE).agg(F.sum("tokens").alias("tokens"))
     budgets = stored(
         leaf_budgets(leaves, weights or WEIGHTS, budget_share, max_epochs)
@@ -127,9 +135,8 @@ def plan(
         .withColumn("rest", F.col("given") - F.col("epochs") * F.col("tokens")),
         "mixing-budgets",
     )
-    hashed = join_measured(rows, budgets.select(*TREE, "epochs"), list(TREE), row_bytes=64).withColumn(
-        "hash", _hash(seed, F.col("epochs"))
-    )
+    due = budgets.filter("rest > 0").select(*TREE, "epochs")
+    hashed = join_measured(rows, due, list(TREE), row_bytes=64).withColumn("hash", _hash(seed, F.col("epochs")))
     digits = BUCKET_DIGITS
     one = stored(_end(hashed, budgets, F.substring("hash", 1, digits)), "mixing-ends")
     inside = join_measured(hashed, one.select(*TREE, F.col("bucket").alias("first")), list(TREE), row_bytes=64)
@@ -139,31 +146,24 @@ def plan(
     close = join_measured(inside, second, list(TREE), row_bytes=64).filter(
         F.substring("hash", digits + 1, digits) == F.col("second")
     )
-    through = F.sum("tokens").over(Window.partitionBy(*TREE).orderBy("hash"))  # rows of one hash count together
-    last = close.withColumn("through", through).filter("through <= rest2").groupBy(*TREE).agg(F.max("hash").alias("exact"))
-    # The two leading parts alone sort after all lower buckets and before every hash of this one.
-    ends = (
-        budgets.join(one.select(*TREE, F.col("bucket").alias("first")), list(TREE), "left")
-        .join(second.select(*TREE, "second"), list(TREE), "left")
-        .join(last, list(TREE), "left")
-    )
+    # Copies of one document have one hash and are added up before the window.
+    close = close.groupBy(*TREE, "hash", "rest2").agg(F.sum("tokens").alias("tokens"))
+    through = F.sum("tokens").over(Window.partitionBy(*TREE).orderBy("hash"))
+    last = close.withColumn("through", through).filter("through >= rest2").groupBy(*TREE).agg(F.min("hash").alias("last"))
+    ends = budgets.join(last, list(TREE), "left")
     return stored(
-        ends.select(
-            *TREE, "tokens", "given", "epochs",
-            F.when(F.col("rest") > 0, F.coalesce("exact", F.concat("first", "second"))).otherwise("").alias("last_hash"),
-        ),
-        "mixing-plan",
+        ends.select(*TREE, "tokens", "given", "epochs", F.coalesce("last", F.lit("")).alias("last_hash")), "mixing-plan"
     )
 
 
 def _tree_columns(docs: DataFrame) -> DataFrame:
-    """The tree's columns and tokens of every row, beside nothing but doc_id."""
+    """The tree's columns, identity and tokens of every row."""
     domain = F.coalesce("domain", F.lit("")) if "domain" in docs.columns else domain_of(F.col("source"))
     return docs.select(
         domain.alias("domain"),
         F.coalesce("lang", F.lit("")).alias("language"),
         F.coalesce("source", F.lit("")).alias("source"),
-        F.col("doc_id").cast("long").alias("doc_id"),
+        _identity(F.col("doc_id"), F.col("text")).alias("identity"),
         F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("tokens"),
     )
 
@@ -180,7 +180,7 @@ def mix(
     domain = F.coalesce("domain", F.lit("")) if "domain" in docs.columns else domain_of(F.col("source"))
     keyed = given.select(
         F.struct(*(F.col(f"`{c}`") for c in given.columns)).alias("row"),
-        F.col("doc_id").cast("long").alias("doc_id"),
+        _identity(F.col("doc_id"), F.col("text")).alias("identity"),
         domain.alias("domain"),
         F.coalesce("lang", F.lit("")).alias("language"),
         F.coalesce("source", F.lit("")).alias("source"),

@@ -72,13 +72,13 @@ child{number} AS (
 
 OP3 = rf"""
 WITH row_ AS (
-    SELECT doc_id, lang, source,
+    SELECT doc_id, lang, source, md5(coalesce(text, '')) AS content,
            'd' || translate(substr(md5(coalesce(source, '')), 1, 1), '0123456789abcdef', '0000111122223333') AS domain,
            coalesce(lang, '') AS language,
            CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens
     FROM documents
 ), keyed AS (
-    SELECT doc_id, lang, domain, language, coalesce(source, '') AS source, source AS given_source, tokens FROM row_
+    SELECT doc_id, content, lang, domain, language, coalesce(source, '') AS source, source AS given_source, tokens FROM row_
 ), leaf AS (
     SELECT domain, language, source, CAST(sum(tokens) AS BIGINT) AS tokens FROM keyed GROUP BY ALL
 ), node0 AS (
@@ -89,13 +89,15 @@ plan AS (
     SELECT domain, language, source, coalesce(budget // nullif(tokens, 0), 0) AS epochs,
            budget - coalesce(budget // nullif(tokens, 0), 0) * tokens AS rest FROM node3
 ), hashed AS (
-    SELECT keyed.*, epochs, rest, md5('{mixing.SEED}:' || epochs || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    SELECT keyed.*, epochs, rest, 
+           md5('{mixing.SEED}:' || epochs || ':' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || content) AS h
     FROM keyed JOIN plan USING (domain, language, source)
 ), summed AS (
-    SELECT *, sum(tokens) OVER (PARTITION BY domain, language, source ORDER BY h) AS through FROM hashed
+    SELECT *, sum(tokens) OVER (PARTITION BY domain, language, source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+           - sum(tokens) OVER (PARTITION BY domain, language, source, h) AS before FROM hashed
 )
 SELECT doc_id, domain, lang, given_source AS source,
-       CAST(unnest(range(0, epochs + CASE WHEN rest > 0 AND through <= rest THEN 1 ELSE 0 END)) AS BIGINT) AS epoch
+       CAST(unnest(range(0, epochs + CASE WHEN before < rest THEN 1 ELSE 0 END)) AS BIGINT) AS epoch
 FROM summed
 """
 

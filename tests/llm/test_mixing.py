@@ -42,10 +42,13 @@ def brute(rows, weights, share, epochs, seed):
     out = []
     for key, own in leaf.items():
         whole, rest = divmod(budgets[key], tokens[key]) if tokens[key] else (0, 0)
-        hashed = [(hashlib.md5(f"{seed}:{whole}:{'' if i is None else i}".encode()).hexdigest(), t, row) for i, t, row in own]
+        hashed = []
+        for i, t, row in own:
+            content = hashlib.md5((row[1] or "").encode()).hexdigest()
+            hashed.append((hashlib.md5(f"{seed}:{whole}:{'' if i is None else i}:{content}".encode()).hexdigest(), t, row))
         for h, _, row in hashed:
-            through = sum(t for g, t, _ in hashed if g <= h)
-            times = whole + (1 if rest and through <= rest else 0)
+            before = sum(t for g, t, _ in hashed if g < h)
+            times = whole + (1 if before < rest else 0)
             out += [(*row, k) for k in range(times)]
     return out, budgets
 
@@ -74,6 +77,17 @@ def test_shortage_goes_to_siblings_first(spark):
     assert given == {"a": 10, "b": 41, "c": 51}  # x keeps its half: what a lacks goes to b
 
 
+def test_leaves_of_one_document_are_not_empty(spark):
+    given = spark.createDataFrame([(k, "t " * 50, "en", f"s{k}", "d") for k in range(3)], SCHEMA)
+    assert sorted(r.source for r in M.mix(given, {}, (1, 2), 2, 1).collect()) == ["s0", "s1", "s2"]
+
+
+def test_rows_without_an_id_are_taken_one_by_one(spark):
+    given = spark.createDataFrame([(None if k % 3 else k, f"t{k} " * 4, "en", "s", "d") for k in range(900)], SCHEMA)
+    found = M.mix(given, {}, (1, 2), 2, 1).collect()
+    assert len(found) == 450 and 250 < sum(r.doc_id is None for r in found) < 350
+
+
 def test_ends_by_buckets_equal_ends_by_documents(spark, monkeypatch):
     given = spark.createDataFrame(rows(), SCHEMA)
     wide = M.mix(given).collect()
