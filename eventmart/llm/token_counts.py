@@ -53,6 +53,12 @@ class Trie:
     def __init__(self, scores: dict[bytes, float], max_nodes: int = MAX_NODES):
         self.scores = scores
         self.longest = max(map(len, scores))
+        # Lengths of the pieces of three bytes and more by their last three, shortest first.
+        lengths: dict[bytes, set[int]] = {}
+        for piece in scores:
+            if len(piece) > 2:
+                lengths.setdefault(piece[-3:], set()).add(len(piece))
+        self.lengths = {tail: sorted(found) for tail, found in lengths.items()}
         self.max_nodes = max_nodes
         self.clear()
 
@@ -77,7 +83,7 @@ class Trie:
             child = children[node].get(byte)
             if child is None:
                 score, count = -math.inf, 0
-                for start in range(max(0, end - self.longest), end):
+                for start in self.starts(word, end):
                     piece = scores.get(word[start:end])
                     if piece is not None:
                         total = best[path[start]] + piece
@@ -94,13 +100,22 @@ class Trie:
         self.terminal[word] = pieces[node]
         return pieces[node]
 
+    def starts(self, word: bytes, end: int) -> list[int]:
+        """Where a piece that ends at ``end`` can begin."""
+        found = [end - 1, end - 2] if end > 1 else [0]
+        for length in self.lengths.get(word[end - 3 : end], ()) if end > 2 else ():
+            if length > end:
+                break
+            found.append(end - length)
+        return found
+
     def _count_long(self, word: bytes) -> int:
         """Pieces of a pre-token that is too long for the trie; keeps as many positions as the longest piece has bytes."""
         scores, longest = self.scores, self.longest
         best, pieces = [0.0] * longest, [0] * longest  # of position p at p modulo their length
         for end in range(1, len(word) + 1):
             score, count = -math.inf, 0
-            for start in range(max(0, end - longest), end):
+            for start in self.starts(word, end):
                 piece = scores.get(word[start:end])
                 if piece is not None:
                     total = best[start % longest] + piece
