@@ -3,12 +3,14 @@
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.mart import Mart
+from eventmart.plans.audit import check_mart
 from eventmart.plans.load import LoadOptions, load_batch
 from eventmart.session import configure
 from eventmart.sources import line_items
@@ -100,6 +102,36 @@ def halves_always(spark: SparkSession, folder: str) -> Mart:
     return _once("halves_always", spark, folder, load)
 
 
+def publish_unchecked(mart: Mart, facts: DataFrame) -> None:
+    """Append facts as a load of their own, past all rules."""
+    at = mart.commit_record()
+    load = mart.claim(at)
+    facts.write.partitionBy("event_type").parquet(mart.path("fact_sales", load))
+    written = mart.spark.read.schema(facts.schema).parquet(mart.path("fact_sales", load))
+    rows, largest = written.agg(F.count("*"), F.max("sales_key")).first()
+    mart.publish(
+        replace(
+            at, number=at.number + 1, load=load, snapshots={**at.snapshots, "fact_sales": load},
+            max_keys={**at.max_keys, "fact_sales": max(largest or 0, at.max_keys["fact_sales"])},
+            dead=[*at.dead, *range(at.load + 1, load)], loose=[*at.loose, [load, rows]],
+            recent={**at.recent, "fact_sales": at.with_recent("fact_sales", load, rows)},
+        )
+    )
+
+
+def damaged(spark: SparkSession, folder: str) -> Mart:
+    """Everything in one batch, found clean; then its returns again, less than none of unknown products."""
+
+    def load(mart: Mart) -> None:
+        load_batch(mart, events(spark, folder), 0, options=LoadOptions(run_rows=1_000))
+        check_mart(mart)
+        base = mart.commit_record().max_keys["fact_sales"]
+        changes = {"sales_key": F.col("sales_key") + base, "product_key": -F.col("product_key"), "quantity": -F.col("quantity")}
+        publish_unchecked(mart, mart.table("fact_sales").filter("event_type = 'return'").withColumns(changes))
+
+    return _once("damaged", spark, folder, load)
+
+
 def two_sources(spark: SparkSession, folder: str) -> Mart:
     """Two sources that load at the same time, one of them twice."""
 

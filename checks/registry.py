@@ -21,6 +21,7 @@ from eventmart.operators.dedup import first_per_key, not_seen
 from eventmart.operators.keys import next_key
 from eventmart.operators.resolve import lacks_member, resolve_keys
 from eventmart.plans import reports
+from eventmart.plans.audit import check_mart
 from eventmart.plans.load import dead_letters as dead_letter_rows
 from eventmart.plans.load import fact_rows, incoming_members, load_batch
 from eventmart.session import configure
@@ -235,6 +236,11 @@ def table_constraints(spark, folder):
     return check_tables(tables, lengths=True, domain=narrow).filter("violations > 0")
 
 
+def constraints_since(spark, folder):
+    """Constraints that a load past all rules has broken, found by a check of that load alone."""
+    return check_mart(marts.damaged(spark, folder)).filter("violations > 0")
+
+
 def repeated_ids(spark, folder):
     """Event ids sent more than once."""
     return duplicate_keys(marts.events(spark, folder), "event_id")
@@ -422,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "highest_keys": highest_keys,
     "constraint_violations": constraint_violations,
     "table_constraints": table_constraints,
+    "constraints_since": constraints_since,
     "repeated_ids": repeated_ids,
     "fk_orphans": fk_orphans,
     "missing_members": missing_members,
