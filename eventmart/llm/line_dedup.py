@@ -1,13 +1,17 @@
 """Line de-duplication against levelled sorted runs of line hashes.
 
-The runs hold, for each line hash, the number of documents seen with it and the
-document that keeps the line. Documents are taken in batches of descending
+The runs (``line_runs``) hold, for each line hash, the number of documents seen with
+it and the document that keeps the line. Documents are taken in batches of descending
 doc_id, so a hash that no run knows yet is kept by a document of this batch: the
-batch's sorted hashes are anti-joined with the runs, the unknown ones bring
+batch's sorted hashes are merge-anti-joined with the runs, the unknown ones bring
 their keeper, the known ones only their count, and together they form the
 batch's own run on level 0. Where a level has FAN_IN runs they are merged into
 one on the next level, so the runs to search stay few.
 
+Runs can be kept for documents that come later. Those lose a line once its documents,
+earlier ones included, are MIN_DOCS; its keeper stays that of the call that saw it first,
+because what an earlier call returned is not looked at again.
+
 A line's key is the line without white space at both ends and with A-Z in lower
 case; the hash has 128 bits. Keys of at least MIN_CHARS code points that are
 found in at least MIN_DOCS documents lose all their lines but those of the
@@ -29,16 +33,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventmart.llm.line_runs import KEY, LineRuns, as_they_lie
 from eventmart.llm.tables import by_batch, free_name, join_measured, stored, utf8
 
 MIN_CHARS = 20
 MIN_DOCS = 3
 BATCHES = 4
-FAN_IN = 2
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BLANK = b" \t\n\x0b\x0c\r"
-KEY = ["h1", "h2"]
 LEAST = -(2**63)
 
 
@@ -72,71 +75,39 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return by_batch(narrow, batch, "doc long, body long, h1 long, h2 long")
 
 
-def _sorted_run(frame: DataFrame, name: str) -> DataFrame:
-    return stored(frame.sortWithinPartitions(*KEY), name)
-
-
-def line_runs(lines: DataFrame, batches: int = BATCHES, fan_in: int = FAN_IN) -> list[DataFrame]:
-    """The runs (h1, h2, n_docs, keeper) after all batches; ``lines`` has a column batch from 0 on."""
-    levels: list[list[DataFrame]] = [[]]
-    for number in range(batches):
-        own = (
-            lines.filter(F.col("batch") == number)
-            .groupBy(*KEY, "doc").agg(F.lit(1).alias("one"))
-            .groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.max("doc").alias("keeper"))
-        )
-        runs = [run for level in levels for run in level]
-        if runs:
-            own = stored(own, "line-batch")
-            fresh = own
-            for run in runs:
-                fresh = fresh.join(run.select(*KEY), KEY, "left_anti")
-            fresh = stored(fresh, "line-fresh")
-            known = own.join(fresh.select(*KEY), KEY, "left_anti")
-            own = fresh.unionByName(known.withColumn("keeper", F.lit(None).cast("long")))
-            own = own.repartition(*KEY)
-        levels[0].append(_sorted_run(own, "line-run"))
-        for depth in range(len(levels)):
-            if len(levels[depth]) >= fan_in:
-                if depth + 1 == len(levels):
-                    levels.append([])
-                levels[depth + 1].append(_sorted_run(merge_runs(levels[depth]), "line-run"))
-                levels[depth] = []
-    return [run for level in levels for run in level]
-
-
-def merge_runs(runs: list[DataFrame]) -> DataFrame:
-    """One run: counts added up; of the keepers, which are null but for the first sighting, that one."""
-    both = runs[0]
-    for run in runs[1:]:
-        both = both.unionByName(run)
-    return both.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
-
-
 def drops(
-    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES, fan_in: int = FAN_IN
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES, runs: LineRuns | None = None
 ) -> DataFrame:
     """doc, body and hashes (array of 16-byte keys) of the lines each text loses; texts that lose none are left out."""
     bare = docs.select(_doc().alias("doc"))
     cuts = bare.approxQuantile("doc", [k / batches for k in range(1, batches)], 0.01) if batches > 1 else []
     batch = sum((F.when(F.col("doc") < F.lit(int(cut)), 1).otherwise(0) for cut in cuts), F.lit(0))
     lines = stored(line_hashes(docs, min_chars).withColumn("batch", batch), "lines", "batch", narrow=True)
-    runs = line_runs(lines, batches, fan_in)
-    frequent = stored(merge_runs(runs).filter(F.col("n_docs") >= min_docs).select(*KEY, "keeper"), "line-frequent")
+    runs = runs or LineRuns(docs.sparkSession)
+    expected = lines.count()
+    try:
+        for number in range(batches):
+            runs.add(lines.filter(F.col("batch") == number).drop("batch"), expected)
+        with as_they_lie(docs.sparkSession):
+            frequent = runs.merged().filter(F.col("n_docs") >= min_docs).select(*KEY, "keeper")
+            frequent = stored(frequent, "line-frequent")
+    finally:
+        runs.forget_tables()
     lost = join_measured(lines, frequent, KEY, row_bytes=24).filter(F.col("doc") != F.col("keeper"))
     keyed = lost.select("doc", "body", F.struct(*KEY).alias("h"))
     return stored(keyed.groupBy("doc", "body").agg(F.collect_set("h").alias("hashes")), "line-drops")
 
 
 def dedup_lines(
-    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES, fan_in: int = FAN_IN
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES, runs: LineRuns | None = None
 ) -> DataFrame:
     """The documents with ``text`` less its repeated lines, and n_lines (before) and n_dropped.
 
     All columns of ``docs`` are handed through; input columns of those two names
-    are replaced.
+    are replaced. ``runs`` are those of earlier documents; the lines of these ones are
+    added, and stay once the caller publishes them.
     """
-    gone = drops(docs, min_chars, min_docs, batches, fan_in)
+    gone = drops(docs, min_chars, min_docs, batches, runs)
     size = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()
     given = docs.drop("n_lines", "n_dropped")
     names = given.columns

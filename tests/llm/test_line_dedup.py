@@ -1,6 +1,7 @@
 import pytest
 
 from eventmart.llm import line_dedup as L
+from eventmart.llm.line_runs import LineRuns, as_they_lie
 
 
 def brute(rows, min_chars=20, min_docs=3):
@@ -31,7 +32,7 @@ def test_equals_brute_force(spark, docs, prose, batches, fan_in):
     rows += [(210, "row of the same document\n" + line), (None, line), (None, f"{line}\n{line}"), (230, "é" * 19), (231, "é" * 19), (232, "é" * 19)]
     rows += [(240 + k, "é" * 20) for k in range(3)] + [(250 + k, "É" * 20) for k in range(2)] + [(-5, line)]
     given = docs(*rows, extra=("n_lines", "doc", "h1", "Body", "hashes", "__doc", "__hashes"))
-    found = L.dedup_lines(given, batches=batches, fan_in=fan_in)
+    found = L.dedup_lines(given, batches=batches, runs=LineRuns(spark, fan_in=fan_in))
     assert found.columns == ["doc_id", "text", "lang", "source", "n_chars", "doc", "h1", "Body", "hashes", "__doc", "__hashes", "n_lines", "n_dropped"]
     got = [(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in found.collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, brute(rows)))
@@ -46,13 +47,55 @@ def test_many_rows_under_one_id_are_gathered_by_text(spark, docs):
     assert L.drops(docs(*rows)).filter("doc = 7").count() == 50
 
 
+def hashes(spark, *rows):
+    return spark.createDataFrame(rows, "doc long, h1 long, h2 long")
+
+
 def test_runs_stay_few_and_hold_each_keeper_once(spark):
-    rows = [(doc, doc % 5, 0, 3 - doc // 10) for doc in range(40)]
-    lines = spark.createDataFrame(rows, "doc long, h1 long, h2 long, batch int")
-    runs = L.line_runs(lines, 4, 2)
-    assert len(runs) == 1
-    assert sorted((r.h1, r.n_docs, r.keeper) for r in runs[0].collect()) == [(k, 8, 35 + k) for k in range(5)]
-    assert len(L.line_runs(lines, 3, 2)) == 2
+    runs = LineRuns(spark)
+    for batch in range(4):
+        runs.add(hashes(spark, *((30 - 10 * batch + k, k % 5, 0) for k in range(10))), 10)
+        assert len(runs.names) == (1, 1, 2, 1)[batch]
+    assert sorted((r.h1, r.n_docs, r.keeper) for r in runs.table(runs.names[0]).collect()) == [(k, 8, 35 + k) for k in range(5)]
+    runs.forget_tables()
+
+
+def test_runs_are_neither_shuffled_nor_sorted_again(spark):
+    runs = LineRuns(spark, fan_in=3)
+    for batch in range(2):
+        runs.add(hashes(spark, *((k, k % 300 + 100 * batch, k % 7) for k in range(1_000))), 1_000)
+    one, two = runs.names
+    with as_they_lie(spark):
+        joined = runs.with_keepers(runs.table(two))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 3 and "LeftAnti" in plan
+        assert "Exchange" not in plan and "Sort [" not in plan
+        assert "Exchange" not in runs.merged()._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == runs.table(two).count() and joined.filter("keeper IS NOT NULL").count() == 0
+    assert spark.conf.get("spark.sql.legacy.bucketedTableScan.outputOrdering") == "false"
+    runs.forget_tables()
+
+
+def test_later_documents_meet_the_runs_of_earlier_ones(spark, docs, prose, tmp_path):
+    folder = str(tmp_path / "runs")
+    often, rare = "a line that many of the documents share", "a line that only few documents share"
+    first = [(k, f"own {k}\n{often}\n{rare if k == 5 else ''}") for k in range(10)]
+    second = [(k, f"own {k}\n{often}\n{rare}") for k in range(100, 102)]
+    runs = LineRuns(spark, folder)
+    assert L.dedup_lines(docs(*first), runs=runs).agg({"n_dropped": "sum"}).first()[0] == 9
+    failed = LineRuns(spark, folder)  # opened before the first call has published
+    runs.publish()
+    with pytest.raises(RuntimeError, match="other runs"):
+        failed.publish()
+    for _ in range(2):  # the first of these is not published, so it leaves no trace
+        runs = LineRuns(spark, folder)
+        kept = {r.doc_id: r.text for r in L.dedup_lines(docs(*second), runs=runs).collect()}
+        # The keepers of both lines are among the first documents.
+        assert kept == {k: f"own {k}" for k in range(100, 102)}
+    runs.publish()
+    runs.sweep()
+    assert {p.name for p in (tmp_path / "runs").iterdir() if p.is_dir()} == set(runs.names)
+    assert L.dedup_lines(docs((200, rare)), runs=LineRuns(spark, folder)).first().text == ""
 
 
 def test_empty_table(spark, docs):
