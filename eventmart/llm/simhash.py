@@ -25,11 +25,11 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.llm.components import components
-from eventmart.llm.tables import BATCH_ROWS, by_batch, join_measured, stored, utf8
+from eventmart.llm.tables import BATCH_ROWS, by_batch, free_name, join_measured, stored, utf8
 
 RADIUS = 4
 SHINGLE = 4
@@ -176,14 +176,42 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS)
     return found
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """doc_id, fp and component_id (the smallest doc_id that links reach) of every row."""
-    prints = stored(fingerprints(docs), "simhash-prints", narrow=True)
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
+def _chosen(prints: DataFrame, value: Column, radius: int, tile_rows: int) -> DataFrame:
+    """fp and chosen, the smallest ``value`` of the rows that links reach from the fingerprint; ``prints`` is stored."""
+    distinct = stored(prints.groupBy("fp").agg(F.min(value).alias("first")), "simhash-distinct")
     edges = links(distinct, radius, tile_rows)
     labels = components(edges)
     joined = join_measured(distinct, labels.toDF("fp", "root"), "fp", "left", row_bytes=16)
-    grouped = joined.select("fp", F.coalesce("root", "fp").alias("root"), "first_id")
-    lowest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = stored(grouped.join(lowest, "root").select("fp", "component_id"), "simhash-components")
+    grouped = joined.select("fp", F.coalesce("root", "fp").alias("root"), "first")
+    lowest = grouped.groupBy("root").agg(F.min("first").alias("chosen"))
+    return stored(grouped.join(lowest, "root").select("fp", "chosen"), "simhash-components")
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """doc_id, fp and component_id (the smallest doc_id that links reach) of every row."""
+    prints = stored(fingerprints(docs), "simhash-prints", narrow=True)
+    named = _chosen(prints, F.col("doc_id"), radius, tile_rows).withColumnRenamed("chosen", "component_id")
     return join_measured(prints, named, "fp", row_bytes=16).select("doc_id", "fp", "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """One row of each group of near duplicates, with all its columns: the one with the smallest doc_id.
+
+    What stays is decided by row, not by doc_id. Of rows that share the smallest doc_id the first in the
+    table's order stays; a row without a doc_id stays if no row of its group has one and it is the first.
+    """
+    fp, row = free_name("fp", docs), free_name("row", docs)
+    names, at = docs.columns, docs.columns.index("text")
+
+    def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
+        prints = np.array([fingerprint(t) for t in utf8(rows.column(at))], np.uint64)
+        return pa.RecordBatch.from_arrays([*rows.columns, pa.array(prints.view(np.int64))], [*names, fp])
+
+    printed = by_batch(docs, batch, docs.withColumn(fp, F.lit(0).cast("long")).schema)
+    numbered = stored(printed.withColumn(row, F.monotonically_increasing_id()), "simhash-numbered")
+    prints = numbered.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col(fp).alias("fp"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    chosen = _chosen(prints, order, radius, tile_rows).select("fp", F.col("chosen.row").alias("stays"))
+    gone = join_measured(prints, chosen, "fp", row_bytes=16).filter("row != stays")
+    gone = stored(gone.select(F.col("row").alias(row)), "simhash-gone", narrow=True)
+    return join_measured(numbered, gone, row, "left_anti", row_bytes=8).select(*(F.col(f"`{name}`") for name in names))

@@ -58,6 +58,32 @@ def test_equals_brute_force(spark, docs, prose, radius, tile):
     assert len({c for *_, c in got}) < len(rows) - 60
 
 
+def test_one_row_of_each_group_stays(spark, docs, prose):
+    rows = list(enumerate(prose + near_texts())) + [(3, prose[3]), (3, "other"), (None, prose[5]), (3, "one more of other words")]
+    rows += [(None, "nobody else says so"), (None, "nobody else says so"), (None, "nobody  ELSE says so"), (400, "nobody says that")]
+    given = docs(*rows, extra=("fp", "row", "stays"))
+    found = S.without_near_duplicates(given, tile_rows=7)
+    assert found.columns == given.columns
+    # As rows of their own, in the order in which they should stay.
+    ordered = sorted(enumerate(rows), key=lambda r: (r[1][0] is None, r[1][0] or 0, r[0]))
+    groups = brute_components([(k, brute_print(t)) for k, (_, (_, t)) in enumerate(ordered)], 4)
+    expected = [ordered[k][1] for k, _, least in groups if k == least]
+    assert sorted(repr((r.doc_id, r.text)) for r in found.collect()) == sorted(map(repr, expected))
+    assert sum(i == 3 for i, _ in expected) == 3 and sum(i is None for i, _ in expected) == 1
+    assert S.without_near_duplicates(given.limit(0)).count() == 0
+
+
+def test_components_of_chains_stars_and_rings(spark):
+    edges = [(k, k + 1) for k in range(100, 163)] + [(200, k) for k in range(150 + 51, 260)]
+    edges += [(300 + k, 300 + (k + 1) % 9) for k in range(9)] + [(5, 5), (400, 399), (399, 400)]
+    random.seed(3)
+    random.shuffle(edges)
+    found = {r.node: r.root for r in K.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    expected = {k: 100 for k in range(100, 164)} | {k: 200 for k in range(200, 260)} | {k: 300 for k in range(300, 309)}
+    assert found == expected | {399: 399, 400: 399}
+
+
+
 def test_fingerprints(spark):
     for text in [None, "", " \t", "One", "a b c", "a b c d", "A  b\vC d e", "é É ß " * 50, "x y " * 9000, *near_texts()[:5]]:
         assert S.fingerprint(text.encode() if text is not None else None) == brute_print(text)
