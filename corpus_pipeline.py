@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.llm import decontaminate, line_dedup, mixing, simhash, toxicity
-from eventmart.llm.tables import join_measured, stored
+from eventmart.llm.tables import stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -24,21 +24,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates.
-
-    Of rows that share that doc_id one stays, the one with the first text in
-    order. A row without a doc_id can't be named and stays.
-    """
-    found = simhash.near_duplicates(docs.filter("doc_id IS NOT NULL"))
-    named = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    kept = stored(named.withColumnRenamed("doc_id", "key"), "pipeline-kept")
-    keyed = docs.select(*COLUMNS).withColumn("key", F.col("doc_id").cast("long"))
-    staying = join_measured(keyed, kept, "key", "left", row_bytes=16)
-    first = F.row_number().over(Window.partitionBy("key").orderBy("text", "lang", "source", "n_chars"))
-    # Only rows that repeat a doc_id need an order, so only those are brought together.
-    single = staying.filter("doc_id IS NULL OR rows = 1").select(*COLUMNS)
-    repeated = staying.filter("rows > 1").withColumn("first", first).filter("first = 1").select(*COLUMNS)
-    return single.unionByName(repeated)
+    """One document of each group of near duplicates, that with the smallest doc_id."""
+    return simhash.without_near_duplicates(docs.select(*COLUMNS))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
