@@ -75,3 +75,28 @@ def test_a_large_lookup_is_hashed(spark):
     plan = plan_of(resolve_keys(events, tables))
     assert plan.count("ShuffledHashJoin") == 1
     assert sized(events, 6, 6) is events
+
+
+@pytest.mark.parametrize("limit, value", [("SMALL_ROWS", None), ("SMALL_ROWS", 3), ("SMALL_BYTES", 3)])
+def test_lookups_measured_to_be_small_leave_events_where_they_are(events, spark, tmp_path, monkeypatch, limit, value):
+    """Whatever Spark estimates: here it would broadcast nothing by itself."""
+    plans = []
+
+    def watched(rows, dimensions):
+        resolved = resolve_keys(rows, dimensions)
+        plans.append(plan_of(resolved))
+        return resolved
+
+    monkeypatch.setattr(load_module, "resolve_keys", watched)
+    if value:
+        monkeypatch.setattr(load_module, limit, value)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mart = Mart(spark, str(tmp_path / "mart"))
+        load_batch(mart, events(*[payload(event_id=f"E{i}", customer_id=f"C{i}") for i in range(9)]), 0, options=LoadOptions(attempts=1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert bool(re.search(r"SortMergeJoin [^\n]*LeftOuter", plans[0])) == bool(value)
+    facts = mart.table("fact_sales")
+    assert facts.select("customer_key").distinct().count() == facts.count() == 9
