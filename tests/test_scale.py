@@ -5,6 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from eventmart.functions.enrichment import enrich, one_per_day
+from eventmart.operators import keys
 from eventmart.operators.dedup import first_per_key, marks_of, without_marked
 from eventmart.operators.merge import DIMENSIONS
 from eventmart.operators.resolve import resolve_keys, sized
@@ -54,6 +56,60 @@ def test_a_long_batch_is_not_shuffled_to_leave_out_copies_and_known_ids(events,
     assert facts.count() == 90 and facts.filter("quantity = 9").count() == 0
 
 
+@pytest.mark.parametrize("limit", [100, 3])
+def test_kept_rows_are_numbered_where_they_lie(spark, tmp_path, limit):
+    """Every bit of a word and several blocks and tasks; some tasks keep nothing."""
+    rows = spark.range(0, 40_000, 1, 4).withColumn(keys.SLOT, F.monotonically_increasing_id())
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    kept = rows.filter("id % 7 <> 3 AND NOT id BETWEEN 8000 AND 21000 AND id <> 63")
+    placed = keys.write_places(rows, kept, str(tmp_path / "places"), limit, 1 << 20)
+    assert placed.small == (limit == 100)
+    ids = [r.id for r in kept.orderBy("id").collect()]
+    assert placed.count == len(ids)
+    numbered = placed.numbered("key", 10)
+    assert numbered.columns == ["id", "key"]
+    assert sorted((r.id, r.key) for r in numbered.collect()) == [(i, 11 + n) for n, i in enumerate(ids)]
+    none = keys.write_places(rows, rows.filter("id < 0"), str(tmp_path / "none"), limit, 1 << 20)
+    assert none.count == 0 and none.numbered("key", 10).count() == 0
+
+
+def test_events_are_staged_once_and_priced_after_the_lookups(events, spark, tmp_path, monkeypatch):
+    written, looked_up = [], []
+
+    def slotted(frame, path, *args, **settings):
+        written.append((path.rsplit("/", 1)[-1], "payment_method" in frame.columns))
+        return keys_write(frame, path, *args, **settings)
+
+    def watched(rows, dimensions):
+        looked_up.extend(rows.columns)
+        return resolve_keys(rows, dimensions)
+
+    keys_write = keys.write_slotted
+    monkeypatch.setattr(keys, "write_slotted", slotted)
+    monkeypatch.setattr(load_module, "resolve_keys", watched)
+    mart = Mart(spark, str(tmp_path / "mart"))
+    sent = [payload(event_id=f"E{i}") for i in range(9)] + [payload(event_id="E4", quantity=9), payload(event_id="X", price=0)]
+    assert load_batch(mart, events(*sent), 0, options=LoadOptions(attempts=1)).inserted == 9
+    assert written and not any(whole for _, whole in written)
+    assert "date_key" in looked_up and not {"final_price", "revenue", "day_name"} & set(looked_up)
+    facts = mart.table("fact_sales")
+    assert sorted(r.sales_key for r in facts.collect()) == list(range(1, 10))
+    assert facts.filter("date_key = 20250308 AND final_price = 16.99 AND event_hour = 23").count() == 9
+
+
+def test_a_calendar_of_days_is_that_of_the_events(spark):
+    times = [f"2024-{month:02d}-{day:02d} {hour:02d}:30:00" for month in (1, 2, 12) for day in (1, 29, 30) for hour in (0, 23) if (month, day) != (2, 30)]
+    frame = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp").alias("event_timestamp_ts"))
+    money = {c: F.lit(1).cast("decimal(8,6)") for c in ("price", "discount", "quantity")}
+    whole = enrich(frame.withColumns({**money, "event_type": F.lit("purchase")}))
+    columns = ["date_key", *DIMENSIONS[-1].attributes[:2], "event_year", "event_month", "week_number", "day_name", "is_weekend", "month_name"]
+    columns = [c for c in columns if c in whole.columns]
+    days = one_per_day(frame)
+    assert days.count() == 8
+    assert sorted(days.select(columns).collect()) == sorted(whole.select(columns).distinct().collect())
+
+
 def test_first_per_key_moves_only_what_is_kept(spark, tmp_path):
     rows = [(f"k{i % 9}", i % 2, f"a{i % 5}", f"b{i % 3}", i) for i in range(200)]
     frame = spark.createDataFrame(rows, "event_id string, kafka_timestamp int, a string, b string, n int")
