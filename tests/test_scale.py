@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventmart.functions.enrichment import enrich, one_per_day
-from eventmart.operators import keys
+from eventmart.operators import dedup, keys
+from eventmart.operators.constraints import duplicate_keys
 from eventmart.operators.dedup import first_per_key, marks_of, without_marked
 from eventmart.operators.merge import DIMENSIONS
 from eventmart.operators.resolve import resolve_keys, sized
@@ -56,6 +57,38 @@ def test_a_long_batch_is_not_shuffled_to_leave_out_copies_and_known_ids(events,
     assert facts.count() == 90 and facts.filter("quantity = 9").count() == 0
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_copies_are_found_by_hashes_and_judged_by_ids(spark, small, monkeypatch):
+    """Here every third id shares its hash with others; nulls are no copies of each other."""
+    monkeypatch.setattr(dedup, "key_hash", lambda key: (F.length(key) % 2).cast("bigint").alias("key_hash"))
+    rows = [(f"E{i}" if i % 5 else None, i % 3, i % 2, i) for i in range(40)] + [(f"E{i}", 1, 7, 100 + i) for i in range(1, 12)]
+    frame = spark.createDataFrame(rows, "event_id string, kafka_timestamp int, hash bigint, row bigint")
+    repeated = frame.filter("event_id IS NOT NULL").select(dedup.key_hash("event_id")).distinct()
+    assert repeated.count() == 2
+    found = dedup.later_copies(frame, F.broadcast(repeated) if small else repeated.hint("shuffle_hash"), hashed=True)
+    first, late = {}, set()
+    for id, at, tie, row in sorted((r for r in rows if r[0]), key=lambda r: r[1:]):
+        late |= {row} if id in first else set()
+        first.setdefault(id, row)
+    assert {r.row for r in found.collect()} == late and len(late) == 9
+
+
+def test_ids_are_not_shuffled_as_texts_to_find_copies(events, spark, tmp_path, monkeypatch):
+    grouped = []
+
+    def watched(frame, key):
+        grouped.append((frame.columns, dict(frame.dtypes)[key]))
+        return duplicate_keys(frame, key)
+
+    monkeypatch.setattr(load_module, "duplicate_keys", watched)
+    mart = Mart(spark, str(tmp_path / "mart"))
+    sent = [payload(event_id=f"E{i % 7}", quantity=1 + i) for i in range(9)]
+    result = load_batch(mart, events(*sent), 0, options=LoadOptions(attempts=1))
+    assert (result.valid, result.inserted) == (9, 7)
+    assert grouped == [(["key_hash"], "bigint")]
+    assert {r.quantity for r in mart.table("fact_sales").collect()} == set(range(1, 8))
+
+
 @pytest.mark.parametrize("limit", [100, 3])
 def test_kept_rows_are_numbered_where_they_lie(spark, tmp_path, limit):
     """Every bit of a word and several blocks and tasks; some tasks keep nothing."""
