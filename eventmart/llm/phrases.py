@@ -12,7 +12,9 @@ both words, and a window also ends before a pair whose hash is too rare. That is
 exact: a hash is never rarer than its pairs, and every pair inside a candidate, or
 inside a part of it, is as frequent as the candidate at least. The hashes that are
 frequent enough travel as a bitmap of 2^BITS bits, whatever their number; where two
-share a bit, some windows are longer than need be, with the same result.
+share a bit, some windows are longer than need be, with the same result. Each task counts
+many texts' hashes together, cuts them into PARTS by their upper bits and sends each part
+as one sorted array of the lower ones, in pieces; whoever has a part adds the arrays up.
 
 A phrase is scored at each of its cuts by 1000 * a * n / (l * r), in decimals of 38
 digits and rounded down; a and n up to 2^63 / 1000 and l, r up to 2^63 keep that exact. The lowest
@@ -21,25 +23,24 @@ score counts. A candidate goes where a longer one that holds it occurs as often
 
 Cases: a null or empty text has no words; a null language is ``und``, one with that
 name. Rows that repeat count as often. Very long texts are taken whole: memory is that
-of one batch of texts, cut by size as well as by number. Ties of the score go to the
+of HELD_BYTES of texts, or of one that is longer. Ties of the score go to the
 more frequent, then to the first in the byte order of UTF-8. Empty tables give no
 rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import re
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.tables import by_batch, join_measured, stored, utf8
+from eventmart.llm.tables import by_partition, join_measured, stored, utf8
 
 ORDER = 5
 LEAST = 100
@@ -47,21 +48,26 @@ TOP = 2000
 COVER = 100
 UNKNOWN = "und"
 BITS = 27
-# Texts are counted together until they have this many bytes.
-BATCH_BYTES = 8 * 2**20
+# Texts of a language are counted together until they have this many bytes, and the longest
+# are counted once those of all languages have HELD_BYTES.
+BATCH_BYTES = 4 * 2**20
+HELD_BYTES = 16 * 2**20
+# Hashes of pairs that a task holds before it sends what it has counted, and parts they are cut into.
+PAIRS = 4 * 2**20
+PARTS = 1024
 
 STOP = b"."
 # Lower case, tabs as spaces, and one mark for all that ends a piece.
 BYTES = bytes(
     b + 32 if 65 <= b <= 90 else 32 if b == 9 else 46 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256)
 )
-SPACE = re.compile(rb" +")
 
 
-def _words(texts: list[bytes]) -> list[bytes]:
-    """The words of all texts, with STOP between pieces."""
+def _words(texts: list[bytes]) -> pa.DictionaryArray:
+    """The words of all texts, with STOP before, between and after pieces; STOP is the first of the dictionary."""
     joined = STOP.join(t.translate(BYTES) for t in texts).replace(STOP, b" . ")
-    return [w for w in SPACE.split(joined) if w]
+    # No byte but a space is left that Python splits at.
+    return pa.array([STOP, *joined.split()], pa.large_binary()).dictionary_encode()
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -70,20 +76,47 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _spread(x: np.ndarray) -> np.ndarray:
+    return _mixed(_mixed((x.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)))
+
+
+# A number for each byte.
+OF_BYTE = _spread(np.arange(256))
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A hash of each of some words, none of which is empty."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    letters = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]
+    sizes, starts = np.diff(ends), ends[:-1] - ends[0]
+    place = np.arange(len(letters)) - np.repeat(starts, sizes)
+    factor = _spread(np.arange(sizes.max())) | np.uint64(1)
+    return _mixed(np.add.reduceat(OF_BYTE[letters] * factor[place], starts))
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, int]:
+    """Equal values as equal numbers from 0 up, and how many there are."""
+    encoded = pa.array(values).dictionary_encode()
+    return encoded.indices.to_numpy().astype(np.int64), len(encoded.dictionary)
+
+
 class Tokens:
     """The words of some texts of one language as numbers; ``stop`` marks where no window passes."""
 
     def __init__(self, lang: str, texts: list[bytes]):
-        number: defaultdict[bytes, int] = defaultdict()
-        number.default_factory = number.__len__
-        number[STOP]  # gets 0
-        self.ids = np.fromiter(map(number.__getitem__, _words(texts)), np.int64)
-        self.names = list(number)
+        words = _words(texts)
+        self.ids = words.indices.to_numpy()[1:].astype(np.int64)
+        self.words = words.dictionary  # STOP has number 0
         self.stop = self.ids == 0
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.names), np.uint64, len(self.names))
+        hashes = _hashes(self.words)
         self.before = _mixed(hashes + np.uint64(xxhash.xxh64_intdigest(lang)))
         self.after = hashes
 
+    @property
+    def names(self) -> list[bytes]:
+        return self.words.to_pylist()
+
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Of each place, whether it begins a pair, and the pair's hash."""
         inner = ~(self.stop | np.append(self.stop[1:], True)[: len(self.ids)])
@@ -96,48 +129,100 @@ class Tokens:
         inner, hashes = self.pairs()
         bit = hashes & np.uint64(len(frequent) * 64 - 1)
         goes_on = inner & ((frequent[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0)
-        columns, alive = [self.ids], goes_on
-        for lead in range(1, order):
-            word = np.append(self.ids[lead:], np.zeros(min(lead, len(self.ids)), np.int64))
-            columns.append(np.where(alive, word, 0))
-            alive = alive & np.append(goes_on[lead:], np.zeros(min(lead, len(self.ids)), bool))
-        rows = np.column_stack(columns)[~self.stop]
-        # Rows are numbered column by column, so that sorting compares one number each.
-        code = np.zeros(len(rows), np.int64)
-        for column in rows.T:
-            _, code = np.unique(code * len(self.names) + column, return_inverse=True)
-        _, first, counts = np.unique(code, return_index=True, return_counts=True)
-        return rows[first], counts
-
-
-def _tokens(batch: pa.RecordBatch) -> Iterator[tuple[str, Tokens]]:
-    """The words of a batch by language, of texts with BATCH_BYTES together, or one that is longer."""
+        rows, counts = [], []
+        # Windows of a length are numbered by their words; those that go on are numbered again with the next word.
+        at = np.flatnonzero(~self.stop)
+        code, size = self.ids[at], len(self.words)
+        for length in range(1, order + 1):
+            on = goes_on[at + length - 1] if length < order else np.zeros(len(at), bool)
+            first = np.zeros(size, np.int64)
+            first[code[~on]] = at[~on]
+            n = np.bincount(code[~on], minlength=size)
+            ended = np.flatnonzero(n)
+            row = np.zeros((len(ended), order), np.int64)
+            row[:, :length] = self.ids[first[ended][:, None] + np.arange(length)]
+            rows.append(row)
+            counts.append(n[ended])
+            at, code = at[on], code[on]
+            if length < order:
+                code, size = _numbered(code * len(self.words) + self.ids[at + length])
+        return np.concatenate(rows), np.concatenate(counts)
+
+
+def _tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, Tokens]]:
+    """The words by language, of texts with BATCH_BYTES together, or one that is longer."""
     by_lang: dict[str, list[bytes]] = {}
-    sizes: dict[str, int] = defaultdict(int)
-    for lang, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
-        by_lang.setdefault(lang, []).append(text or b"")
-        sizes[lang] += len(text or b"")
-        if sizes[lang] >= BATCH_BYTES:
-            del sizes[lang]
-            yield lang, Tokens(lang, by_lang.pop(lang))
+    sizes: dict[str, int] = {}
+    held = 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
+            by_lang.setdefault(lang, []).append(text or b"")
+            sizes[lang] = sizes.get(lang, 0) + len(text or b"") + 1
+            held += len(text or b"") + 1
+            if sizes[lang] < BATCH_BYTES and held < HELD_BYTES:
+                continue
+            full = max(sizes, key=sizes.get)
+            held -= sizes.pop(full)
+            yield full, Tokens(full, by_lang.pop(full))
     for lang, texts in by_lang.items():
         yield lang, Tokens(lang, texts)
 
 
+PAIRS_DDL = "part int, hashes binary, counts binary"
+
+
+def _counted_pairs(found: list[np.ndarray], least: int) -> pa.RecordBatch:
+    """Hashes by part, 42 bits of each, with how often they occur; whatever reaches ``least`` counts as that."""
+    keys, counts = np.unique(np.concatenate(found) & np.uint64(PARTS * 2**32 - 1), return_counts=True)
+    counts = np.minimum(counts, least).astype(np.uint32)
+    parts = (keys >> np.uint64(32)).astype(np.int32)
+    present, starts = np.unique(parts, return_index=True)
+    columns = [[piece.tobytes() for piece in np.split(values, starts[1:])] for values in (keys.astype(np.uint32), counts)]
+    arrays = [pa.array(present, pa.int32()), *(pa.array(column, pa.binary()) for column in columns)]
+    return pa.RecordBatch.from_arrays(arrays, ["part", "hashes", "counts"])
+
+
+def _frequent(pieces: list[tuple[bytes, bytes]], least: int) -> np.ndarray:
+    """The hashes of a part that occur ``least`` times or more in all of its pieces."""
+    low = np.concatenate([np.frombuffer(hashes, np.uint32) for hashes, _ in pieces])
+    n = np.concatenate([np.frombuffer(counts, np.uint32) for _, counts in pieces])
+    both = np.sort(low.astype(np.uint64) << np.uint64(32) | n)
+    low = (both >> np.uint64(32)).astype(np.int64)
+    starts = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+    sums = np.add.reduceat(both & np.uint64(2**32 - 1), starts)
+    return low[starts][sums >= least]
+
+
 def frequent_pairs(docs: DataFrame, least: int, bits: int = BITS) -> np.ndarray:
-    """Bitmap of the hashes of pairs that occur ``least`` times or more."""
+    """Bitmap of the hashes of pairs that occur ``least`` times or more; ``bits`` are 32 at most."""
 
-    def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-        found = [np.empty(0, np.uint64)]
-        for _, tokens in _tokens(rows):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
+        for _, tokens in _tokens(batches):
             inner, hashes = tokens.pairs()
             found.append(hashes[inner])
-        hashes, counts = np.unique(np.concatenate(found), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], ["hash", "n"])
-
-    counted = by_batch(docs, batch, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
+            size += len(found[-1])
+            if size >= PAIRS:
+                yield _counted_pairs(found, least)
+                found, size = [], 0
+        if size:
+            yield _counted_pairs(found, least)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, pieces = None, []
+        for batch in batches:
+            for number, hashes, counts in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if number != part and pieces:
+                    yield pa.RecordBatch.from_arrays([pa.array(_frequent(pieces, least), pa.int64())], ["hash"])
+                    pieces = []
+                part = number
+                pieces.append((hashes, counts))
+        if pieces:
+            yield pa.RecordBatch.from_arrays([pa.array(_frequent(pieces, least), pa.int64())], ["hash"])
+
+    counted = by_partition(docs, count, PAIRS_DDL).repartition("part").sortWithinPartitions("part")
     bit = F.col("hash").bitwiseAND(F.lit(2**bits - 1))
-    words = counted.filter(F.col("n") >= least).select(
+    words = by_partition(counted, add, "hash bigint").select(
         F.shiftright(bit, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int")).alias("set")
     )
     # At most 2^(bits - 6) rows reach the driver.
@@ -152,21 +237,16 @@ def counted_windows(docs: DataFrame, frequent: np.ndarray, order: int = ORDER) -
     names = [f"w{k}" for k in range(1, order + 1)]
     handle = docs.sparkSession.sparkContext.broadcast(frequent)
 
-    def batch(rows: pa.RecordBatch) -> pa.RecordBatch:
-        langs, columns, counts = [], [[] for _ in names], []
-        for lang, tokens in _tokens(rows):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, tokens in _tokens(batches):
             windows, n = tokens.windows(handle.value, order)
-            words = pa.array([None, *tokens.names[1:]], pa.binary()).cast(pa.string())
-            for column, ids in zip(columns, windows.T, strict=True):
-                column.append(words.take(pa.array(ids)))
-            langs.append(pa.repeat(pa.scalar(lang, pa.string()), len(n)))
-            counts.append(pa.array(n, pa.int64()))
-        parts = [(langs, pa.string()), *((c, pa.string()) for c in columns), (counts, pa.int64())]
-        arrays = [pa.concat_arrays(part) if part else pa.array([], kind) for part, kind in parts]
-        return pa.RecordBatch.from_arrays(arrays, ["lang", *names, "n"])
+            words = pc.if_else(pa.array(np.arange(len(tokens.words)) > 0), tokens.words.cast(pa.binary()), None).cast(pa.string())
+            columns = [words.take(pa.array(ids)) for ids in windows.T]
+            arrays = [pa.repeat(pa.scalar(lang, pa.string()), len(n)), *columns, pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["lang", *names, "n"])
 
     schema = ", ".join(["lang string", *(f"{name} string" for name in names), "n bigint"])
-    return by_batch(docs, batch, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    return by_partition(docs, count, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(windows: DataFrame, order: int = ORDER, least: int = LEAST) -> DataFrame:

@@ -68,12 +68,15 @@ def join_measured(
 
 def by_batch(frame: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply a function to each Arrow batch of bounded size; no shuffle."""
-    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return by_partition(frame, lambda batches: map(function, batches), schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return map(function, batches)
 
-    return frame.mapInArrow(run, schema)
+def by_partition(
+    frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """Apply a function to the Arrow batches, of bounded size, of each partition; no shuffle."""
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return frame.mapInArrow(function, schema)
 
 
 def free_name(name: str, frame: DataFrame) -> str:

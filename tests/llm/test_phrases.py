@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventmart.llm import phrases as P
@@ -92,3 +93,35 @@ def test_only_longest_windows_are_counted(spark):
     }
     windows, counts = tokens.windows(np.zeros(2, np.uint64), 5)
     assert {(int((row > 0).sum()), int(n)) for row, n in zip(windows, counts)} == {(1, 3), (1, 1)}
+
+
+def test_texts_of_several_batches_are_counted_together():
+    """By language, until there are enough of one, or of all together; no text is lost."""
+    batch = pa.record_batch({"lang": ["en", "de", "en", "und"], "text": ["a b", "a b", None, "c. a b"]})
+    found = list(P._tokens(iter([batch] * 50)))
+    assert sorted((lang, int((~tokens.stop).sum())) for lang, tokens in found) == [("de", 100), ("en", 100), ("und", 150)]
+
+
+def test_held_texts_are_bounded_whatever_their_languages(monkeypatch):
+    monkeypatch.setattr(P, "BATCH_BYTES", 40)
+    monkeypatch.setattr(P, "HELD_BYTES", 60)
+    batch = pa.record_batch({"lang": [f"l{k % 7}" for k in range(90)], "text": ["a b c"] * 89 + ["x " * 500]})
+    found = list(P._tokens(iter([batch, batch])))
+    assert sum(int((~tokens.stop).sum()) for _, tokens in found) == 2 * (89 * 3 + 500) and len(found) > 20
+
+
+def test_pairs_are_sent_as_arrays_and_added_up(spark, monkeypatch):
+    """Tasks send their counts in pieces, a row for each part and not for each pair; the sum over pieces and tasks decides."""
+    monkeypatch.setattr(P, "PAIRS", 50)
+    monkeypatch.setattr(P, "BATCH_BYTES", 60)
+    rows = corpus()
+    expected = brute(rows, least=12)
+    assert found(spark, rows, least=12) == expected and expected
+    hashes = np.arange(1, 2 * P.PARTS, dtype=np.uint64) << np.uint64(31)
+    sent = P._counted_pairs([hashes, hashes, hashes[:5]], 3)
+    assert sent.num_rows == P.PARTS and sum(len(p.as_py()) for p in sent.column(1)) == 4 * len(hashes)
+    counts = np.concatenate([np.frombuffer(p.as_py(), np.uint32) for p in sent.column(2)])
+    assert (counts == 3).sum() == 5 and counts.sum() == 2 * len(hashes) + 5
+    both = np.array([1, 5, 9], np.uint32).tobytes(), np.array([2, 1, 2], np.uint32).tobytes()
+    other = np.array([5, 9], np.uint32).tobytes(), np.array([1, 1], np.uint32).tobytes()
+    assert P._frequent([both, other], 3).tolist() == [9]
