@@ -189,3 +189,71 @@ def test_lookups_measured_to_be_small_leave_events_where_they_are(events, spark,
     assert bool(re.search(r"SortMergeJoin [^\n]*LeftOuter", plans[0])) == bool(value)
     facts = mart.table("fact_sales")
     assert facts.select("customer_key").distinct().count() == facts.count() == 9
+
+
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return sum("shuffle_" in str(f) for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles()))
+
+
+def test_shuffle_files_go_with_the_action_that_wrote_them(events, spark, tmp_path):
+    before = shuffle_files(spark)
+    grouped = spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count()
+    assert len(grouped.collect()) == 7 and len(grouped.collect()) == 7
+    mart = Mart(spark, str(tmp_path / "mart"))
+    assert load_batch(mart, events(*[payload(event_id=f"E{i % 20}") for i in range(30)]), 0).inserted == 20
+    assert shuffle_files(spark) <= before
+
+
+def test_a_bitmap_keeps_all_rows_that_may_be_copies(spark):
+    rows = spark.range(200_000).select(F.concat(F.lit("E"), "id").alias("event_id"), dedup.key_hash("id"))
+    some = rows.filter("event_id LIKE '%77'")
+    size = some.count()
+    bits = dedup.bitmap_bits(size, 1 << 20)
+    marks, _ = dedup.hash_bitmap(some, bits)
+    passed = dedup.in_bitmap(rows, marks, bits)
+    assert passed.columns == rows.columns
+    held = {r.event_id for r in passed.collect()}
+    assert {r.event_id for r in some.collect()} <= held and len(held) < 18_000
+    assert dedup.bitmap_bits(0, 1 << 20) == 12 and dedup.bitmap_bits(1 << 20, 1 << 23) == 24
+    assert dedup.bitmap_bits(1 << 22, 1 << 20) is None and dedup.bitmap_bits(9, 3) is None
+
+
+@pytest.mark.parametrize("copies", [40, 0])
+def test_only_rows_that_may_be_copies_are_shuffled(events, spark, tmp_path, monkeypatch, copies):
+    """Repeated hashes that are too many to broadcast: a bitmap of them leaves the other rows where they are."""
+    monkeypatch.setattr(load_module, "SMALL_ROWS", 10)
+    found = []
+    later = load_module.later_copies
+
+    def watched(rows, repeated, **settings):
+        found.append((settings.get("bitmap"), rows, later(rows, repeated, **settings)))
+        return found[0][2]
+
+    monkeypatch.setattr(load_module, "later_copies", watched)
+    monkeypatch.setattr(Mart, "clear_staging", lambda *args: None)
+    mart = Mart(spark, str(tmp_path / "mart"))
+    sent = [payload(event_id=f"E{i}", quantity=1) for i in range(300)] + [payload(event_id=f"E{i}", quantity=9) for i in range(copies)]
+    result = load_batch(mart, events(*sent), 0, options=LoadOptions(attempts=1))
+    assert (result.valid, result.inserted) == (300 + copies, 300)
+    assert mart.table("fact_sales").filter("quantity = 9").count() == 0
+    assert sorted(r.sales_key for r in mart.table("fact_sales").select("sales_key").collect()) == list(range(1, 301))
+    if copies:
+        bitmap, rows, gone = found[0]
+        assert bitmap and gone.count() == copies
+        assert 2 * copies <= dedup.in_bitmap(rows.select(dedup.key_hash("event_id")), *bitmap).count() < 150
+        assert "LeftSemi" not in plan_of(gone)
+
+
+def test_rejected_events_are_numbered_where_they_were_staged(events, spark, tmp_path, monkeypatch):
+    written = []
+    slotted = keys.write_slotted
+    monkeypatch.setattr(keys, "write_slotted", lambda frame, path, *args, **settings: (written.append(path), slotted(frame, path, *args, **settings))[1])
+    mart = Mart(spark, str(tmp_path / "mart"))
+    for batch in range(2):
+        sent = [payload(event_id=f"X{batch}{i}", price=0) for i in range(12)] + [payload(event_id=f"E{batch}")]
+        assert load_batch(mart, events(*sent), batch, options=LoadOptions(attempts=1)).rejected == 12
+    letters = mart.table("dead_letter_events")
+    assert sorted(r.dead_letter_key for r in letters.collect()) == list(range(1, 25))
+    assert letters.filter("reject_reason = 'invalid price' AND raw_payload LIKE concat('%', event_id, '%')").count() == 24
+    assert not [path for path in written if "dead_letter" in path]
