@@ -128,3 +128,12 @@ def test_facts_are_aggregated_before_the_join(loaded):
 def test_no_cartesian_products(loaded, name):
     plan = plan_of(reports.REPORTS[name](loaded))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_enriched_events_are_made_unique_without_columns_nobody_asks_for(spark, sf):
+    from checks import registry
+
+    plan = registry.enrich_events(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    moved = re.search(r"min_by\(struct\((.*?)\), struct\(", plan).group(1)
+    assert {"price", "event_timestamp_ts"} <= set(re.findall(r"[a-z_]+", moved))
+    assert "product_name" not in moved and "session_id" not in moved and "_tie" not in moved
