@@ -5,6 +5,7 @@ import time
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventmart.mart import Mart
 from eventmart.plans.load import LoadOptions, load_batch
@@ -102,3 +103,29 @@ def test_kafka_options(spark):
     sink = kafka.sink_options("h:9092", "t")
     assert sink["topic"] == "t" and sink["kafka.acks"] == "all"
     assert json.dumps(sink)
+
+
+@pytest.mark.parametrize("sorted_by_time", [False, True])
+def test_input_of_a_stream_lies_once_in_even_pieces(spark, tmp_path, monkeypatch, sorted_by_time):
+    """Each piece fills as many files as a trigger takes, shuffled only where its messages lie too close together for that."""
+    from checks import marts
+
+    step, shuffles = marts.line_items.ARRIVAL_SECONDS // marts.STREAM_SLICES, []
+    second = F.lit(marts.line_items.FIRST_ARRIVAL) + F.col("id") % 4 * step + F.col("id") % step
+    sent = spark.range(0, 8_000, 1, 8).select(F.lit("k").alias("key"), F.col("id").cast("string").alias("value"), F.timestamp_seconds(second).alias("timestamp"))
+    sent = sent.repartitionByRange(4, "timestamp") if sorted_by_time else sent
+    dealt = type(sent).repartition
+    monkeypatch.setattr(type(sent), "repartition", lambda frame, n: (shuffles.append(n), dealt(frame, n))[1])
+    monkeypatch.setattr(marts.line_items, "messages", lambda *args, **settings: sent)
+    monkeypatch.setattr(marts, "scratch", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(marts, "FILE_ROWS", 500)
+    stream = marts._inbox(spark, "")
+    assert stream.isStreaming and not (tmp_path / "sent").exists()
+    written = sorted((tmp_path / "inbox").glob("part-*"), key=lambda f: f.stat().st_mtime_ns)
+    assert len(written) == 16
+    pieces = [spark.read.parquet(*map(str, written[n : n + 4])) for n in range(0, 16, 4)]
+    assert [frame.count() for frame in pieces] == [2_000] * 4
+    assert {row.value for frame in pieces for row in frame.collect()} == {str(n) for n in range(8_000)}
+    times = [frame.agg(F.min("timestamp"), F.max("timestamp")).first() for frame in pieces]
+    assert all(a[1] < b[0] for a, b in zip(times, times[1:]))
+    assert shuffles == ([4] * 4 if sorted_by_time else [])
